@@ -61,6 +61,15 @@ def epoch_micros(df: DataFrame, col: str) -> Column:
     raise TypeError(f"column {col} has type {dtype}, not a time")
 
 
+def micros_to_time(us: Column, dtype: T.DataType) -> Column:
+    """Inverse of ``epoch_micros`` back to the original column type."""
+    if isinstance(dtype, T.TimestampNTZType):
+        return F.timestamp_add("MICROSECOND", us, F.lit(_NTZ_EPOCH).cast("timestamp_ntz"))
+    if isinstance(dtype, T.TimestampType):
+        return F.timestamp_micros(us)
+    return F.floor(us / F.lit(1000)).cast("long")
+
+
 def as_timestamp(df: DataFrame, col: str) -> Column:
     """Timestamp view of a time column (epoch ms becomes TIMESTAMP)."""
     dtype = df.schema[col].dataType

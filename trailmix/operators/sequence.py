@@ -72,6 +72,8 @@ def running_agg(df: DataFrame, keys: str | Sequence[str], order: Sequence[str],
          .rowsBetween(Window.unboundedPreceding, upper))
     local = base.withColumn("__local", fn("__v").over(w))
 
+    # The per-bucket summary aggregates map-side before its own (small)
+    # exchange; it re-reads only the key, time and value columns.
     totals = base.groupBy(*keys, BUCKET).agg(fn("__v").alias("__btot"))
     wb = Window.partitionBy(*keys).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(*keys, BUCKET, fn("__btot").over(wb).alias("__off"))

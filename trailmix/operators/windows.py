@@ -14,8 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from trailmix.functions.time import (duration_micros, duration_string,
-                                     epoch_micros, flatten_window)
+from trailmix.functions.time import (duration_micros, duration_string, epoch_micros,
+                                     flatten_window, micros_to_time)
 from trailmix.operators.sequence import BUCKET, DEFAULT_BUCKET, _join_back, _names, with_bucket
 
 
@@ -94,8 +94,11 @@ def session_summary(df: DataFrame, keys: str | Sequence[str], time_col: str, gap
     """
     keys = _names(keys)
     gap_us = duration_micros(gap)
+    # Only (keys, bucket, micros) cross the exchange, and both uses of the
+    # partial sessions below need exactly those columns, so the exchange is
+    # computed once and reused; output times are rebuilt from micros.
     base = with_bucket(df.filter(F.col(time_col).isNotNull()), time_col, bucket)
-    base = base.select(*keys, time_col, BUCKET, epoch_micros(df, time_col).alias("__t"))
+    base = base.select(*keys, BUCKET, epoch_micros(df, time_col).alias("__t"))
     w = Window.partitionBy(*keys, BUCKET).orderBy("__t")
     prev = F.lag("__t").over(w)
     is_new = F.when(prev.isNull() | (F.col("__t") - prev > gap_us), 1).otherwise(0)
@@ -105,8 +108,6 @@ def session_summary(df: DataFrame, keys: str | Sequence[str], time_col: str, gap
         F.count(F.lit(1)).alias("__n"),
         F.min("__t").alias("__tmin"),
         F.max("__t").alias("__tmax"),
-        F.min(time_col).alias("__first"),
-        F.max(time_col).alias("__last"),
     )
     per_bucket = partial.groupBy(*keys, BUCKET).agg(
         F.min("__tmin").alias("__bmin"),
@@ -129,13 +130,15 @@ def session_summary(df: DataFrame, keys: str | Sequence[str], time_col: str, gap
     sid = F.col("__off") + F.col("__lsid") - F.col("__glue")
     tagged = _join_back(partial, glue, keys).withColumn("__sid", sid)
     sessions = tagged.groupBy(*keys, "__sid").agg(
-        F.min("__first").alias("session_start"),
-        F.max("__last").alias("__last"),
+        F.min("__tmin").alias("__first"),
+        F.max("__tmax").alias("__last"),
         F.sum("__n").alias("n"),
     )
     return sessions.select(
-        *keys, "session_start",
-        F.timestamp_add("MICROSECOND", F.lit(gap_us), F.col("__last")).alias("session_end"),
+        *keys,
+        micros_to_time(F.col("__first"), df.schema[time_col].dataType).alias("session_start"),
+        micros_to_time(F.col("__last") + F.lit(gap_us),
+                       df.schema[time_col].dataType).alias("session_end"),
         "n",
     )
 
