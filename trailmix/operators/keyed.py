@@ -21,7 +21,7 @@ from trailmix.schemas import NO_ACTION, NO_ALERT
 
 
 def running_sum(df: DataFrame, keys: str | Sequence[str], order: Sequence[str], value: str,
-                *, time_col: str | None = None, out: str = "running_total",
+                *, out: str = "running_total",
                 bucket: str | int = DEFAULT_BUCKET) -> DataFrame:
     """One output row per input row: the key's sum of ``value`` so far.
 
@@ -30,9 +30,8 @@ def running_sum(df: DataFrame, keys: str | Sequence[str], order: Sequence[str],
     result must be exact — a double sum depends on addition order.
     """
     keys = _names(keys)
-    res = running_agg(df.select(*dict.fromkeys([*keys, *order, value])), keys, order, value,
-                      out, time_col or order[0], agg="sum", bucket=bucket)
-    return res
+    return running_agg(df.select(*dict.fromkeys([*keys, *order, value])), keys, order, value,
+                       out, agg="sum", bucket=bucket)
 
 
 def repeat_alert(df: DataFrame, keys: str | Sequence[str], order: Sequence[str], op_col: str,
@@ -41,6 +40,11 @@ def repeat_alert(df: DataFrame, keys: str | Sequence[str], order: Sequence[str],
     """Alert when a key repeats ``trigger`` within ``threshold`` of its previous
     ``trigger`` record (strictly less; compared in microseconds).
 
+    "Previous" is in ``order`` (arrival order), which need not be time
+    order: a trigger that arrives after a later-stamped one gives a
+    negative interval, which alerts.  ``time_col`` (default ``order[0]``)
+    supplies the times.
+
     ``alerts_only=True`` (default): one row per alert —
     ``*keys, *order, interval_us``.  Only trigger rows can alert and only
     they update the "previous" time, so the filter is pushed below the scan.
@@ -52,16 +56,16 @@ def repeat_alert(df: DataFrame, keys: str | Sequence[str], order: Sequence[str],
     keys = _names(keys)
     time_col = time_col or order[0]
     limit = duration_micros(threshold)
-    t = epoch_micros(df, time_col)
-    base = df.select(*dict.fromkeys([*keys, *order, op_col]))
+    base = df.select(*dict.fromkeys([*keys, *order, time_col, op_col]))
+    t = epoch_micros(base, time_col)
     is_trigger = F.coalesce(F.col(op_col) == F.lit(trigger), F.lit(False))
     if alerts_only:
         base = base.filter(is_trigger)
         marked = base.withColumn("__t", t)
     else:
         marked = base.withColumn("__t", F.when(is_trigger, t))
-    scanned = running_agg(marked, keys, order, "__t", "__prev", time_col,
-                          agg="max", inclusive=False, bucket=bucket)
+    scanned = running_agg(marked, keys, order, "__t", "__prev",
+                          agg="last", inclusive=False, bucket=bucket)
     gap = F.col("__t") - F.col("__prev")
     fires = F.col("__prev").isNotNull() & F.col("__t").isNotNull() & (gap < limit)
     if alerts_only:
@@ -87,14 +91,14 @@ def action_duration(df: DataFrame, keys: str | Sequence[str], order: Sequence[st
     ``"None"`` and 0.  A ``logout`` closes the open action; any other
     action opens a new one.
 
-    Output: ``*keys, *order, last_action, duration_us``.
+    ``order`` is arrival order; ``time_col`` (default ``order[0]``)
+    supplies the times.  Output: ``*keys, *order, last_action, duration_us``.
     """
     keys = _names(keys)
     time_col = time_col or order[0]
-    base = df.select(*dict.fromkeys([*keys, *order, action_col]))
+    base = df.select(*dict.fromkeys([*keys, *order, time_col, action_col]))
     base = base.withColumn("__t", epoch_micros(base, time_col))
-    prev = previous_in_key(base, keys, order, [action_col, "__t"], time_col,
-                           prefix="__p_", bucket=bucket)
+    prev = previous_in_key(base, keys, order, [action_col, "__t"], prefix="__p_", bucket=bucket)
     open_action = F.col(f"__p_{action_col}")
     ok = (F.col(f"__p___t").isNotNull()
           & F.coalesce(open_action != F.lit(logout), F.lit(True))

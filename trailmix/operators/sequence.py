@@ -18,9 +18,10 @@ Every scan here runs in two phases over ``(key, time bucket)``:
    so only the summary side moves; AQE turns the join into a broadcast when
    the summary's measured size is below the broadcast threshold.
 
-Bucket width is a parameter: pick it so that the hottest key's rows in one
-bucket fit one task.  The scans are exact for any width because the bucket
-is a monotone function of the leading order column.
+The bucket is taken from the leading order column (a time, or a numeric
+arrival sequence) and its width is a parameter: pick it so that the
+hottest key's rows in one bucket fit one task.  The scans are exact for any
+width because the bucket is a monotone function of the leading order column.
 """
 
 from __future__ import annotations
@@ -29,6 +30,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from trailmix.functions.time import duration_micros, epoch_micros
 
@@ -40,9 +42,16 @@ def _names(keys: str | Sequence[str]) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
 
 
-def with_bucket(df: DataFrame, time_col: str, bucket: str | int) -> DataFrame:
-    width = duration_micros(bucket)
-    return df.withColumn(BUCKET, F.floor(epoch_micros(df, time_col) / F.lit(width)).cast("long"))
+def with_bucket(df: DataFrame, col: str, bucket: str | int) -> DataFrame:
+    """Add ``__bucket`` = floor(col / width); times in microseconds, numbers as is."""
+    dtype = df.schema[col].dataType
+    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+        value, width = epoch_micros(df, col), duration_micros(bucket)
+    elif isinstance(dtype, (T.IntegralType, T.FractionalType)) and isinstance(bucket, int):
+        value, width = F.col(col), bucket
+    else:
+        raise TypeError(f"cannot bucket {col} ({dtype}) by {bucket!r}")
+    return df.withColumn(BUCKET, F.floor(value / F.lit(width)).cast("long"))
 
 
 def _join_back(big: DataFrame, small: DataFrame, keys: list[str]) -> DataFrame:
@@ -55,49 +64,57 @@ def _join_back(big: DataFrame, small: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def running_agg(df: DataFrame, keys: str | Sequence[str], order: Sequence[str],
-                value: Column | str, out: str, time_col: str, *,
-                agg: str = "sum", inclusive: bool = True,
+                value: Column | str, out: str, *, agg: str = "sum", inclusive: bool = True,
                 bucket: str | int = DEFAULT_BUCKET) -> DataFrame:
-    """Running ``sum`` or ``max`` of ``value`` per key in ``order``.
+    """Running ``sum``, ``max`` or ``last`` (last non-null) of ``value`` per
+    key in ``order``; ``order`` must be unique within a key.
 
     ``inclusive=False`` excludes the current row (the value *before* it).
-    ``order`` must start with ``time_col``.
+    Buckets are cut on ``order[0]``.
     """
     keys = _names(keys)
-    fn = {"sum": F.sum, "max": F.max}[agg]
     v = F.col(value) if isinstance(value, str) else value
-    base = with_bucket(df, time_col, bucket).withColumn("__v", v)
+    base = with_bucket(df, order[0], bucket).withColumn("__v", v)
     upper = Window.currentRow if inclusive else -1
     w = (Window.partitionBy(*keys, BUCKET).orderBy(*order)
          .rowsBetween(Window.unboundedPreceding, upper))
-    local = base.withColumn("__local", fn("__v").over(w))
-
-    # The per-bucket summary aggregates map-side before its own (small)
-    # exchange; it re-reads only the key, time and value columns.
-    totals = base.groupBy(*keys, BUCKET).agg(fn("__v").alias("__btot"))
     wb = Window.partitionBy(*keys).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*keys, BUCKET, fn("__btot").over(wb).alias("__off"))
+    # The per-bucket summary aggregates map-side before its own (small)
+    # exchange; it re-reads only the key, order and value columns.
+    if agg == "last":
+        local = base.withColumn("__local", F.last("__v", ignorenulls=True).over(w))
+        tail = F.max_by(F.col("__v"), F.when(F.col("__v").isNotNull(), F.struct(*order)))
+        totals = base.groupBy(*keys, BUCKET).agg(tail.alias("__btot"))
+        offsets = totals.select(*keys, BUCKET,
+                                F.last("__btot", ignorenulls=True).over(wb).alias("__off"))
+    else:
+        fn = {"sum": F.sum, "max": F.max}[agg]
+        local = base.withColumn("__local", fn("__v").over(w))
+        totals = base.groupBy(*keys, BUCKET).agg(fn("__v").alias("__btot"))
+        offsets = totals.select(*keys, BUCKET, fn("__btot").over(wb).alias("__off"))
 
     joined = _join_back(local, offsets, keys)
     if agg == "sum":
         res = (F.when(F.col("__local").isNull(), F.col("__off"))
                 .when(F.col("__off").isNull(), F.col("__local"))
                 .otherwise(F.col("__local") + F.col("__off")))
-    else:
+    elif agg == "max":
         res = F.greatest("__local", "__off")
+    else:
+        res = F.coalesce("__local", "__off")
     return joined.select(*df.columns, res.alias(out))
 
 
 def previous_in_key(df: DataFrame, keys: str | Sequence[str], order: Sequence[str],
-                    cols: Sequence[str], time_col: str, *, prefix: str = "prev_",
+                    cols: Sequence[str], *, prefix: str = "prev_",
                     bucket: str | int = DEFAULT_BUCKET) -> DataFrame:
     """Add ``prefix + c`` = value of ``c`` on the previous row of the same key.
 
-    ``order`` must start with ``time_col`` and be unique within a key.
+    ``order`` must be unique within a key; buckets are cut on ``order[0]``.
     """
     keys = _names(keys)
     cols = list(cols)
-    base = with_bucket(df, time_col, bucket)
+    base = with_bucket(df, order[0], bucket)
     w = Window.partitionBy(*keys, BUCKET).orderBy(*order)
     local = base.select(
         "*",
