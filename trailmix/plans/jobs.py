@@ -8,7 +8,9 @@ batch queries use, and starts one query per output.  Outputs go to Parquet
 result elsewhere (console, memory, Kafka via ``streaming.sinks``).
 Rejected lines always go to ``<out_dir>/rejects``.
 
-Durations default to the reference's values.
+Durations default to the reference's values.  Checkpoints go under
+``checkpoint_root`` (default: ``<spark.checkpoint.dir>/streams``), one
+folder per query, so a restarted job resumes where it stopped.
 """
 
 from __future__ import annotations
@@ -26,33 +28,46 @@ from trailmix.schemas import STREAM_TAGS
 from trailmix.sources.lines import parse_audit, parse_browser
 from trailmix.streaming import processors as P
 from trailmix.streaming import sinks
+from trailmix.session import checkpoint_location
 from trailmix.streaming.stream import watermark
 
 Sink = Callable[[DataFrame, str], StreamingQuery]
 
 
-def parquet_sink(out_dir: str, prefix: str, trigger: dict | None = None) -> Sink:
+def _ck(df: DataFrame, root: str | None, query: str) -> str:
+    return checkpoint_location(df.sparkSession, query, root)
+
+
+def parquet_sink(out_dir: str, prefix: str, trigger: dict | None = None,
+                 checkpoint_root: str | None = None) -> Sink:
     def start(df: DataFrame, name: str) -> StreamingQuery:
         q = f"{prefix}_{name}"
-        return sinks.write_parquet(df, os.path.join(out_dir, name), q, trigger=trigger)
+        return sinks.write_parquet(df, os.path.join(out_dir, name), q, trigger=trigger,
+                                   checkpoint=_ck(df, checkpoint_root, q))
     return start
 
 
-def _parse_audit(lines: DataFrame, out_dir: str, prefix: str, trigger: dict | None):
+def _rejects(rejects: DataFrame, out_dir: str, prefix: str, trigger: dict | None,
+             root: str | None) -> StreamingQuery:
+    q = f"{prefix}_rejects"
+    return sinks.write_parquet(rejects, os.path.join(out_dir, "rejects"), q, trigger=trigger,
+                               checkpoint=_ck(rejects, root, q))
+
+
+def _parse_audit(lines: DataFrame, out_dir: str, prefix: str, trigger: dict | None,
+                 root: str | None):
     parsed, rejects = parse_audit(lines, keep=["arrival_time"])
-    q = sinks.write_parquet(rejects, os.path.join(out_dir, "rejects"), f"{prefix}_rejects",
-                            trigger=trigger)
-    return parsed, q
+    return parsed, _rejects(rejects, out_dir, prefix, trigger, root)
 
 
 def audit_counts_job(lines: DataFrame, out_dir: str, *, window: str = "5 seconds",
                      label: str = "Audit Trail : Last 5 seconds", trigger: dict | None = None,
-                     sink: Sink | None = None) -> dict[str, StreamingQuery]:
+                     sink: Sink | None = None, checkpoint_root: str | None = None) -> dict[str, StreamingQuery]:
     """Labelled count per processing-time window, and the count keyed by the
     window's first arrival (ms) written as ``(first_ms,n)`` text lines."""
     prefix = "audit_counts"
-    sink = sink or parquet_sink(out_dir, prefix, trigger)
-    parsed, rq = _parse_audit(lines, out_dir, prefix, trigger)
+    sink = sink or parquet_sink(out_dir, prefix, trigger, checkpoint_root)
+    parsed, rq = _parse_audit(lines, out_dir, prefix, trigger, checkpoint_root)
     timed = watermark(parsed, "arrival_time", "0 seconds")
     counts = windows.window_count(timed, "arrival_time", window, label=label)
     first = windows.window_count_first(timed, "arrival_time", window, "arrival_time",
@@ -62,34 +77,36 @@ def audit_counts_job(lines: DataFrame, out_dir: str, *, window: str = "5 seconds
         "rejects": rq,
         "counts": sink(counts, "counts"),
         "summary": sinks.write_text(first, line, os.path.join(out_dir, "five_sec_summary"),
-                                    f"{prefix}_summary", trigger=trigger),
+                                    f"{prefix}_summary", trigger=trigger,
+                                    checkpoint=_ck(first, checkpoint_root, f"{prefix}_summary")),
     }
 
 
 def running_duration_job(lines: DataFrame, out_dir: str, *, trigger: dict | None = None,
-                         sink: Sink | None = None) -> dict[str, StreamingQuery]:
+                         sink: Sink | None = None, checkpoint_root: str | None = None) -> dict[str, StreamingQuery]:
     """Running total of ``duration`` per user, one output per record."""
     prefix = "running_duration"
-    sink = sink or parquet_sink(out_dir, prefix, trigger)
-    parsed, rq = _parse_audit(lines, out_dir, prefix, trigger)
+    sink = sink or parquet_sink(out_dir, prefix, trigger, checkpoint_root)
+    parsed, rq = _parse_audit(lines, out_dir, prefix, trigger, checkpoint_root)
     keyed = P.keyed_input(parsed, ["user"], "event_time", "id", {"value": F.col("duration")})
     return {"rejects": rq, "running": sink(P.running_sum_stream(keyed, ["user"]), "running")}
 
 
 def split_combine_job(lines: DataFrame, out_dir: str, *, window: str = "5 seconds",
-                      trigger: dict | None = None, sink: Sink | None = None) -> dict[str, StreamingQuery]:
+                      trigger: dict | None = None, sink: Sink | None = None, checkpoint_root: str | None = None) -> dict[str, StreamingQuery]:
     """Customer records vs the rest: both branches, their counts per window,
     and the recombined tagged stream."""
     prefix = "split_combine"
-    sink = sink or parquet_sink(out_dir, prefix, trigger)
-    parsed, rq = _parse_audit(lines, out_dir, prefix, trigger)
+    sink = sink or parquet_sink(out_dir, prefix, trigger, checkpoint_root)
+    parsed, rq = _parse_audit(lines, out_dir, prefix, trigger, checkpoint_root)
     is_customer = F.col("entity") == "Customer"
     timed = watermark(parsed, "arrival_time", "0 seconds")
     return {
         "rejects": rq,
         "branches": sinks.write_branches(parsed, is_customer, os.path.join(out_dir, "customer"),
                                          os.path.join(out_dir, "sales_rep"), f"{prefix}_branches",
-                                         side_cols=("user",), trigger=trigger),
+                                         side_cols=("user",), trigger=trigger,
+                                         checkpoint=_ck(parsed, checkpoint_root, f"{prefix}_branches")),
         "branch_counts": sink(routing.branch_counts(timed, is_customer, "arrival_time", window,
                                                     tags=STREAM_TAGS), "branch_counts"),
         "combined": sink(routing.split_and_combine(parsed, is_customer, "user"), "combined"),
@@ -98,11 +115,11 @@ def split_combine_job(lines: DataFrame, out_dir: str, *, window: str = "5 second
 
 def session_job(lines: DataFrame, out_dir: str, *, gap: str = "5 seconds",
                 time_col: str = "arrival_time", trigger: dict | None = None,
-                sink: Sink | None = None) -> dict[str, StreamingQuery]:
+                sink: Sink | None = None, checkpoint_root: str | None = None) -> dict[str, StreamingQuery]:
     """Per-user sessions (count, first and last event timestamp)."""
     prefix = "sessions"
-    sink = sink or parquet_sink(out_dir, prefix, trigger)
-    parsed, rq = _parse_audit(lines, out_dir, prefix, trigger)
+    sink = sink or parquet_sink(out_dir, prefix, trigger, checkpoint_root)
+    parsed, rq = _parse_audit(lines, out_dir, prefix, trigger, checkpoint_root)
     timed = watermark(parsed, time_col, "0 seconds")
     res = timed.groupBy("user", F.session_window(time_col, gap).alias("s")).agg(
         F.count(F.lit(1)).alias("n"), F.min("timestamp").alias("min_ts"),
@@ -114,15 +131,13 @@ def session_job(lines: DataFrame, out_dir: str, *, gap: str = "5 seconds",
 
 def window_join_job(file_lines: DataFrame, kafka_lines: DataFrame, out_dir: str, *,
                     window: str = "5 seconds", time_col: str = "arrival_time",
-                    trigger: dict | None = None, sink: Sink | None = None) -> dict[str, StreamingQuery]:
+                    trigger: dict | None = None, sink: Sink | None = None, checkpoint_root: str | None = None) -> dict[str, StreamingQuery]:
     """Pairs of same-user records from the two streams per tumbling window."""
     prefix = "window_join"
-    sink = sink or parquet_sink(out_dir, prefix, trigger)
+    sink = sink or parquet_sink(out_dir, prefix, trigger, checkpoint_root)
     left, rq1 = parse_audit(file_lines, keep=["arrival_time"])
     right, rq2 = parse_audit(kafka_lines, keep=["arrival_time"])
-    rejects = rq1.unionByName(rq2)
-    rq = sinks.write_parquet(rejects, os.path.join(out_dir, "rejects"), f"{prefix}_rejects",
-                             trigger=trigger)
+    rq = _rejects(rq1.unionByName(rq2), out_dir, prefix, trigger, checkpoint_root)
     left = watermark(left, time_col, "0 seconds")
     right = watermark(right, time_col, "0 seconds")
     pairs = joins.window_join_pairs(left, right, "user", "user", time_col, time_col, window,
@@ -133,12 +148,12 @@ def window_join_job(file_lines: DataFrame, kafka_lines: DataFrame, out_dir: str,
 def event_time_job(lines: DataFrame, out_dir: str, *, window: str = "1 second",
                    refresh: str = "10 seconds", buffer: str = "2 seconds",
                    trigger: dict | None = None, sink: Sink | None = None,
-                   message_sink: Sink | None = None) -> dict[str, StreamingQuery]:
+                   message_sink: Sink | None = None, checkpoint_root: str | None = None) -> dict[str, StreamingQuery]:
     """Event-time count per window carrying the first record's timestamp,
     published as ``"<ts> = <n>"``; late records go to their own output."""
     prefix = "event_time"
-    sink = sink or parquet_sink(out_dir, prefix, trigger)
-    parsed, rq = _parse_audit(lines, out_dir, prefix, trigger)
+    sink = sink or parquet_sink(out_dir, prefix, trigger, checkpoint_root)
+    parsed, rq = _parse_audit(lines, out_dir, prefix, trigger, checkpoint_root)
     on_time, late_rows = late.split_late(parsed, "event_time", "arrival_time", window, refresh, buffer)
     on_time = watermark(on_time, "event_time", late.spark_watermark_delay(refresh, buffer))
     counts = windows.window_count_first(on_time, "event_time", window, "timestamp",
@@ -146,17 +161,18 @@ def event_time_job(lines: DataFrame, out_dir: str, *, window: str = "1 second",
     messages = counts.select(TX.key_equals_value(F.col("first_ts"), F.col("n")).alias("message"),
                              "window_start")
     msink = message_sink or (lambda df, name: sinks.write_text(
-        df, F.col("message"), os.path.join(out_dir, name), f"{prefix}_{name}", trigger=trigger))
+        df, F.col("message"), os.path.join(out_dir, name), f"{prefix}_{name}", trigger=trigger,
+        checkpoint=_ck(df, checkpoint_root, f"{prefix}_{name}")))
     return {"rejects": rq, "counts": sink(counts, "counts"), "late": sink(late_rows, "late"),
             "messages": msink(messages, "messages")}
 
 
 def delete_alert_job(lines: DataFrame, out_dir: str, *, within: str = "10 seconds",
-                     trigger: dict | None = None, sink: Sink | None = None) -> dict[str, StreamingQuery]:
+                     trigger: dict | None = None, sink: Sink | None = None, checkpoint_root: str | None = None) -> dict[str, StreamingQuery]:
     """Alert when a user deletes twice within ``within``."""
     prefix = "delete_alert"
-    sink = sink or parquet_sink(out_dir, prefix, trigger)
-    parsed, rq = _parse_audit(lines, out_dir, prefix, trigger)
+    sink = sink or parquet_sink(out_dir, prefix, trigger, checkpoint_root)
+    parsed, rq = _parse_audit(lines, out_dir, prefix, trigger, checkpoint_root)
     keyed = P.keyed_input(parsed, ["user"], "event_time", "id", {"op": F.col("operation")})
     alerts = P.repeat_alert_stream(keyed, ["user"], "Delete", within)
     alerts = alerts.withColumn("message", F.format_string(
@@ -167,14 +183,13 @@ def delete_alert_job(lines: DataFrame, out_dir: str, *, within: str = "10 second
 
 def browser_job(lines: DataFrame, out_dir: str, *, window: str = "10 seconds",
                 time_col: str = "arrival_time", trigger: dict | None = None,
-                sink: Sink | None = None) -> dict[str, StreamingQuery]:
+                sink: Sink | None = None, checkpoint_root: str | None = None) -> dict[str, StreamingQuery]:
     """Capstone: count per (user, action) per window, and how long each user
     spent on each action."""
     prefix = "browser"
-    sink = sink or parquet_sink(out_dir, prefix, trigger)
+    sink = sink or parquet_sink(out_dir, prefix, trigger, checkpoint_root)
     parsed, rejects = parse_browser(lines, keep=["arrival_time"])
-    rq = sinks.write_parquet(rejects, os.path.join(out_dir, "rejects"), f"{prefix}_rejects",
-                             trigger=trigger)
+    rq = _rejects(rejects, out_dir, prefix, trigger, checkpoint_root)
     timed = watermark(parsed, time_col, "0 seconds")
     counts = windows.window_count(timed, time_col, window, keys=["name", "action"])
     keyed = P.keyed_input(parsed, ["name"], "event_time", None, {"action": F.col("action")})

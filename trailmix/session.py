@@ -42,21 +42,27 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     return spark
 
 
+_LOCAL_FALLBACK: dict[int, str] = {}
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster this is set by the operator to a shared filesystem and is
     used as is.  Only when it is unset (local tests) do we pick a fresh
-    scratch folder.
+    scratch folder for this session.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
-        path = tempfile.mkdtemp(prefix="trailmix-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
+        key = id(spark)
+        if key not in _LOCAL_FALLBACK:
+            _LOCAL_FALLBACK[key] = tempfile.mkdtemp(prefix="trailmix-ckpt-")
+        path = _LOCAL_FALLBACK[key]
     spark.sparkContext.setCheckpointDir(path)
     return path
 
 
-def checkpoint_location(spark: SparkSession, query_name: str) -> str:
-    """Per-query streaming checkpoint folder under the shared folder."""
-    return os.path.join(ensure_checkpoint_dir(spark), "streams", query_name)
+def checkpoint_location(spark: SparkSession, query_name: str, root: str | None = None) -> str:
+    """Per-query streaming checkpoint folder under ``root`` (default: the
+    shared folder)."""
+    return os.path.join(root or os.path.join(ensure_checkpoint_dir(spark), "streams"), query_name)
