@@ -27,17 +27,19 @@ from trailmix.schemas import AUDIT_FIELDS, BROWSER_FIELDS
 _INTEGER = r"^[+-]?[0-9]+$"
 
 
-def _field_checks(parts: Column, fields: Sequence[tuple[str, T.DataType]]):
+def _record(parts: Column, fields: Sequence[tuple[str, T.DataType]]) -> Column:
+    """Struct of ``reason`` (null when the line parses) and the typed fields."""
     values, errors = [], []
     for i, (name, dtype) in enumerate(fields):
-        raw = parts.getItem(i)
+        raw = F.get(parts, i)  # null past the end (ANSI getItem would throw)
         if isinstance(dtype, (T.IntegerType, T.LongType)):
             val = F.when(raw.rlike(_INTEGER), raw.try_cast(dtype))
             errors.append(F.when(val.isNull(), F.lit(f"bad_number:{name}")))
         else:
             val = raw
         values.append(val.alias(name))
-    return values, errors
+    short = F.when(F.size(parts) < len(fields), F.lit("too_few_fields"))
+    return F.struct(F.coalesce(short, *errors).alias("reason"), *values)
 
 
 def parse_lines(lines: DataFrame, fields: Sequence[tuple[str, T.DataType]], *,
@@ -51,27 +53,26 @@ def parse_lines(lines: DataFrame, fields: Sequence[tuple[str, T.DataType]], *,
     the input); ``rejects`` has ``keep``, the raw line and ``reason``.
     Works on streams.
     """
-    n = len(fields)
-    clean = F.regexp_replace(F.replace(F.col(value_col), F.lit('"'), F.lit("")), ",+$", "")
-    parts = F.col("__parts")
-    values, errors = _field_checks(parts, fields)
-    short = F.when(F.size(parts) < n, F.lit("too_few_fields"))
-    reason = F.coalesce(short, *errors)
-    staged = lines.select(*keep, F.col(value_col).alias("__line"),
-                          F.split(clean, ",", -1).alias("__parts"))
-    staged = staged.select(*keep, "__line", reason.alias("reason"), *values)
+    clean = F.rtrim(F.replace(F.col(value_col), F.lit('"'), F.lit("")), F.lit(","))
+    # The split array is bound to one lambda variable, so every field check
+    # reads the same array; written as plain columns, the optimizer would
+    # inline the split into each check when it pushes the filter down.
+    rec = F.transform(F.array(F.split(clean, ",", -1)), lambda p: _record(p, fields))[0]
+    staged = lines.select(*keep, F.col(value_col).alias("__line"), rec.alias("__rec"))
     if mode == "failfast":
         staged = staged.withColumn(
-            "reason", F.when(F.col("reason").isNotNull(),
-                             F.raise_error(F.concat(F.lit("unparseable line: "), F.col("__line")))))
+            "__rec", F.when(F.col("__rec.reason").isNull(), F.col("__rec")).otherwise(
+                F.raise_error(F.concat(F.lit("unparseable line: "), F.col("__line")))
+                .cast(staged.schema["__rec"].dataType)))
     elif mode != "reject":
         raise ValueError("mode must be 'reject' or 'failfast'")
     names = [name for name, _ in fields]
-    parsed = staged.filter(F.col("reason").isNull()).select(*keep, *names)
+    parsed = staged.filter(F.col("__rec.reason").isNull()).select(
+        *keep, *[F.col(f"__rec.{n}").alias(n) for n in names])
     if time_field is not None:
         parsed = parsed.withColumn("event_time", F.timestamp_millis(F.col(time_field)))
-    rejects = staged.filter(F.col("reason").isNotNull()).select(
-        *keep, F.col("__line").alias("line"), "reason")
+    rejects = staged.filter(F.col("__rec.reason").isNotNull()).select(
+        *keep, F.col("__line").alias("line"), F.col("__rec.reason").alias("reason"))
     return parsed, rejects
 
 
