@@ -60,7 +60,7 @@ def repeat_alert(df: DataFrame, keys: str | Sequence[str], order: Sequence[str],
     t = epoch_micros(base, time_col)
     is_trigger = F.coalesce(F.col(op_col) == F.lit(trigger), F.lit(False))
     if alerts_only:
-        base = base.filter(is_trigger)
+        base = base.filter(F.col(op_col) == F.lit(trigger))  # pushed to the scan
         marked = base.withColumn("__t", t)
     else:
         marked = base.withColumn("__t", F.when(is_trigger, t))

@@ -26,8 +26,8 @@ def split(df: DataFrame, predicate: Column) -> tuple[DataFrame, DataFrame]:
     persisted batch (see ``trailmix.streaming.sinks.write_branches``) so
     the source is read once.
     """
-    hit = _holds(predicate)
-    return df.filter(hit), df.filter(~hit)
+    # Written without coalesce so both filters reach the Parquet scan.
+    return df.filter(predicate), df.filter(predicate.isNull() | ~predicate)
 
 
 def split_records(df: DataFrame, predicate: Column, key: str, *,
