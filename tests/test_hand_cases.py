@@ -151,3 +151,18 @@ def test_bad_lines_are_rejected(spark):
     assert len(reasons) == 7
     assert reasons.count("too_few_fields") == 3
     assert "bad_number:id" in reasons and "bad_number:duration" in reasons
+
+
+def test_user_reduce_and_map_hooks(spark):
+    import pandas as pd
+
+    from trailmix.functions.hooks import map_batches, reduce_udf, to_bytes
+
+    df = spark.createDataFrame([(0, 2), (1000, 3), (6000, 4)], "ms long, v long") \
+        .withColumn("t", F.timestamp_millis("ms"))
+    product = reduce_udf(lambda s: int(s.prod()), "long")
+    res = windows.window_agg(df, "t", "5 seconds", [product("v").alias("p")])
+    assert sorted(r.p for r in res.collect()) == [4, 6]
+    doubled = map_batches(df.select("v"), lambda b: pd.DataFrame({"v2": b["v"] * 2}), "v2 long")
+    assert sorted(r.v2 for r in doubled.collect()) == [4, 6, 8]
+    assert df.select(to_bytes(F.lit("a = 1"))).first()[0] == bytearray(b"a = 1")
