@@ -54,11 +54,14 @@ def parse_lines(lines: DataFrame, fields: Sequence[tuple[str, T.DataType]], *,
     Works on streams.
     """
     clean = F.rtrim(F.replace(F.col(value_col), F.lit('"'), F.lit("")), F.lit(","))
-    # The split array is bound to one lambda variable, so every field check
-    # reads the same array; written as plain columns, the optimizer would
-    # inline the split into each check when it pushes the filter down.
-    rec = F.transform(F.array(F.split(clean, ",", -1)), lambda p: _record(p, fields))[0]
-    staged = lines.select(*keep, F.col(value_col).alias("__line"), rec.alias("__rec"))
+    # The split array is produced once per line by a one-element explode.
+    # A filter on columns it generates cannot be pushed below it, so the
+    # field checks read that one array instead of re-splitting the line
+    # for every check (which is what predicate pushdown would do to a plain
+    # projection).
+    split = lines.select(*keep, F.col(value_col).alias("__line"),
+                         F.explode(F.array(F.split(clean, ",", -1))).alias("__parts"))
+    staged = split.select(*keep, "__line", _record(F.col("__parts"), fields).alias("__rec"))
     if mode == "failfast":
         staged = staged.withColumn(
             "__rec", F.when(F.col("__rec.reason").isNull(), F.col("__rec")).otherwise(
