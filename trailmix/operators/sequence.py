@@ -27,6 +27,7 @@ width because the bucket is a monotone function of the leading order column.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -54,6 +55,30 @@ def with_bucket(df: DataFrame, col: str, bucket: str | int) -> DataFrame:
     return df.withColumn(BUCKET, F.floor(value / F.lit(width)).cast("long"))
 
 
+_SHIFT = Decimal(10 ** 20)          # > 2^64: room for any BIGINT tie-breaker
+_LONG_OFFSET = Decimal(2 ** 63)     # BIGINT -> non-negative
+
+
+def order_key(df: DataFrame, order: Sequence[str]) -> Column:
+    """One fixed-width value ordered like the tuple ``order``.
+
+    ``min_by``/``max_by`` over a struct fall back to sort-based aggregation
+    (every partition sorted before aggregating).  A (timestamp, integer)
+    order is packed exactly into one DECIMAL(38,0) — timestamps span years
+    1..9999, i.e. |micros| < 2.6e17, so micros * 1e20 + (id + 2^63) < 1e38 —
+    and the aggregation stays hash-based.  Other shapes keep the struct.
+    """
+    if len(order) == 1:
+        return F.col(order[0])
+    types = [df.schema[c].dataType for c in order]
+    if (len(order) == 2 and isinstance(types[0], (T.TimestampType, T.TimestampNTZType))
+            and isinstance(types[1], (T.LongType, T.IntegerType, T.ShortType))):
+        dec = T.DecimalType(38, 0)
+        return (epoch_micros(df, order[0]).cast(dec) * F.lit(_SHIFT).cast(dec)
+                + (F.col(order[1]).cast(dec) + F.lit(_LONG_OFFSET).cast(dec)))
+    return F.struct(*order)
+
+
 def _join_back(big: DataFrame, small: DataFrame, keys: list[str]) -> DataFrame:
     """Left join on (keys, bucket), null-safe on the keys."""
     s = small.select(*[F.col(k).alias(f"__s_{k}") for k in keys + [BUCKET]],
@@ -83,7 +108,7 @@ def running_agg(df: DataFrame, keys: str | Sequence[str], order: Sequence[str],
     # exchange; it re-reads only the key, order and value columns.
     if agg == "last":
         local = base.withColumn("__local", F.last("__v", ignorenulls=True).over(w))
-        tail = F.max_by(F.col("__v"), F.when(F.col("__v").isNotNull(), F.struct(*order)))
+        tail = F.max_by(F.col("__v"), F.when(F.col("__v").isNotNull(), order_key(base, order)))
         totals = base.groupBy(*keys, BUCKET).agg(tail.alias("__btot"))
         offsets = totals.select(*keys, BUCKET,
                                 F.last("__btot", ignorenulls=True).over(wb).alias("__off"))
@@ -122,7 +147,7 @@ def previous_in_key(df: DataFrame, keys: str | Sequence[str], order: Sequence[st
         (F.row_number().over(w) == 1).alias("__first"),
     )
     tails = base.groupBy(*keys, BUCKET).agg(
-        F.max_by(F.struct(*cols), F.struct(*order)).alias("__tail"))
+        F.max_by(F.struct(*cols), order_key(base, order)).alias("__tail"))
     wb = Window.partitionBy(*keys).orderBy(BUCKET)
     carry = tails.select(*keys, BUCKET, F.lag("__tail").over(wb).alias("__carry"))
 

@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 
 from trailmix.functions.time import (duration_micros, duration_string, epoch_micros,
                                      flatten_window, micros_to_time)
-from trailmix.operators.sequence import BUCKET, DEFAULT_BUCKET, _join_back, _names, with_bucket
+from trailmix.operators.sequence import (BUCKET, DEFAULT_BUCKET, _join_back, _names,
+                                        order_key, with_bucket)
 
 
 def _window(time_col: str, size: str, slide: str | None) -> Column:
@@ -58,8 +59,10 @@ def window_count_first(df: DataFrame, time_col: str, size: str, carry: str,
     "First" is the least ``order`` tuple (arrival order); the reference
     keeps the first record's field through its reduce.
     """
-    first = F.min_by(F.col(carry), F.struct(*order)) if len(order) > 1 or order[0] != carry \
-        else F.min(carry)
+    if list(order) == [carry]:
+        first = F.min(carry)
+    else:
+        first = F.min_by(F.col(carry), order_key(df, order))
     return window_agg(df, time_col, size, [
         F.count(F.lit(1)).alias(out),
         first.alias(carry_out or f"first_{carry}"),
