@@ -60,3 +60,15 @@ def test_hot_key_scans_partition_by_key_and_bucket(spark):
         for m in re.finditer(r"Exchange hashpartitioning\(user_id#\d+L, \d+\)", p):
             tail = p[m.end():m.end() + 400]
             assert "FileScan" not in tail.split("Exchange")[0], name
+
+
+@pytest.mark.parametrize("name", sorted(queries()))
+def test_aggregations_are_hash_based(spark, name):
+    p = _plan(queries()[name](spark, SF_SMALL))
+    assert "SortAggregate" not in p
+
+
+def test_previous_row_scan_shares_its_shuffle(spark):
+    p = _plan(queries()["action_duration"](spark, SF_SMALL), final=True)
+    assert "ReusedExchange" in p
+    assert p.count("FileScan") == 1

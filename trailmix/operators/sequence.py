@@ -145,9 +145,12 @@ def previous_in_key(df: DataFrame, keys: str | Sequence[str], order: Sequence[st
         "*",
         *[F.lag(c).over(w).alias(f"__l_{c}") for c in cols],
         (F.row_number().over(w) == 1).alias("__first"),
+        F.lead(F.lit(1)).over(w).isNull().alias("__last"),
     )
-    tails = base.groupBy(*keys, BUCKET).agg(
-        F.max_by(F.struct(*cols), order_key(base, order)).alias("__tail"))
+    # The bucket's last row comes from the same windowed rows: both branches
+    # start from one exchange, which AQE reuses (no second scan, and no
+    # sort-based max_by over a struct holding strings).
+    tails = local.filter(F.col("__last")).select(*keys, BUCKET, F.struct(*cols).alias("__tail"))
     wb = Window.partitionBy(*keys).orderBy(BUCKET)
     carry = tails.select(*keys, BUCKET, F.lag("__tail").over(wb).alias("__carry"))
 
