@@ -47,11 +47,6 @@ def test_window_join_has_no_join(spark):
     assert "partial_sum" in p  # both sides combine map-side
 
 
-def test_session_shuffle_is_shared(spark):
-    p = _plan(queries()["session_summary"](spark, SF_SMALL), final=True)
-    assert "ReusedExchange" in p
-
-
 def test_hot_key_scans_partition_by_key_and_bucket(spark):
     for name in ["running_sum", "repeat_alert", "action_duration", "session_summary"]:
         p = _plan(queries()[name](spark, SF_SMALL))
@@ -68,8 +63,10 @@ def test_aggregations_are_hash_based(spark, name):
     assert "SortAggregate" not in p
 
 
-def test_previous_row_scan_shares_its_shuffle(spark):
-    p = _plan(queries()["action_duration"](spark, SF_SMALL), final=True)
+@pytest.mark.parametrize("name", ["running_sum", "repeat_alert", "repeat_alert_strict",
+                                  "action_duration", "session_summary"])
+def test_per_key_scans_read_and_shuffle_once(spark, name):
+    p = _plan(queries()[name](spark, SF_SMALL), final=True)
     final = p.split("== Initial Plan ==")[0]
     assert "ReusedExchange" in final
     assert final.count("FileScan") == 1

@@ -98,25 +98,28 @@ def running_agg(df: DataFrame, keys: str | Sequence[str], order: Sequence[str],
     Buckets are cut on ``order[0]``.
     """
     keys = _names(keys)
-    v = F.col(value) if isinstance(value, str) else value
-    base = with_bucket(df, order[0], bucket).withColumn("__v", v)
+    base = with_bucket(df, order[0], bucket)
+    if isinstance(value, str):
+        v = value  # no alias: both branches then need the same columns
+    else:
+        base, v = base.withColumn("__v", value), "__v"
     upper = Window.currentRow if inclusive else -1
     w = (Window.partitionBy(*keys, BUCKET).orderBy(*order)
          .rowsBetween(Window.unboundedPreceding, upper))
     wb = Window.partitionBy(*keys).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-    # The per-bucket summary aggregates map-side before its own (small)
-    # exchange; it re-reads only the key, order and value columns.
+    incl = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     if agg == "last":
-        local = base.withColumn("__local", F.last("__v", ignorenulls=True).over(w))
-        tail = F.max_by(F.col("__v"), F.when(F.col("__v").isNotNull(), order_key(base, order)))
-        totals = base.groupBy(*keys, BUCKET).agg(tail.alias("__btot"))
-        offsets = totals.select(*keys, BUCKET,
-                                F.last("__btot", ignorenulls=True).over(wb).alias("__off"))
+        fn = lambda c: F.last(c, ignorenulls=True)
     else:
         fn = {"sum": F.sum, "max": F.max}[agg]
-        local = base.withColumn("__local", fn("__v").over(w))
-        totals = base.groupBy(*keys, BUCKET).agg(fn("__v").alias("__btot"))
-        offsets = totals.select(*keys, BUCKET, fn("__btot").over(wb).alias("__off"))
+    ordered = Window.partitionBy(*keys, BUCKET).orderBy(*order)
+    local = base.withColumn("__local", fn(v).over(w))
+    local = local.withColumn("__incl", F.col("__local") if inclusive else fn(v).over(incl))
+    local = local.withColumn("__last", F.lead(F.lit(1)).over(ordered).isNull())
+    # The bucket's summary is the inclusive scan at its last row, taken from
+    # the same windowed rows: one scan and one exchange, which AQE reuses.
+    totals = local.filter(F.col("__last")).select(*keys, BUCKET, F.col("__incl").alias("__btot"))
+    offsets = totals.select(*keys, BUCKET, fn("__btot").over(wb).alias("__off"))
 
     joined = _join_back(local, offsets, keys)
     if agg == "sum":
