@@ -21,8 +21,9 @@ BASE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
-    # transformWithState needs the RocksDB state store; it also spills
-    # keyed state to local disk instead of holding it on the heap.
+    # Keyed streaming state lives in RocksDB: it spills to local disk instead
+    # of holding every key on the executor heap (and transformWithState
+    # requires it).
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
