@@ -257,3 +257,17 @@ def test_on_time_branch_drops_nothing(spark, scratch):
     assert _dropped(q_ctl) > 0
     assert _dropped(q_main) == 0
     assert spark.table("late_rows").count() > 0
+
+
+def test_observed_metrics_and_console_sink(spark, audit_dir, scratch):
+    parsed, rejects = parse_audit(_stream(spark, audit_dir))
+    counted = sinks.observed(parsed, "ingest")
+    q = sinks.write_memory(counted, "observed_rows", trigger=ONCE,
+                           checkpoint=os.path.join(scratch, "ck_obs"))
+    run_to_end(q, timeout_s=300)
+    seen = sum(p["observedMetrics"]["ingest"]["rows"] for p in q.recentProgress
+               if "ingest" in (p.get("observedMetrics") or {}))
+    assert seen == spark.table("observed_rows").count() == 1000
+    qc = sinks.write_console(rejects, "console_rejects", trigger=ONCE,
+                             checkpoint=os.path.join(scratch, "ck_console"))
+    run_to_end(qc, timeout_s=300)
