@@ -109,3 +109,74 @@ def test_sessions(frame, rows, bucket):
     got = [(r.user_id, int(r.session_start.timestamp()), int(r.session_end.timestamp()), r.n)
            for r in out.collect()]
     assert sorted(got) == sorted(want)
+
+
+@pytest.fixture(scope="module")
+def burst(spark):
+    """One user with 3,000 records inside one day (many equal times), plus
+    a few light users: one (key, day) bucket holds nearly all rows."""
+    rnd = random.Random(11)
+    out, seq = [], 0
+    for user, n, span in [(1, 3000, 86_000), (2, 30, 10 ** 6), (3, 5, 100)]:
+        for _ in range(n):
+            out.append((seq, user, rnd.randrange(span) // 7 * 7, rnd.choice(TYPES),
+                        rnd.randint(0, 900)))
+            seq += 1
+    df = spark.createDataFrame(out, "event_id long, user_id long, sec long, event_type string, v long")
+    return df.withColumn("ts", F.timestamp_seconds("sec").cast("timestamp_ntz")), out
+
+
+def test_hot_bucket_is_split_by_count(burst):
+    from trailmix.operators.sequence import bucketed
+    frame, _ = burst
+    base, bc = bucketed(frame, ["user_id"], "ts", "1 day", max_rows=200)
+    sizes = [r["count"] for r in base.groupBy("user_id", *bc).count().collect()]
+    assert len(bc) == 2 and max(sizes) <= 400 and len(sizes) >= 15
+
+
+def test_burst_scans_equal_fold(burst):
+    frame, rows = burst
+    kw = {"bucket": "1 day", "max_rows_per_bucket": 200}
+    per = _by_user(rows)
+    want_sum, want_dur, want_alert = {}, {}, {}
+    for u, rs in per.items():
+        tot, state, last = 0, None, None
+        for r in rs:
+            tot += r[4]
+            want_sum[r[0]] = tot
+            pub = ("None", 0)
+            if state is not None and r[3] != LOGIN:
+                pub = (state[0], (r[2] - state[1]) * 1_000_000)
+            state = None if r[3] == LOGOUT else (r[3], r[2])
+            want_dur[r[0]] = pub
+            res = ("No Alerts", 0)
+            if r[3] == DELETE:
+                if last is not None and r[2] - last < 60:
+                    res = (str(u), (r[2] - last) * 1_000_000)
+                last = r[2]
+            want_alert[r[0]] = res
+    out = keyed.running_sum(frame, "user_id", ["ts", "event_id"], "v", **kw)
+    assert {r.event_id: r.running_total for r in out.collect()} == want_sum
+    out = keyed.action_duration(frame, "user_id", ["ts", "event_id"], "event_type",
+                                login=LOGIN, logout=LOGOUT, **kw)
+    assert {r.event_id: (r.last_action, r.duration_us) for r in out.collect()} == want_dur
+    out = keyed.repeat_alert(frame, "user_id", ["ts", "event_id"], "event_type", DELETE,
+                             "1 minute", alerts_only=False, **kw)
+    assert {r.event_id: (r.alert_user, r.interval_us) for r in out.collect()} == want_alert
+
+    gap = 20
+    want = []
+    for u, rs in per.items():
+        cur = None
+        for r in rs:
+            if cur is None or r[2] - cur[2] > gap:
+                if cur:
+                    want.append((u, cur[0], cur[2] + gap, cur[1]))
+                cur = [r[2], 0, r[2]]
+            cur[1] += 1
+            cur[2] = r[2]
+        want.append((u, cur[0], cur[2] + gap, cur[1]))
+    out = windows.session_summary(frame, "user_id", "ts", "20 seconds", **kw)
+    got = [(r.user_id, int(r.session_start.timestamp()), int(r.session_end.timestamp()), r.n)
+           for r in out.collect()]
+    assert sorted(got) == sorted(want)

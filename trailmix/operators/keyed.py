@@ -16,13 +16,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trailmix.functions.time import duration_micros, epoch_micros
-from trailmix.operators.sequence import DEFAULT_BUCKET, _names, previous_in_key, running_agg
+from trailmix.operators.sequence import DEFAULT_BUCKET, DEFAULT_MAX_ROWS, _names, previous_in_key, running_agg
 from trailmix.schemas import NO_ACTION, NO_ALERT
 
 
 def running_sum(df: DataFrame, keys: str | Sequence[str], order: Sequence[str], value: str,
-                *, out: str = "running_total",
-                bucket: str | int = DEFAULT_BUCKET) -> DataFrame:
+                *, out: str = "running_total", bucket: str | int = DEFAULT_BUCKET,
+                max_rows_per_bucket: int | None = DEFAULT_MAX_ROWS) -> DataFrame:
     """One output row per input row: the key's sum of ``value`` so far.
 
     The reference names this a running count but sums a field; a count is
@@ -31,12 +31,13 @@ def running_sum(df: DataFrame, keys: str | Sequence[str], order: Sequence[str],
     """
     keys = _names(keys)
     return running_agg(df.select(*dict.fromkeys([*keys, *order, value])), keys, order, value,
-                       out, agg="sum", bucket=bucket)
+                       out, agg="sum", bucket=bucket, max_rows_per_bucket=max_rows_per_bucket)
 
 
 def repeat_alert(df: DataFrame, keys: str | Sequence[str], order: Sequence[str], op_col: str,
                  trigger: str, threshold: str | int, *, time_col: str | None = None,
-                 alerts_only: bool = True, bucket: str | int = DEFAULT_BUCKET) -> DataFrame:
+                 alerts_only: bool = True, bucket: str | int = DEFAULT_BUCKET,
+                 max_rows_per_bucket: int | None = DEFAULT_MAX_ROWS) -> DataFrame:
     """Alert when a key repeats ``trigger`` within ``threshold`` of its previous
     ``trigger`` record (strictly less; compared in microseconds).
 
@@ -65,7 +66,8 @@ def repeat_alert(df: DataFrame, keys: str | Sequence[str], order: Sequence[str],
     else:
         marked = base.withColumn("__t", F.when(is_trigger, t))
     scanned = running_agg(marked, keys, order, "__t", "__prev",
-                          agg="last", inclusive=False, bucket=bucket)
+                          agg="last", inclusive=False, bucket=bucket,
+                          max_rows_per_bucket=max_rows_per_bucket)
     gap = F.col("__t") - F.col("__prev")
     fires = F.col("__prev").isNotNull() & F.col("__t").isNotNull() & (gap < limit)
     if alerts_only:
@@ -81,8 +83,8 @@ def repeat_alert(df: DataFrame, keys: str | Sequence[str], order: Sequence[str],
 
 def action_duration(df: DataFrame, keys: str | Sequence[str], order: Sequence[str],
                     action_col: str, *, login: str, logout: str,
-                    time_col: str | None = None,
-                    bucket: str | int = DEFAULT_BUCKET) -> DataFrame:
+                    time_col: str | None = None, bucket: str | int = DEFAULT_BUCKET,
+                    max_rows_per_bucket: int | None = DEFAULT_MAX_ROWS) -> DataFrame:
     """How long each user spent on each action.
 
     Per record, publish the key's previous action and the time since it,
@@ -98,7 +100,8 @@ def action_duration(df: DataFrame, keys: str | Sequence[str], order: Sequence[st
     time_col = time_col or order[0]
     base = df.select(*dict.fromkeys([*keys, *order, time_col, action_col]))
     base = base.withColumn("__t", epoch_micros(base, time_col))
-    prev = previous_in_key(base, keys, order, [action_col, "__t"], prefix="__p_", bucket=bucket)
+    prev = previous_in_key(base, keys, order, [action_col, "__t"], prefix="__p_", bucket=bucket,
+                           max_rows_per_bucket=max_rows_per_bucket)
     open_action = F.col(f"__p_{action_col}")
     ok = (F.col(f"__p___t").isNotNull()
           & F.coalesce(open_action != F.lit(logout), F.lit(True))

@@ -36,25 +36,57 @@ from pyspark.sql import types as T
 from trailmix.functions.time import duration_micros, epoch_micros
 
 BUCKET = "__bucket"
+SUB = "__sub"
 DEFAULT_BUCKET = "1 day"
+# A (key, bucket) with more rows than this is cut into equal time slices
+# (None turns the check off).  Hot list <= rows / DEFAULT_MAX_ROWS entries.
+DEFAULT_MAX_ROWS = 5_000_000
 
 
 def _names(keys: str | Sequence[str]) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
 
 
-def with_bucket(df: DataFrame, col: str, bucket: str | int) -> DataFrame:
-    """Add ``__bucket`` = floor(col / width); times in microseconds, numbers as is."""
+def _bucket_value(df: DataFrame, col: str, bucket: str | int) -> tuple[Column, int]:
     dtype = df.schema[col].dataType
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        value, width = epoch_micros(df, col), duration_micros(bucket)
-    elif isinstance(dtype, (T.IntegralType, T.FractionalType)) and isinstance(bucket, int):
-        value, width = F.col(col), bucket
-    else:
-        raise TypeError(f"cannot bucket {col} ({dtype}) by {bucket!r}")
+        return epoch_micros(df, col), duration_micros(bucket)
+    if isinstance(dtype, (T.IntegralType, T.FractionalType)) and isinstance(bucket, int):
+        return F.col(col), bucket
+    raise TypeError(f"cannot bucket {col} ({dtype}) by {bucket!r}")
+
+
+def with_bucket(df: DataFrame, col: str, bucket: str | int) -> DataFrame:
+    """Add ``__bucket`` = floor(col / width); times in microseconds, numbers as is."""
+    value, width = _bucket_value(df, col, bucket)
     return df.withColumn(BUCKET, F.floor(value / F.lit(width)).cast("long"))
 
 
+def bucketed(df: DataFrame, keys: list[str], col: str, bucket: str | int,
+             max_rows: int | None = None) -> tuple[DataFrame, list[str]]:
+    """Bucket columns for the two-phase scans: ``[__bucket]``, or with
+    ``max_rows`` also ``__sub``, which splits every (key, bucket) holding more
+    than ``max_rows`` rows into ``ceil(rows / max_rows)`` equal time slices.
+
+    The hot list comes from one count per (key, bucket), aggregated map-side;
+    it has at most ``rows / max_rows`` entries, which bounds what is
+    broadcast (choose ``max_rows`` of a few million at scale: 10^12 rows give
+    at most 10^6 entries).  The sub-bucket is monotone in ``col`` within a
+    bucket, so every scan stays exact.
+    """
+    base = with_bucket(df, col, bucket)
+    if max_rows is None:
+        return base, [BUCKET]
+    value, width = _bucket_value(df, col, bucket)
+    counts = base.groupBy(*keys, BUCKET).agg(F.count(F.lit(1)).alias("__cnt"))
+    hot = counts.filter(F.col("__cnt") > max_rows).select(
+        *keys, BUCKET, F.ceil(F.col("__cnt") / F.lit(max_rows)).cast("long").alias("__k"))
+    marked = _join_back(base, F.broadcast(hot), keys, [BUCKET])
+    frac = (value - F.col(BUCKET) * F.lit(width)) / F.lit(width)
+    sub = F.coalesce(F.floor(frac * F.col("__k")).cast("long"), F.lit(0).cast("long"))
+    return marked.withColumn(SUB, sub).drop("__k"), [BUCKET, SUB]
+
+
 _SHIFT = Decimal(10 ** 20)          # > 2^64: room for any BIGINT tie-breaker
 _LONG_OFFSET = Decimal(2 ** 63)     # BIGINT -> non-negative
 
@@ -79,49 +111,52 @@ def order_key(df: DataFrame, order: Sequence[str]) -> Column:
     return F.struct(*order)
 
 
-def _join_back(big: DataFrame, small: DataFrame, keys: list[str]) -> DataFrame:
-    """Left join on (keys, bucket), null-safe on the keys."""
-    s = small.select(*[F.col(k).alias(f"__s_{k}") for k in keys + [BUCKET]],
-                     *[c for c in small.columns if c not in keys + [BUCKET]])
-    cond = [big[k].eqNullSafe(s[f"__s_{k}"]) for k in keys + [BUCKET]]
+def _join_back(big: DataFrame, small: DataFrame, keys: list[str],
+               bcols: Sequence[str] = (BUCKET,)) -> DataFrame:
+    """Left join on (keys, bucket columns), null-safe on the keys."""
+    on = keys + list(bcols)
+    s = small.select(*[F.col(k).alias(f"__s_{k}") for k in on],
+                     *[c for c in small.columns if c not in on])
+    cond = [big[k].eqNullSafe(s[f"__s_{k}"]) for k in on]
     out = big.join(s, cond, "left")
-    return out.drop(*[f"__s_{k}" for k in keys + [BUCKET]])
+    return out.drop(*[f"__s_{k}" for k in on])
 
 
 def running_agg(df: DataFrame, keys: str | Sequence[str], order: Sequence[str],
                 value: Column | str, out: str, *, agg: str = "sum", inclusive: bool = True,
-                bucket: str | int = DEFAULT_BUCKET) -> DataFrame:
+                bucket: str | int = DEFAULT_BUCKET, max_rows_per_bucket: int | None = DEFAULT_MAX_ROWS
+                ) -> DataFrame:
     """Running ``sum``, ``max`` or ``last`` (last non-null) of ``value`` per
     key in ``order``; ``order`` must be unique within a key.
 
     ``inclusive=False`` excludes the current row (the value *before* it).
-    Buckets are cut on ``order[0]``.
+    Buckets are cut on ``order[0]`` (see ``bucketed`` for ``max_rows_per_bucket``).
     """
     keys = _names(keys)
-    base = with_bucket(df, order[0], bucket)
+    base, bc = bucketed(df, keys, order[0], bucket, max_rows_per_bucket)
     if isinstance(value, str):
         v = value  # no alias: both branches then need the same columns
     else:
         base, v = base.withColumn("__v", value), "__v"
     upper = Window.currentRow if inclusive else -1
-    w = (Window.partitionBy(*keys, BUCKET).orderBy(*order)
+    w = (Window.partitionBy(*keys, *bc).orderBy(*order)
          .rowsBetween(Window.unboundedPreceding, upper))
-    wb = Window.partitionBy(*keys).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    wb = Window.partitionBy(*keys).orderBy(*bc).rowsBetween(Window.unboundedPreceding, -1)
     incl = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     if agg == "last":
         fn = lambda c: F.last(c, ignorenulls=True)
     else:
         fn = {"sum": F.sum, "max": F.max}[agg]
-    ordered = Window.partitionBy(*keys, BUCKET).orderBy(*order)
+    ordered = Window.partitionBy(*keys, *bc).orderBy(*order)
     local = base.withColumn("__local", fn(v).over(w))
     local = local.withColumn("__incl", F.col("__local") if inclusive else fn(v).over(incl))
     local = local.withColumn("__last", F.lead(F.lit(1)).over(ordered).isNull())
     # The bucket's summary is the inclusive scan at its last row, taken from
     # the same windowed rows: one scan and one exchange, which AQE reuses.
-    totals = local.filter(F.col("__last")).select(*keys, BUCKET, F.col("__incl").alias("__btot"))
-    offsets = totals.select(*keys, BUCKET, fn("__btot").over(wb).alias("__off"))
+    totals = local.filter(F.col("__last")).select(*keys, *bc, F.col("__incl").alias("__btot"))
+    offsets = totals.select(*keys, *bc, fn("__btot").over(wb).alias("__off"))
 
-    joined = _join_back(local, offsets, keys)
+    joined = _join_back(local, offsets, keys, bc)
     if agg == "sum":
         res = (F.when(F.col("__local").isNull(), F.col("__off"))
                 .when(F.col("__off").isNull(), F.col("__local"))
@@ -135,15 +170,16 @@ def running_agg(df: DataFrame, keys: str | Sequence[str], order: Sequence[str],
 
 def previous_in_key(df: DataFrame, keys: str | Sequence[str], order: Sequence[str],
                     cols: Sequence[str], *, prefix: str = "prev_",
-                    bucket: str | int = DEFAULT_BUCKET) -> DataFrame:
+                    bucket: str | int = DEFAULT_BUCKET,
+                    max_rows_per_bucket: int | None = DEFAULT_MAX_ROWS) -> DataFrame:
     """Add ``prefix + c`` = value of ``c`` on the previous row of the same key.
 
     ``order`` must be unique within a key; buckets are cut on ``order[0]``.
     """
     keys = _names(keys)
     cols = list(cols)
-    base = with_bucket(df, order[0], bucket)
-    w = Window.partitionBy(*keys, BUCKET).orderBy(*order)
+    base, bc = bucketed(df, keys, order[0], bucket, max_rows_per_bucket)
+    w = Window.partitionBy(*keys, *bc).orderBy(*order)
     local = base.select(
         "*",
         *[F.lag(c).over(w).alias(f"__l_{c}") for c in cols],
@@ -153,11 +189,11 @@ def previous_in_key(df: DataFrame, keys: str | Sequence[str], order: Sequence[st
     # The bucket's last row comes from the same windowed rows: both branches
     # start from one exchange, which AQE reuses (no second scan, and no
     # sort-based max_by over a struct holding strings).
-    tails = local.filter(F.col("__last")).select(*keys, BUCKET, F.struct(*cols).alias("__tail"))
-    wb = Window.partitionBy(*keys).orderBy(BUCKET)
-    carry = tails.select(*keys, BUCKET, F.lag("__tail").over(wb).alias("__carry"))
+    tails = local.filter(F.col("__last")).select(*keys, *bc, F.struct(*cols).alias("__tail"))
+    wb = Window.partitionBy(*keys).orderBy(*bc)
+    carry = tails.select(*keys, *bc, F.lag("__tail").over(wb).alias("__carry"))
 
-    joined = _join_back(local, carry, keys)
+    joined = _join_back(local, carry, keys, bc)
     return joined.select(
         *df.columns,
         *[F.when(F.col("__first"), F.col(f"__carry.{c}")).otherwise(F.col(f"__l_{c}"))

@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 
 from trailmix.functions.time import (duration_micros, duration_string, epoch_micros,
                                      flatten_window, micros_to_time)
-from trailmix.operators.sequence import (BUCKET, DEFAULT_BUCKET, _join_back, _names,
-                                        order_key, with_bucket)
+from trailmix.operators.sequence import (DEFAULT_BUCKET, DEFAULT_MAX_ROWS, _join_back, _names, bucketed,
+                                        order_key)
 
 
 def _window(time_col: str, size: str, slide: str | None) -> Column:
@@ -81,7 +81,8 @@ def window_summary(df: DataFrame, time_col: str, size: str, *, slide: str | None
 
 
 def session_summary(df: DataFrame, keys: str | Sequence[str], time_col: str, gap: str, *,
-                    bucket: str | int = DEFAULT_BUCKET) -> DataFrame:
+                    bucket: str | int = DEFAULT_BUCKET,
+                    max_rows_per_bucket: int | None = DEFAULT_MAX_ROWS) -> DataFrame:
     """Per-key sessions: a new session starts when the time since the key's
     previous record exceeds ``gap`` (a gap exactly equal to ``gap`` merges).
 
@@ -100,38 +101,39 @@ def session_summary(df: DataFrame, keys: str | Sequence[str], time_col: str, gap
     # Only (keys, bucket, micros) cross the exchange, and both uses of the
     # partial sessions below need exactly those columns, so the exchange is
     # computed once and reused; output times are rebuilt from micros.
-    base = with_bucket(df.filter(F.col(time_col).isNotNull()), time_col, bucket)
-    base = base.select(*keys, BUCKET, epoch_micros(df, time_col).alias("__t"))
-    w = Window.partitionBy(*keys, BUCKET).orderBy("__t")
+    base, bc = bucketed(df.filter(F.col(time_col).isNotNull()), keys, time_col, bucket,
+                        max_rows_per_bucket)
+    base = base.select(*keys, *bc, epoch_micros(df, time_col).alias("__t"))
+    w = Window.partitionBy(*keys, *bc).orderBy("__t")
     prev = F.lag("__t").over(w)
     is_new = F.when(prev.isNull() | (F.col("__t") - prev > gap_us), 1).otherwise(0)
     local = base.withColumn("__new", is_new).withColumn(
         "__lsid", F.sum("__new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    partial = local.groupBy(*keys, BUCKET, "__lsid").agg(
+    partial = local.groupBy(*keys, *bc, "__lsid").agg(
         F.count(F.lit(1)).alias("__n"),
         F.min("__t").alias("__tmin"),
         F.max("__t").alias("__tmax"),
     )
-    per_bucket = partial.groupBy(*keys, BUCKET).agg(
+    per_bucket = partial.groupBy(*keys, *bc).agg(
         F.min("__tmin").alias("__bmin"),
         F.max("__tmax").alias("__bmax"),
         F.max("__lsid").alias("__nloc"),
     )
-    wb = Window.partitionBy(*keys).orderBy(BUCKET)
+    wb = Window.partitionBy(*keys).orderBy(*bc)
     prev_max = F.lag("__bmax").over(wb)
     glue = per_bucket.select(
-        *keys, BUCKET, "__nloc",
+        *keys, *bc, "__nloc",
         F.when(prev_max.isNotNull() & (F.col("__bmin") - prev_max <= gap_us), 1)
          .otherwise(0).alias("__glue"),
     )
     starts = F.col("__nloc") - F.col("__glue")
     glue = glue.select(
-        *keys, BUCKET, "__glue",
+        *keys, *bc, "__glue",
         F.coalesce(F.sum(starts).over(wb.rowsBetween(Window.unboundedPreceding, -1)),
                    F.lit(0)).alias("__off"),
     )
     sid = F.col("__off") + F.col("__lsid") - F.col("__glue")
-    tagged = _join_back(partial, glue, keys).withColumn("__sid", sid)
+    tagged = _join_back(partial, glue, keys, bc).withColumn("__sid", sid)
     sessions = tagged.groupBy(*keys, "__sid").agg(
         F.min("__tmin").alias("__first"),
         F.max("__tmax").alias("__last"),
