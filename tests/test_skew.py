@@ -134,6 +134,18 @@ def test_hot_bucket_is_split_by_count(burst):
     assert len(bc) == 2 and max(sizes) <= 400 and len(sizes) >= 15
 
 
+def test_short_burst_is_split_over_its_span(spark):
+    """2,000 rows of one user inside ten minutes of one day: slices follow
+    the span the rows cover, not the whole day."""
+    from trailmix.operators.sequence import bucketed
+    rows = [(i, 1, 43_200 + i * 600 // 2000) for i in range(2000)]
+    frame = spark.createDataFrame(rows, "event_id long, user_id long, sec long").withColumn(
+        "ts", F.timestamp_seconds("sec"))
+    base, bc = bucketed(frame, ["user_id"], "ts", "1 day", max_rows=200)
+    sizes = [r["count"] for r in base.groupBy("user_id", *bc).count().collect()]
+    assert sum(sizes) == 2000 and len(sizes) == 10 and max(sizes) <= 220
+
+
 def test_burst_scans_equal_fold(burst):
     frame, rows = burst
     kw = {"bucket": "1 day", "max_rows_per_bucket": 200}

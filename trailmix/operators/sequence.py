@@ -66,25 +66,31 @@ def bucketed(df: DataFrame, keys: list[str], col: str, bucket: str | int,
              max_rows: int | None = None) -> tuple[DataFrame, list[str]]:
     """Bucket columns for the two-phase scans: ``[__bucket]``, or with
     ``max_rows`` also ``__sub``, which splits every (key, bucket) holding more
-    than ``max_rows`` rows into ``ceil(rows / max_rows)`` equal time slices.
-
-    The hot list comes from one count per (key, bucket), aggregated map-side;
-    it has at most ``rows / max_rows`` entries, which bounds what is
-    broadcast (choose ``max_rows`` of a few million at scale: 10^12 rows give
-    at most 10^6 entries).  The sub-bucket is monotone in ``col`` within a
-    bucket, so every scan stays exact.
+    than ``max_rows`` rows into ``ceil(rows / max_rows)`` equal slices of the
+    time span its rows actually cover (so a burst inside a bucket is spread
+    too; rows sharing one instant stay together).
+
+    The hot list comes from one count (with least and greatest time) per
+    (key, bucket), aggregated map-side; it has at most ``rows / max_rows``
+    entries, which bounds what is broadcast (choose ``max_rows`` of a few
+    million at scale: 10^12 rows give at most 10^6 entries).  The sub-bucket
+    is monotone in ``col`` within a bucket, so every scan stays exact.
     """
     base = with_bucket(df, col, bucket)
     if max_rows is None:
         return base, [BUCKET]
-    value, width = _bucket_value(df, col, bucket)
-    counts = base.groupBy(*keys, BUCKET).agg(F.count(F.lit(1)).alias("__cnt"))
+    value, _ = _bucket_value(df, col, bucket)
+    base = base.withColumn("__bv", value)
+    counts = base.groupBy(*keys, BUCKET).agg(F.count(F.lit(1)).alias("__cnt"),
+                                             F.min("__bv").alias("__lo"),
+                                             F.max("__bv").alias("__hi"))
     hot = counts.filter(F.col("__cnt") > max_rows).select(
-        *keys, BUCKET, F.ceil(F.col("__cnt") / F.lit(max_rows)).cast("long").alias("__k"))
+        *keys, BUCKET, "__lo", (F.col("__hi") - F.col("__lo") + F.lit(1)).alias("__span"),
+        F.ceil(F.col("__cnt") / F.lit(max_rows)).cast("long").alias("__k"))
     marked = _join_back(base, F.broadcast(hot), keys, [BUCKET])
-    frac = (value - F.col(BUCKET) * F.lit(width)) / F.lit(width)
+    frac = (F.col("__bv") - F.col("__lo")) / F.col("__span")
     sub = F.coalesce(F.floor(frac * F.col("__k")).cast("long"), F.lit(0).cast("long"))
-    return marked.withColumn(SUB, sub).drop("__k"), [BUCKET, SUB]
+    return marked.withColumn(SUB, sub).drop("__k", "__lo", "__span", "__bv"), [BUCKET, SUB]
 
 
 _SHIFT = Decimal(10 ** 20)          # > 2^64: room for any BIGINT tie-breaker
