@@ -192,3 +192,21 @@ def test_burst_scans_equal_fold(burst):
     got = [(r.user_id, int(r.session_start.timestamp()), int(r.session_end.timestamp()), r.n)
            for r in out.collect()]
     assert sorted(got) == sorted(want)
+
+
+def test_reduce_by_key_splits_a_hot_key(spark):
+    """A user reduce over a key holding 97% of the rows: level one sees at
+    most one input partition's rows of the key; the result equals a direct
+    reduction."""
+    from trailmix.functions.hooks import reduce_by_key
+
+    rows = [(1 if i % 100 < 97 else 2 + i % 3, i % 1000) for i in range(20_000)]
+    df = spark.createDataFrame(rows, "k long, v long").repartition(16)
+    res = reduce_by_key(df, ["k"], "v", lambda s: int(s.max()), "long", out="top")
+    want = {}
+    for k, v in rows:
+        want[k] = max(want.get(k, v), v)
+    assert {r.k: r.top for r in res.collect()} == want
+    partial = df.groupBy("k", F.spark_partition_id().alias("p")).count()
+    sizes = [r["count"] for r in partial.filter("k = 1").collect()]
+    assert len(sizes) == 16 and max(sizes) < 0.1 * 20_000

@@ -8,12 +8,14 @@ those stay inside whole-stage code generation.  For the rest:
     map or a 0..n-rows-per-record process function;
   * ``reduce_udf``   — wrap an associative pandas reduction as a grouped
     aggregate usable in ``window_agg`` / ``groupBy().agg``;
+  * ``reduce_by_key`` — the same reduction in two levels (per key and input
+    partition, then per key), so a hot key is never one task's whole input;
   * ``now_millis``, ``to_bytes`` — wall clock in ms, text to bytes.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -43,6 +45,24 @@ def reduce_udf(fn: Callable[[pd.Series], object], return_type: T.DataType | str)
     return agg
 
 
+def reduce_by_key(df: DataFrame, keys: Sequence[str], value: str,
+                  fn: Callable[[pd.Series], object], return_type: T.DataType | str, *,
+                  out: str = "reduced") -> DataFrame:
+    """Per-key reduction by an associative ``fn`` whose result has the
+    values' type (the reference's reduce: T, T -> T), skew-safe.
+
+    Level one reduces each key within each input partition (the map-side
+    combine a pandas aggregate lacks), so one group never holds more than
+    one input partition's rows of a key.  Level two reduces those partials
+    per key: at most one row per input partition.  Both levels are grouped
+    pandas aggregates over Arrow batches.
+    """
+    agg = reduce_udf(fn, return_type)
+    partial = df.groupBy(*keys, F.spark_partition_id().alias("__part")).agg(
+        agg(F.col(value)).alias("__partial"))
+    return partial.groupBy(*keys).agg(agg(F.col("__partial")).alias(out))
+
+
 def now_millis() -> Column:
     """Current time in epoch milliseconds (one value per query / micro-batch)."""
     return F.unix_millis(F.current_timestamp())
