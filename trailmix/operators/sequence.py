@@ -118,16 +118,65 @@ def order_key(df: DataFrame, order: Sequence[str]) -> Column:
 
 
 def _join_back(big: DataFrame, small: DataFrame, keys: list[str],
-               bcols: Sequence[str] = (BUCKET,)) -> DataFrame:
-    """Left join on (keys, bucket columns), null-safe on the keys."""
+               bcols: Sequence[str] = (BUCKET,), *, null_safe: bool = True) -> DataFrame:
+    """Left join on (keys, bucket columns), null-safe on the keys unless
+    ``null_safe=False`` (keys from ``_plain_keys``, never null)."""
     on = keys + list(bcols)
     s = small.select(*[F.col(k).alias(f"__s_{k}") for k in on],
                      *[c for c in small.columns if c not in on])
-    cond = [big[k].eqNullSafe(s[f"__s_{k}"]) for k in on]
+    if null_safe:
+        cond = [big[k].eqNullSafe(s[f"__s_{k}"]) for k in on]
+    else:
+        cond = [big[k] == s[f"__s_{k}"] for k in on]
     out = big.join(s, cond, "left")
     return out.drop(*[f"__s_{k}" for k in on])
 
 
+def _plain_keys(df: DataFrame, keys: list[str], keep: Sequence[str]
+                ) -> tuple[DataFrame, list[str], dict[str, Column]]:
+    """Replace each nullable numeric or string key ``k`` by two never-null
+    stand-ins, ``(coalesce(k, 0 or ''), isnull(k))``; return the frame, the
+    stand-in key names and the expressions that restore the keys.
+
+    Windows partition by the stand-ins and the join back matches them with
+    plain equality, so the join keys are the window's own hash partitioning
+    and the full-row side is not shuffled again (a null-safe join hashes
+    ``coalesce``/``isnull`` expressions, which no earlier exchange produced).
+    The key itself is dropped so both branches of a scan carry the same
+    columns and AQE reuses the one exchange.  Returns no stand-ins when a key
+    has another type or is also an order or value column (``keep``).
+    """
+    out, restore, cols = [], {}, {}
+    for k in keys:
+        f = df.schema[k]
+        if not f.nullable:
+            out.append(k)
+        elif isinstance(f.dataType, (T.NumericType, T.StringType)) and k not in keep:
+            default = F.lit("") if isinstance(f.dataType, T.StringType) else F.lit(0)
+            kv, kn = f"__kv_{k}", f"__kn_{k}"
+            cols[kv] = F.coalesce(F.col(k), default.cast(f.dataType))
+            cols[kn] = F.col(k).isNull()
+            restore[k] = F.when(F.col(kn), F.lit(None).cast(f.dataType)).otherwise(F.col(kv))
+            out += [kv, kn]
+        else:
+            return df, [], {}
+    if not restore:
+        return df, out, {}
+    return df.withColumns(cols).drop(*restore), out, restore
+
+
+def _scan_keys(df: DataFrame, keys: list[str], keep: Sequence[str]
+               ) -> tuple[DataFrame, list[str], bool, dict[str, Column]]:
+    """Keys for a two-phase scan: never-null stand-ins when every key allows
+    them (then the join back is a plain equi-join), else the keys as given."""
+    df2, plain, restore = _plain_keys(df, keys, keep)
+    return (df2, plain, True, restore) if plain else (df, keys, False, {})
+
+
+def _restored(cols: Sequence[str], restore: dict[str, Column]) -> list[Column]:
+    return [restore[c].alias(c) if c in restore else F.col(c) for c in cols]
+
+
 def running_agg(df: DataFrame, keys: str | Sequence[str], order: Sequence[str],
                 value: Column | str, out: str, *, agg: str = "sum", inclusive: bool = True,
                 bucket: str | int = DEFAULT_BUCKET, max_rows_per_bucket: int | None = DEFAULT_MAX_ROWS
@@ -138,7 +187,9 @@ def running_agg(df: DataFrame, keys: str | Sequence[str], order: Sequence[str],
     ``inclusive=False`` excludes the current row (the value *before* it).
     Buckets are cut on ``order[0]`` (see ``bucketed`` for ``max_rows_per_bucket``).
     """
-    keys = _names(keys)
+    cols = df.columns
+    keep = [*order, *([value] if isinstance(value, str) else [])]
+    df, keys, plain, restore = _scan_keys(df, _names(keys), keep)
     base, bc = bucketed(df, keys, order[0], bucket, max_rows_per_bucket)
     if isinstance(value, str):
         v = value  # no alias: both branches then need the same columns
@@ -162,7 +213,7 @@ def running_agg(df: DataFrame, keys: str | Sequence[str], order: Sequence[str],
     totals = local.filter(F.col("__last")).select(*keys, *bc, F.col("__incl").alias("__btot"))
     offsets = totals.select(*keys, *bc, fn("__btot").over(wb).alias("__off"))
 
-    joined = _join_back(local, offsets, keys, bc)
+    joined = _join_back(local, offsets, keys, bc, null_safe=not plain)
     if agg == "sum":
         res = (F.when(F.col("__local").isNull(), F.col("__off"))
                 .when(F.col("__off").isNull(), F.col("__local"))
@@ -171,7 +222,7 @@ def running_agg(df: DataFrame, keys: str | Sequence[str], order: Sequence[str],
         res = F.greatest("__local", "__off")
     else:
         res = F.coalesce("__local", "__off")
-    return joined.select(*df.columns, res.alias(out))
+    return joined.select(*_restored(cols, restore), res.alias(out))
 
 
 def previous_in_key(df: DataFrame, keys: str | Sequence[str], order: Sequence[str],
@@ -182,8 +233,9 @@ def previous_in_key(df: DataFrame, keys: str | Sequence[str], order: Sequence[st
 
     ``order`` must be unique within a key; buckets are cut on ``order[0]``.
     """
-    keys = _names(keys)
     cols = list(cols)
+    out_cols = df.columns
+    df, keys, plain, restore = _scan_keys(df, _names(keys), [*order, *cols])
     base, bc = bucketed(df, keys, order[0], bucket, max_rows_per_bucket)
     w = Window.partitionBy(*keys, *bc).orderBy(*order)
     local = base.select(
@@ -199,9 +251,9 @@ def previous_in_key(df: DataFrame, keys: str | Sequence[str], order: Sequence[st
     wb = Window.partitionBy(*keys).orderBy(*bc)
     carry = tails.select(*keys, *bc, F.lag("__tail").over(wb).alias("__carry"))
 
-    joined = _join_back(local, carry, keys, bc)
+    joined = _join_back(local, carry, keys, bc, null_safe=not plain)
     return joined.select(
-        *df.columns,
+        *_restored(out_cols, restore),
         *[F.when(F.col("__first"), F.col(f"__carry.{c}")).otherwise(F.col(f"__l_{c}"))
           .alias(f"{prefix}{c}") for c in cols],
     )
