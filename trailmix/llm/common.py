@@ -8,6 +8,7 @@ import uuid
 import zipfile
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -130,21 +131,20 @@ def whole_groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Tab
     """Batches of rows sorted by ``key``, cut again so that no key's rows lie
     in two of them.  Holds one batch and the rows of its last key."""
     held: list[pa.RecordBatch] = []
+    last = None
     for b in batches:
         if not b.num_rows:
             continue
-        keys = b.column(key)
-        last = keys[b.num_rows - 1]
-        n = b.num_rows
-        at = n - 1
-        while at > 0 and keys[at - 1] == last:
-            at -= 1
-        if held and held[-1].column(key)[held[-1].num_rows - 1] != keys[0]:
+        keys = b.column(key).to_numpy(zero_copy_only=False)
+        other = np.flatnonzero(keys != keys[-1])
+        at = int(other[-1]) + 1 if len(other) else 0
+        if held and last != keys[0]:
             yield pa.Table.from_batches(held)
             held = []
         if at:
             yield pa.Table.from_batches([*held, b.slice(0, at)])
             held = []
         held.append(b.slice(at))
+        last = keys[-1]
     if held:
         yield pa.Table.from_batches(held)

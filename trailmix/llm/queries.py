@@ -3,18 +3,21 @@ parameters, reduced to the columns that its contract names."""
 
 from __future__ import annotations
 
+import os
 import uuid
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trailmix.llm import exact_dedup, packing, sharding, token_file
+from trailmix.llm import bpe, exact_dedup, language, lines, near_dedup, packing, pii, quality, sharding, token_file
 from trailmix.llm.common import documents
 from trailmix.session import ensure_checkpoint_dir
 
 SHARDS = 24
 WINDOW = 4096
+# Key of the surrogates; a production run passes its own.
+KEY = b"trailmix-surrogates"
 
 
 def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -37,7 +40,34 @@ def op7_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_file.read_token_file(spark, path, ids=False)
 
 
-QUERIES = {f.__name__: f for f in (op1_sharding, op3_exact_dedup, op4_packing, op7_token_file)}
+def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode_documents(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.tiktoken"),
+                                public_tokenizers.PATTERN, digest=True)
+
+
+def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(documents(spark, sf_dir), k=4, percent=80)
+
+
+def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.drop_repeated_lines(documents(spark, sf_dir))
+
+
+def op5_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.replace_personal_data(documents(spark, sf_dir), KEY).select("doc_id", "text", "n_replaced", "kinds")
+
+
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(documents(spark, sf_dir))
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(os.path.join(sf_dir, "labels.parquet"))
+    return quality.quality(documents(spark, sf_dir), labels)
+
+
+QUERIES = {f.__name__: f for f in (op1_sharding, op2_near_dedup, op3_exact_dedup, op4_packing, op5_surrogates, op6_language,
+                                    op7_token_file, op8_quality, op9_bpe, op10_lines)}
 
 ORACLE = {
     "op3_exact_dedup": """
