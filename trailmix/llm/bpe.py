@@ -5,7 +5,8 @@ into chunks that overlap by ``overlap`` characters, which separate tasks split
 into pre-tokens.  The pattern is matched from left to right and a match
 depends only on where it starts, so from the first boundary that two
 neighbouring chunks have in common in their overlap they agree: there the text
-is cut.  The start of a match is a true boundary even near a chunk's end; only
+is cut, if no white space stands before it (a run of white space is split by
+what follows it, so it stays with the piece after).  The start of a match is a true boundary even near a chunk's end; only
 the last match of a chunk may be cut short, and its end is not used.  Where
 neighbours share no boundary (one piece longer than the overlap) the rest of
 the text, from the last proven boundary on, stays in one piece.  Pieces are
@@ -142,7 +143,7 @@ def _cuts(chunks: DataFrame, ranks: str, pattern: str, chunk: int, overlap: int)
         for b in batches:
             heads, tails = [], []
             for text in b.column("chunk").to_pylist():
-                starts = [m.start() for m in split.finditer(text)]
+                starts = [s for m in split.finditer(text) if (s := m.start()) and not text[s - 1].isspace()]
                 heads.append([s for s in starts if s <= overlap])
                 tails.append([s - chunk for s in starts if s >= chunk])
             kind = pa.list_(pa.int32())

@@ -159,9 +159,8 @@ class _Draw:
         return items[self.below(len(items))]
 
     def like(self, text: str) -> str:
-        """Letters for letters, digits for digits."""
-        hexa = len(text) >= 8 and re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", text)
-        if hexa:
+        """Letters for letters, digits for digits, hexadecimal for hexadecimal."""
+        if len(text) >= 8 and re.search("[a-fA-F]", text) and re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", text):
             return "".join(self.of("0123456789abcdef" if text.lower() == text else "0123456789ABCDEF") for _ in text)
         return "".join(self.of(string.digits) if c.isdigit() else self.of(string.ascii_lowercase) if c.islower()
                        else self.of(string.ascii_uppercase) if c.isupper() else c for c in text)
