@@ -1,0 +1,107 @@
+import itertools
+import random
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from tests.conftest import SF_SMALL
+from tests.llm.cases import awkward, awkward_rows, empty, plain
+from trailmix.llm import queries
+from trailmix.llm.language import Model, Tagger, identify, keep_identified, predict, tag_words, train, training_sample
+
+SF = SF_SMALL.replace("0.001", "0.01")
+
+
+@pytest.fixture(scope="module")
+def model(spark):
+    return train(training_sample(spark.read.parquet(f"{SF}/documents.parquet")))
+
+
+def test_forward_backward_equals_enumeration():
+    rng = np.random.default_rng(1)
+    n = 3
+    tagger = Tagger(Model(["a", "b", "c"], np.zeros((4, n)), rng.normal(size=(n, n)), {}))
+    tagger.scores = np.exp(rng.normal(size=(20, n))).astype(np.float32)
+    rows = [rng.integers(0, 20, k) for k in (1, 4, 0, 6, 2, 4)]
+    move = np.exp(tagger.model.moves)
+    summed = tagger.posteriors(rows)
+    for r, each, total in zip(rows, tagger.posteriors(rows, each=True), summed, strict=True):
+        want = np.zeros((len(r), n))
+        for path in itertools.product(range(n), repeat=len(r)):
+            p = np.prod([tagger.scores[w, y] for w, y in zip(r, path, strict=True)]) * np.prod([move[a, b] for a, b in itertools.pairwise(path)])
+            for t, y in enumerate(path):
+                want[t, y] += p
+        want = want / want.sum(1, keepdims=True) if len(r) else want
+        assert np.allclose(each, want, atol=1e-4) and np.allclose(total, want.sum(0), atol=1e-3)
+
+
+def test_held_out_accuracy(spark, model):
+    lang = {r["doc_id"]: r["lang"] for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    out = queries.op6_language(spark, SF).collect()
+    assert len(out) == len(lang)
+    for r in out:
+        assert r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2) and 0 <= r["score"] <= 1
+    held = [r for r in out if r["held_out"]]
+    assert sum(r["lang_pred"] == lang[r["doc_id"]] for r in held) >= 0.99 * len(held) > 100
+
+
+def test_held_out_rows_teach_nothing(spark, model):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    held = {r["doc_id"]: r["text"] for r in docs.collect() if zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2}
+    others = {r["text"] for r in docs.collect() if r["doc_id"] not in held}
+    sample = [t for t, _ in training_sample(docs)]
+    assert sample and all(any(t in o for o in others) for t in sample[:50])
+    again = train(training_sample(docs.repartition(5)))
+    assert np.array_equal(again.weights, model.weights) and again.lexicon == model.lexicon
+
+
+def test_code_switched_words(spark, model):
+    rng = random.Random(2)
+    by = {}
+    for r in spark.read.parquet(f"{SF}/documents.parquet").orderBy("doc_id").collect():
+        if zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2 and "!!" not in r["text"]:
+            by.setdefault(r["lang"], []).append([w for w in r["text"].split() if w.strip(".,").isalpha()])
+    right = total = 0
+    for _ in range(40):
+        text, gold = [], []
+        for lang in rng.choices(sorted(by), k=4):
+            w = rng.choice([x for x in by[lang] if len(x) > 12])
+            at = rng.randrange(len(w) - 10)
+            text += w[at:at + 10]
+            gold += [lang] * 10
+        tags = tag_words([" ".join(text)], model)[0]
+        assert len(tags) == len(gold)
+        right += sum(a == b for (_, a), b in zip(tags, gold, strict=True))
+        total += len(gold)
+    assert right >= 0.9 * total
+    assert np.all(np.diag(model.moves) > model.moves.mean())
+
+
+def test_awkward(spark, model):
+    out = predict(awkward(spark), model).collect()
+    raw = awkward_rows()
+    assert Counter(r["doc_id"] for r in out) == Counter(r[0] for r in raw)
+    none = {(r[0]) for r in raw if not any(c.isalpha() for c in r[1] or "")} - {None}
+    for r in out:
+        if r["doc_id"] is not None:
+            assert (r["lang_pred"] == "und") == (r["doc_id"] in none) and (r["score"] == 0) == (r["doc_id"] in none)
+    rows = [(1, "½ ² 12 !!", "en", "a", 1), (2, "x² ß", "en", "a", 1)]
+    assert [r["lang_pred"] == "und" for r in predict(plain(spark, rows), model).orderBy("doc_id").collect()] == [True, False]
+    df = identify(awkward(spark))
+    assert df.count() == len(raw) and df.filter("doc_id is null and held_out").count() == 0
+    kept = keep_identified(awkward(spark))
+    assert kept.columns == awkward(spark).columns and all(r[1] is not None for r in kept.collect())
+
+
+def test_empty_and_unlabelled(spark, model):
+    assert identify(empty(spark)).count() == 0 and predict(empty(spark), model).count() == 0
+    assert keep_identified(empty(spark)).count() == 0
+    rows = [(i, "some words here", None, "a", 1) for i in range(9)]
+    assert {(r["lang_pred"], r["score"]) for r in identify(plain(spark, rows)).collect()} == {("und", 0.0)}
+
+
+def test_long_text(model):
+    t = Tagger(model)
+    assert t.languages(["the of and " * 50_000])[0][0] == "en"
