@@ -133,20 +133,20 @@ def test_late_split_is_a_partition(spark):
 
 def test_bad_lines_are_rejected(spark):
     lines = [
-        '"1","Maaz","Customer","Delete","1575000000000","7","3"',   # ok
-        '1,Maaz,Customer,Delete,1575000000000,7,3,extra,fields',    # ok, extras ignored
-        '"1","Maaz","Customer","Delete","1575000000000","7"',       # too few fields
-        'x,Maaz,Customer,Delete,1575000000000,7,3',                 # non-numeric id
+        '"1","Ada","Customer","Delete","1575000000000","7","3"',   # ok
+        '1,Ada,Customer,Delete,1575000000000,7,3,extra,fields',    # ok, extras ignored
+        '"1","Ada","Customer","Delete","1575000000000","7"',       # too few fields
+        'x,Ada,Customer,Delete,1575000000000,7,3',                 # non-numeric id
         '',                                                         # blank
         '"1","a,b","Customer","Delete","1575000000000","7","3"',    # quoted comma splits
-        '1,Maaz,Customer,Delete,1575000000000, 7,3',                # space in number
-        '1,Maaz,Customer,Delete,1575000000000,7,',                  # trailing empty field
-        '1,Maaz,Customer,Delete,1575000000000,99999999999,3',       # int overflow
+        '1,Ada,Customer,Delete,1575000000000, 7,3',                # space in number
+        '1,Ada,Customer,Delete,1575000000000,7,',                  # trailing empty field
+        '1,Ada,Customer,Delete,1575000000000,99999999999,3',       # int overflow
     ]
     df = spark.createDataFrame([(v,) for v in lines], "value string")
     parsed, rejects = parse_audit(df)
     ok = parsed.collect()
-    assert len(ok) == 2 and all(r.duration == 7 and r.user == "Maaz" for r in ok)
+    assert len(ok) == 2 and all(r.duration == 7 and r.user == "Ada" for r in ok)
     reasons = sorted(r.reason for r in rejects.collect())
     assert len(reasons) == 7
     assert reasons.count("too_few_fields") == 3

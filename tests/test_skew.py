@@ -129,21 +129,52 @@ def burst(spark):
 def test_hot_bucket_is_split_by_count(burst):
     from trailmix.operators.sequence import bucketed
     frame, _ = burst
-    base, bc = bucketed(frame, ["user_id"], "ts", "1 day", max_rows=200)
+    base, bc = bucketed(frame, ["user_id"], ["ts", "event_id"], "1 day", max_rows=200)
     sizes = [r["count"] for r in base.groupBy("user_id", *bc).count().collect()]
-    assert len(bc) == 2 and max(sizes) <= 400 and len(sizes) >= 15
+    assert len(bc) == 3 and max(sizes) <= 400 and len(sizes) >= 15
 
 
-def test_short_burst_is_split_over_its_span(spark):
-    """2,000 rows of one user inside ten minutes of one day: slices follow
-    the span the rows cover, not the whole day."""
+SHAPES = {
+    "ten_minutes": [43_200 + i * 600 // 20_000 for i in range(20_000)],
+    "stray_ends": [0, 86_399, *[43_200 + i % 60 for i in range(20_000)]],
+    "one_instant": [43_200] * 20_000,
+    "two_instants": [43_200] * 15_000 + [50_000] * 5_000,
+    "spread": [i * 4 for i in range(20_000)],
+}
+
+
+@pytest.mark.parametrize("shape", sorted(SHAPES))
+def test_slices_are_bounded_for_any_spread(spark, shape):
+    """Slices follow the rows, not the clock; an instant is cut by the tie-break."""
     from trailmix.operators.sequence import bucketed
-    rows = [(i, 1, 43_200 + i * 600 // 2000) for i in range(2000)]
+    rows = [(i, 1, sec) for i, sec in enumerate(SHAPES[shape])] + [(i, 2, 7) for i in range(5)]
     frame = spark.createDataFrame(rows, "event_id long, user_id long, sec long").withColumn(
         "ts", F.timestamp_seconds("sec"))
-    base, bc = bucketed(frame, ["user_id"], "ts", "1 day", max_rows=200)
+    base, bc = bucketed(frame, ["user_id"], ["ts", "event_id"], "1 day", max_rows=1000)
     sizes = [r["count"] for r in base.groupBy("user_id", *bc).count().collect()]
-    assert sum(sizes) == 2000 and len(sizes) == 10 and max(sizes) <= 220
+    assert sum(sizes) == len(rows) and max(sizes) <= 2000
+    # Slices ascend with the order.
+    spans = base.filter("user_id = 1").groupBy(*bc).agg(
+        F.min(F.struct("ts", "event_id")).alias("lo"), F.max(F.struct("ts", "event_id")).alias("hi")).orderBy(*bc).collect()
+    assert all(a["hi"] < b["lo"] for a, b in zip(spans, spans[1:]))
+
+
+def test_hot_slices_are_counted_once_for_several_scans(burst):
+    """A second scan that is given the slices adds no job before it runs."""
+    from trailmix.operators.sequence import hot_slices
+    frame, _ = burst
+    order = ["ts", "event_id"]
+    hot = hot_slices(frame, ["user_id"], order, "1 day", 200)
+    assert hot.count() == 1 and hot_slices(frame, ["user_id"], order, "1 day", 10_000) is None
+    kw = {"bucket": "1 day", "hot": hot}
+    sc = frame.sparkSession.sparkContext
+    sc.setJobGroup("shared-slices", "")
+    a = keyed.running_sum(frame, "user_id", order, "v", **kw)
+    jobs = sc.statusTracker().getJobIdsForGroup("shared-slices")
+    sc.setJobGroup("", "")
+    assert len(jobs) <= 2                 # the length of the (written) slice list
+    b = keyed.running_sum(frame, "user_id", order, "v", max_rows_per_bucket=None)
+    assert sorted(a.collect()) == sorted(b.collect())
 
 
 def test_burst_scans_equal_fold(burst):

@@ -160,12 +160,61 @@ def test_restart_from_checkpoint_has_no_duplicates(spark, scratch):
 
 def test_kafka_rows_parse(spark):
     rows = spark.createDataFrame(
-        [(b"1575000000000", b"0,Maaz,Customer,Delete,1575000000000,7,3", 0)],
-        "key binary, value binary, p int").withColumn("timestamp", F.current_timestamp())
+        [(b"1575000000000", b"0,Ada,Customer,Delete,1575000000000,7,3", 0)],
+        "key binary, value binary, partition int").withColumns({"timestamp": F.current_timestamp(), "offset": F.lit(5).cast("long")})
     parsed, rejects = parse_audit(lines_from_kafka_rows(rows), keep=["arrival_time"])
     r = parsed.first()
-    assert (r.user, r.operation, r.timestamp, r.duration) == ("Maaz", "Delete", 1575000000000, 7)
+    assert (r.user, r.operation, r.timestamp, r.duration) == ("Ada", "Delete", 1575000000000, 7)
     assert rejects.count() == 0
+    kept = lines_from_kafka_rows(rows).first()
+    assert (kept.kafka_partition, kept.kafka_offset) == (0, 5) and kept.broker_time is not None
+
+
+def test_late_split_keeps_null_times(spark):
+    from trailmix.operators import late
+    rows = spark.createDataFrame([(1, 0, 10), (2, None, 10), (3, 0, None), (4, 0, 10 ** 6)], "id long, t long, a long")
+    rows = rows.select("id", F.timestamp_seconds("t").alias("t"), F.timestamp_seconds("a").alias("a"))
+    on_time, late_rows = late.split_late(rows, "t", "a", "1 hour", "2 hours", "30 minutes")
+    assert sorted(r.id for r in on_time.collect()) == [1, 2, 3] and [r.id for r in late_rows.collect()] == [4]
+
+
+def test_folds_do_not_depend_on_batch_borders(spark, scratch):
+    """Arrival out of time order, in 1, 2 and 4 micro-batches."""
+    rows = [(i, "u", t, "error" if i % 2 else "view", i) for i, t in enumerate([5, 20, 19, 8, 40, 39, 41, 2])]
+    want = None
+    for n in (1, 2, 4):
+        src = os.path.join(scratch, f"order{n}")
+        os.makedirs(src)
+        per, now = len(rows) // n, time.time() - 1000
+        for i in range(n):
+            p = os.path.join(src, f"{i}.csv")
+            with open(p, "w") as f:
+                f.writelines(",".join(map(str, r)) + "\n" for r in rows[i * per:(i + 1) * per])
+            os.utime(p, (now + i, now + i))
+        df = (spark.readStream.schema("id long, user string, sec long, op string, v long").option("maxFilesPerTrigger", 1)
+              .csv(src).withColumn("ts", F.timestamp_seconds("sec")))
+        alerts = P.repeat_alert_stream(P.keyed_input(df, ["user"], "ts", "id", {"op": "op"}, order="id"), ["user"], "error", "10 seconds")
+        spent = P.action_duration_stream(P.keyed_input(df, ["user"], "ts", "id", {"action": "op"}, order="id"), ["user"], login="-", logout="-")
+        got = [sorted(map(tuple, _drain(spark, d, f"order_{k}_{n}", scratch).collect())) for k, d in (("alerts", alerts), ("spent", spent))]
+        want = want or got
+        assert got == want
+    assert len(want[0]) == 2 and len(want[1]) == len(rows)
+
+
+def test_running_sum_refuses_doubles_and_skips_nulls(spark):
+    df = spark.createDataFrame([(1, 0.5)], "user long, v double").withColumn("ts", F.current_timestamp())
+    with pytest.raises(TypeError):
+        P.running_sum_stream(P.keyed_input(df, ["user"], "ts", None, {"value": "v"}), ["user"])
+
+
+def test_checkpoint_folder_must_be_shared_on_a_cluster(monkeypatch):
+    from types import SimpleNamespace
+
+    from trailmix.session import ensure_checkpoint_dir
+    conf = {"spark.master": "spark://somewhere:7077"}
+    fake = SimpleNamespace(conf=SimpleNamespace(get=lambda k, d=None: conf.get(k, d)))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(fake)
 
 
 def test_jobs_run(spark, audit_dir, browser_dir, scratch):
@@ -177,11 +226,16 @@ def test_jobs_run(spark, audit_dir, browser_dir, scratch):
         _stream(spark, audit_dir), os.path.join(out, "r"), **ck).items()})
     qs.update({f"s_{k}": v for k, v in jobs.split_combine_job(
         _stream(spark, audit_dir), os.path.join(out, "s"), **ck).items()})
+    # On event time, records arrive when they happen.
+    def on_the_spot():
+        ms = F.split(F.replace("value", F.lit('"'), F.lit("")), ",")[4].cast("long")
+        return _stream(spark, audit_dir).withColumn("arrival_time", F.timestamp_millis(ms))
+
     qs.update({f"w_{k}": v for k, v in jobs.session_job(
-        _stream(spark, audit_dir), os.path.join(out, "w"), time_col="event_time",
+        on_the_spot(), os.path.join(out, "w"), time_col="event_time",
         **ck).items()})
     qs.update({f"j_{k}": v for k, v in jobs.window_join_job(
-        _stream(spark, audit_dir), _stream(spark, audit_dir), os.path.join(out, "j"),
+        on_the_spot(), on_the_spot(), os.path.join(out, "j"),
         time_col="event_time", window="1 day", **ck).items()})
     qs.update({f"d_{k}": v for k, v in jobs.delete_alert_job(
         _stream(spark, audit_dir), os.path.join(out, "d"), within="2 days", **ck).items()})
@@ -208,15 +262,33 @@ def test_jobs_run(spark, audit_dir, browser_dir, scratch):
     assert pairs.filter("pairs = left_n * right_n").count() == pairs.count() > 0
     summary = [r.value for r in spark.read.text(os.path.join(out, "a", "five_sec_summary")).collect()]
     assert all(v.startswith("(") and v.endswith(")") for v in summary)
+    assert summary
     late_n = spark.read.parquet(os.path.join(out, "e", "late")).count()
     on_time = spark.read.parquet(os.path.join(out, "e", "counts"))
     emitted = on_time.agg(F.sum("n")).first()[0] or 0
-    assert late_n > 0 and emitted > 0 and late_n + emitted <= 1000
+    # Every record is late, counted, or in a window that is still open.
+    open_rows = sum(r["n"] for r in _still_open(spark, os.path.join(out, "e", "landed"), on_time))
+    assert late_n > 0 and emitted > 0 and late_n + emitted + open_rows == 1000
+    # One query read each source; the outputs read what it landed.
+    assert sum(p["numInputRows"] for p in qs["landed"].recentProgress) == 1000
+    for folder in ("a", "r", "s", "w", "d", "b", "e"):
+        assert spark.read.parquet(os.path.join(out, folder, "landed")).count() == 1000
+    assert all(_dropped(q) == 0 for q in qs.values())
     msgs = [r.value for r in spark.read.text(os.path.join(out, "e", "messages")).collect()]
     assert msgs and all(" = " in m for m in msgs)
     assert glob.glob(os.path.join(out, "d", "alerts", "*.parquet"))
 
 
+def _still_open(spark, landed, emitted):
+    """Counts of the on-time windows that were not emitted yet."""
+    from trailmix.operators import late
+
+    rows = spark.read.parquet(landed).filter("__rec.reason is null").select("arrival_time", F.timestamp_millis("__rec.timestamp").alias("event_time"))
+    on_time, _ = late.split_late(rows, "event_time", "arrival_time", "1 hour", "2 hours", "30 minutes")
+    want = windows.window_count(on_time, "event_time", "1 hour")
+    return want.join(emitted.select("window_start"), "window_start", "left_anti").collect()
+
+
 def _dropped(q):
     return sum(op.get("numRowsDroppedByWatermark", 0)
                for p in q.recentProgress for op in p.get("stateOperators", []))

@@ -21,15 +21,23 @@ from trailmix.functions.time import flatten_window
 from trailmix.operators.windows import _window
 
 
-def _keyed(df: DataFrame, key: Column | str, time_col: str, side: int) -> DataFrame:
+# Aggregates of one side that a join result may carry: they combine map-side.
+SIDE_AGGREGATES = {"min": F.min, "max": F.max, "sum": F.sum}
+SideValues = dict[str, tuple[Column | str, str]]
+
+
+def _keyed(df: DataFrame, key: Column | str, time_col: str, side: int,
+           own: SideValues, other: SideValues) -> DataFrame:
     k = F.col(key) if isinstance(key, str) else key
-    return df.select(k.alias("__key"), F.col(time_col).alias("__time"),
-                     F.lit(side).alias("__side"))
+    values = [(F.col(c) if isinstance(c, str) else c).alias(n) for n, (c, _) in own.items()]
+    return df.select(k.alias("__key"), F.col(time_col).alias("__time"), F.lit(side).alias("__side"),
+                     *values, *[F.lit(None).alias(n) for n in other])
 
 
 def window_join_pairs(left: DataFrame, right: DataFrame, left_key: Column | str,
                       right_key: Column | str, left_time: str, right_time: str, size: str,
-                      *, key_out: str = "key") -> DataFrame:
+                      *, key_out: str = "key", left_values: SideValues | None = None,
+                      right_values: SideValues | None = None) -> DataFrame:
     """Pairs per (key, window) of the inner join ``left.key == right.key``
     within the same tumbling window of ``size``.
 
@@ -37,18 +45,25 @@ def window_join_pairs(left: DataFrame, right: DataFrame, left_key: Column | str,
     ``window_start, window_end, <key_out>, left_n, right_n, pairs``; only
     windows where both sides have rows appear, as in an inner join.  Null
     keys never match.
+
+    ``left_values`` and ``right_values`` carry something of each side into the
+    result without making pairs: ``{name: (column or expression, "min" | "max"
+    | "sum")}`` over that side's rows of the (key, window).
     """
-    both = _keyed(left, left_key, left_time, 1).unionByName(_keyed(right, right_key, right_time, 0))
+    lv, rv = left_values or {}, right_values or {}
+    both = _keyed(left, left_key, left_time, 1, lv, rv).unionByName(_keyed(right, right_key, right_time, 0, rv, lv))
     both = both.filter(F.col("__key").isNotNull())
     agg = both.groupBy(_window("__time", size, None).alias("window"), "__key").agg(
         F.sum("__side").alias("left_n"),
         F.sum(1 - F.col("__side")).alias("right_n"),
+        *[SIDE_AGGREGATES[how](name).alias(name) for name, (_, how) in {**lv, **rv}.items()],
     )
     out = agg.filter((F.col("left_n") > 0) & (F.col("right_n") > 0)).select(
         "window", F.col("__key").alias(key_out),
         F.col("left_n").cast("long").alias("left_n"),
         F.col("right_n").cast("long").alias("right_n"),
         (F.col("left_n") * F.col("right_n")).cast("long").alias("pairs"),
+        *lv, *rv,
     )
     return flatten_window(out)
 

@@ -22,7 +22,8 @@ from trailmix.schemas import NO_ACTION, NO_ALERT
 
 def running_sum(df: DataFrame, keys: str | Sequence[str], order: Sequence[str], value: str,
                 *, out: str = "running_total", bucket: str | int = DEFAULT_BUCKET,
-                max_rows_per_bucket: int | None = DEFAULT_MAX_ROWS) -> DataFrame:
+                max_rows_per_bucket: int | None = DEFAULT_MAX_ROWS,
+                 hot: DataFrame | None = None) -> DataFrame:
     """One output row per input row: the key's sum of ``value`` so far.
 
     The reference names this a running count but sums a field; a count is
@@ -31,13 +32,14 @@ def running_sum(df: DataFrame, keys: str | Sequence[str], order: Sequence[str],
     """
     keys = _names(keys)
     return running_agg(df.select(*dict.fromkeys([*keys, *order, value])), keys, order, value,
-                       out, agg="sum", bucket=bucket, max_rows_per_bucket=max_rows_per_bucket)
+                       out, agg="sum", bucket=bucket, max_rows_per_bucket=max_rows_per_bucket, hot=hot)
 
 
 def repeat_alert(df: DataFrame, keys: str | Sequence[str], order: Sequence[str], op_col: str,
                  trigger: str, threshold: str | int, *, time_col: str | None = None,
                  alerts_only: bool = True, bucket: str | int = DEFAULT_BUCKET,
-                 max_rows_per_bucket: int | None = DEFAULT_MAX_ROWS) -> DataFrame:
+                 max_rows_per_bucket: int | None = DEFAULT_MAX_ROWS,
+                 hot: DataFrame | None = None) -> DataFrame:
     """Alert when a key repeats ``trigger`` within ``threshold`` of its previous
     ``trigger`` record (strictly less; compared in microseconds).
 
@@ -62,12 +64,14 @@ def repeat_alert(df: DataFrame, keys: str | Sequence[str], order: Sequence[str],
     is_trigger = F.coalesce(F.col(op_col) == F.lit(trigger), F.lit(False))
     if alerts_only:
         base = base.filter(F.col(op_col) == F.lit(trigger))  # pushed to the scan
-        marked = base.withColumn("__t", t)
+        # Every row is a trigger, so the last trigger is the previous row.
+        scanned = previous_in_key(base.withColumn("__t", t), keys, order, ["__t"], prefix="__p_", bucket=bucket,
+                                  max_rows_per_bucket=max_rows_per_bucket, hot=hot).withColumnRenamed("__p___t", "__prev")
     else:
         marked = base.withColumn("__t", F.when(is_trigger, t))
-    scanned = running_agg(marked, keys, order, "__t", "__prev",
-                          agg="last", inclusive=False, bucket=bucket,
-                          max_rows_per_bucket=max_rows_per_bucket)
+        scanned = running_agg(marked, keys, order, "__t", "__prev",
+                              agg="last", inclusive=False, bucket=bucket,
+                              max_rows_per_bucket=max_rows_per_bucket, hot=hot)
     gap = F.col("__t") - F.col("__prev")
     fires = F.col("__prev").isNotNull() & F.col("__t").isNotNull() & (gap < limit)
     if alerts_only:
@@ -84,7 +88,8 @@ def repeat_alert(df: DataFrame, keys: str | Sequence[str], order: Sequence[str],
 def action_duration(df: DataFrame, keys: str | Sequence[str], order: Sequence[str],
                     action_col: str, *, login: str, logout: str,
                     time_col: str | None = None, bucket: str | int = DEFAULT_BUCKET,
-                    max_rows_per_bucket: int | None = DEFAULT_MAX_ROWS) -> DataFrame:
+                    max_rows_per_bucket: int | None = DEFAULT_MAX_ROWS,
+                 hot: DataFrame | None = None) -> DataFrame:
     """How long each user spent on each action.
 
     Per record, publish the key's previous action and the time since it,
@@ -101,7 +106,7 @@ def action_duration(df: DataFrame, keys: str | Sequence[str], order: Sequence[st
     base = df.select(*dict.fromkeys([*keys, *order, time_col, action_col]))
     base = base.withColumn("__t", epoch_micros(base, time_col))
     prev = previous_in_key(base, keys, order, [action_col, "__t"], prefix="__p_", bucket=bucket,
-                           max_rows_per_bucket=max_rows_per_bucket)
+                           max_rows_per_bucket=max_rows_per_bucket, hot=hot)
     open_action = F.col(f"__p_{action_col}")
     ok = (F.col(f"__p___t").isNotNull()
           & F.coalesce(open_action != F.lit(logout), F.lit(True))

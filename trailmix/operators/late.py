@@ -37,11 +37,13 @@ def watermark_at(arrival_us: Column, refresh: str | int, buffer: str | int) -> C
 
 def late_flag(df: DataFrame, time_col: str, arrival_col: str, size: str,
               refresh: str | int, buffer: str | int) -> Column:
-    """True where the record's tumbling window of ``size`` had closed when it arrived."""
+    """True where the record's tumbling window of ``size`` had closed when it
+    arrived; false where one of the two times is null (nothing shows it late)."""
     w = F.lit(duration_micros(size))
     t = epoch_micros(df, time_col)
     window_end = t - F.pmod(t, w) + w
-    return (window_end - F.lit(ONE_MS)) <= watermark_at(epoch_micros(df, arrival_col), refresh, buffer)
+    closed = (window_end - F.lit(ONE_MS)) <= watermark_at(epoch_micros(df, arrival_col), refresh, buffer)
+    return F.coalesce(closed, F.lit(False))
 
 
 def split_late(df: DataFrame, time_col: str, arrival_col: str, size: str,

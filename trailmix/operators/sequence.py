@@ -34,13 +34,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trailmix.functions.time import duration_micros, epoch_micros
+from trailmix.session import ensure_checkpoint_dir
 
 BUCKET = "__bucket"
 SUB = "__sub"
+TIE = "__tie"
 DEFAULT_BUCKET = "1 day"
-# A (key, bucket) with more rows than this is cut into equal time slices
-# (None turns the check off).  Hot list <= rows / DEFAULT_MAX_ROWS entries.
+# A (key, bucket) with more rows than this is cut into slices (None turns the
+# check off).  There are at most rows / DEFAULT_MAX_ROWS such groups.
 DEFAULT_MAX_ROWS = 5_000_000
+# Quantiles at which a hot group is cut.
+SLICES = 256
+# Up to this many hot groups (a few KB each at most) their list is broadcast.
+MAX_BROADCAST_GROUPS = 10_000
 
 
 def _names(keys: str | Sequence[str]) -> list[str]:
@@ -62,35 +68,87 @@ def with_bucket(df: DataFrame, col: str, bucket: str | int) -> DataFrame:
     return df.withColumn(BUCKET, F.floor(value / F.lit(width)).cast("long"))
 
 
-def bucketed(df: DataFrame, keys: list[str], col: str, bucket: str | int,
-             max_rows: int | None = None) -> tuple[DataFrame, list[str]]:
-    """Bucket columns for the two-phase scans: ``[__bucket]``, or with
-    ``max_rows`` also ``__sub``, which splits every (key, bucket) holding more
-    than ``max_rows`` rows into ``ceil(rows / max_rows)`` equal slices of the
-    time span its rows actually cover (so a burst inside a bucket is spread
-    too; rows sharing one instant stay together).
+def hot_slices(df: DataFrame, keys: list[str], order: Sequence[str], bucket: str | int,
+               max_rows: int) -> DataFrame | None:
+    """Where to cut the (key, bucket) groups of more than ``max_rows`` rows:
+    ``(*keys, __bucket, __cuts, __ties)``, or None where there is no such group.
 
-    The hot list comes from one count (with least and greatest time) per
-    (key, bucket), aggregated map-side; it has at most ``rows / max_rows``
-    entries, which bounds what is broadcast (choose ``max_rows`` of a few
-    million at scale: 10^12 rows give at most 10^6 entries).  The sub-bucket
-    is monotone in ``col`` within a bucket, so every scan stays exact.
+    ``__cuts`` are the ``SLICES``-quantiles of the group's leading order
+    column.  Rows between two cuts make a slice and rows *at* a cut make one of
+    their own, so an instant with a large share of the rows is set apart; such
+    a slice, where it still has too many rows, is cut again at the quantiles of
+    the next order column (``__ties``: slice -> cuts).  A slice therefore holds
+    at most about ``rows / SLICES`` rows, whatever their spread over time.
+
+    One counting pass over the key and order columns finds the hot groups, a
+    second one over the hot groups only (if any) takes their quantiles, from
+    sketches that combine map-side.  The result is written once under the
+    checkpoint folder; pass it to further scans over the same input
+    (``hot=``), which then count nothing.
+    """
+    base = with_bucket(df, order[0], bucket)
+    value, _ = _bucket_value(df, order[0], bucket)
+    group = [*keys, BUCKET]
+    counts = base.groupBy(*group).agg(F.count(F.lit(1)).alias("__cnt")).filter(F.col("__cnt") > max_rows)
+    hot = _kept(counts)
+    if hot.isEmpty():
+        return None
+    rows = _semi(base.withColumn("__bv", value), hot, group)
+    points = [i / SLICES for i in range(1, SLICES)]
+    cuts = rows.groupBy(*group).agg(F.array_sort(F.array_distinct(F.percentile_approx("__bv", points, F.lit(10 * SLICES)))).alias("__cuts"))
+    if len(order) < 2 or not isinstance(df.schema[order[1]].dataType, T.IntegralType):
+        return _kept(cuts.withColumn("__ties", F.lit(None).cast("map<bigint,array<bigint>>")))
+    cuts = _kept(cuts)
+    sliced = _join_back(rows, cuts, keys, [BUCKET]).withColumn(SUB, _slice(F.col("__bv"), F.col("__cuts")))
+    ties = (sliced.groupBy(*group, SUB).agg(F.count(F.lit(1)).alias("__cnt"),
+                                            F.array_sort(F.array_distinct(F.percentile_approx(order[1], points, F.lit(10 * SLICES)))).alias("__tie"))
+            .filter(F.col("__cnt") > max_rows).groupBy(*group)
+            .agg(F.map_from_entries(F.collect_list(F.struct(SUB, F.col("__tie").cast("array<bigint>")))).alias("__ties")))  # <= 2 * SLICES entries
+    return _kept(_join_back(cuts, ties, keys, [BUCKET]))
+
+
+def _kept(df: DataFrame) -> DataFrame:
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+def _semi(big: DataFrame, small: DataFrame, on: list[str]) -> DataFrame:
+    s = small.select(*[F.col(k).alias(f"__s_{k}") for k in on])
+    cond = [big[k].eqNullSafe(s[f"__s_{k}"]) for k in on]
+    return big.join(s, cond, "left_semi")
+
+
+def _slice(value: Column, cuts: Column) -> Column:
+    """Slice number of a value among sorted cuts: even between, odd at a cut."""
+    below = F.size(F.filter(cuts, lambda c: c < value))
+    return (2 * below + F.coalesce(F.array_contains(cuts, value), F.lit(False)).cast("int")).cast("long")
+
+
+def bucketed(df: DataFrame, keys: list[str], order: str | Sequence[str], bucket: str | int,
+             max_rows: int | None = None, hot: DataFrame | None = None) -> tuple[DataFrame, list[str]]:
+    """Bucket columns for the two-phase scans: ``[__bucket]``, and where a
+    (key, bucket) group holds more than ``max_rows`` rows also its slice and
+    tie slice (``hot_slices``, or those given as ``hot``).  Slices ascend with
+    ``order`` inside a bucket, so every scan stays exact; the limit changes the
+    plan only.
     """
-    base = with_bucket(df, col, bucket)
-    if max_rows is None:
+    order = [order] if isinstance(order, str) else list(order)
+    base = with_bucket(df, order[0], bucket)
+    if hot is None and max_rows is not None:
+        hot = hot_slices(df, keys, order, bucket, max_rows)
+    if hot is None:
         return base, [BUCKET]
-    value, _ = _bucket_value(df, col, bucket)
-    base = base.withColumn("__bv", value)
-    counts = base.groupBy(*keys, BUCKET).agg(F.count(F.lit(1)).alias("__cnt"),
-                                             F.min("__bv").alias("__lo"),
-                                             F.max("__bv").alias("__hi"))
-    hot = counts.filter(F.col("__cnt") > max_rows).select(
-        *keys, BUCKET, "__lo", (F.col("__hi") - F.col("__lo") + F.lit(1)).alias("__span"),
-        F.ceil(F.col("__cnt") / F.lit(max_rows)).cast("long").alias("__k"))
-    marked = _join_back(base, F.broadcast(hot), keys, [BUCKET])
-    frac = (F.col("__bv") - F.col("__lo")) / F.col("__span")
-    sub = F.coalesce(F.floor(frac * F.col("__k")).cast("long"), F.lit(0).cast("long"))
-    return marked.withColumn(SUB, sub).drop("__k", "__lo", "__span", "__bv"), [BUCKET, SUB]
+    value, _ = _bucket_value(df, order[0], bucket)
+    # The list is broadcast only while its measured length is small.
+    small = F.broadcast(hot) if hot.count() <= MAX_BROADCAST_GROUPS else hot
+    marked = _join_back(base, small, keys, [BUCKET])
+    marked = marked.withColumn(SUB, F.when(F.col("__cuts").isNull(), F.lit(0).cast("long")).otherwise(_slice(value.cast("long"), F.col("__cuts"))))
+    bcols = [BUCKET, SUB]
+    if len(order) > 1 and isinstance(df.schema[order[1]].dataType, T.IntegralType):
+        tie = F.element_at("__ties", F.col(SUB))
+        marked = marked.withColumn(TIE, F.when(tie.isNull(), F.lit(0).cast("long")).otherwise(_slice(F.col(order[1]).cast("long"), tie)))
+        bcols.append(TIE)
+    return marked.drop("__cuts", "__ties"), bcols
 
 
 _SHIFT = Decimal(10 ** 20)          # > 2^64: room for any BIGINT tie-breaker
@@ -179,8 +237,8 @@ def _restored(cols: Sequence[str], restore: dict[str, Column]) -> list[Column]:
 
 def running_agg(df: DataFrame, keys: str | Sequence[str], order: Sequence[str],
                 value: Column | str, out: str, *, agg: str = "sum", inclusive: bool = True,
-                bucket: str | int = DEFAULT_BUCKET, max_rows_per_bucket: int | None = DEFAULT_MAX_ROWS
-                ) -> DataFrame:
+                bucket: str | int = DEFAULT_BUCKET, max_rows_per_bucket: int | None = DEFAULT_MAX_ROWS,
+                hot: DataFrame | None = None) -> DataFrame:
     """Running ``sum``, ``max`` or ``last`` (last non-null) of ``value`` per
     key in ``order``; ``order`` must be unique within a key.
 
@@ -189,8 +247,11 @@ def running_agg(df: DataFrame, keys: str | Sequence[str], order: Sequence[str],
     """
     cols = df.columns
     keep = [*order, *([value] if isinstance(value, str) else [])]
-    df, keys, plain, restore = _scan_keys(df, _names(keys), keep)
-    base, bc = bucketed(df, keys, order[0], bucket, max_rows_per_bucket)
+    names = _names(keys)
+    if hot is None and max_rows_per_bucket is not None:
+        hot = hot_slices(df, names, order, bucket, max_rows_per_bucket)
+    base, bc = bucketed(df, names, order, bucket, hot=hot)
+    base, keys, plain, restore = _scan_keys(base, names, keep)
     if isinstance(value, str):
         v = value  # no alias: both branches then need the same columns
     else:
@@ -228,32 +289,31 @@ def running_agg(df: DataFrame, keys: str | Sequence[str], order: Sequence[str],
 def previous_in_key(df: DataFrame, keys: str | Sequence[str], order: Sequence[str],
                     cols: Sequence[str], *, prefix: str = "prev_",
                     bucket: str | int = DEFAULT_BUCKET,
-                    max_rows_per_bucket: int | None = DEFAULT_MAX_ROWS) -> DataFrame:
+                    max_rows_per_bucket: int | None = DEFAULT_MAX_ROWS,
+                    hot: DataFrame | None = None) -> DataFrame:
     """Add ``prefix + c`` = value of ``c`` on the previous row of the same key.
 
     ``order`` must be unique within a key; buckets are cut on ``order[0]``.
+    A row with a predecessor in its own bucket is final after the bucket scan.
+    Only the first and last row of each bucket (two at most) go on to a scan
+    across buckets, in which a first row finds the last row before it: no row
+    is joined, and all others are shuffled and sorted once.
     """
     cols = list(cols)
     out_cols = df.columns
-    df, keys, plain, restore = _scan_keys(df, _names(keys), [*order, *cols])
-    base, bc = bucketed(df, keys, order[0], bucket, max_rows_per_bucket)
-    w = Window.partitionBy(*keys, *bc).orderBy(*order)
+    names = _names(keys)
+    if hot is None and max_rows_per_bucket is not None:
+        hot = hot_slices(df, names, order, bucket, max_rows_per_bucket)
+    base, bc = bucketed(df, names, order, bucket, hot=hot)
+    w = Window.partitionBy(*names, *bc).orderBy(*order)
     local = base.select(
         "*",
         *[F.lag(c).over(w).alias(f"__l_{c}") for c in cols],
         (F.row_number().over(w) == 1).alias("__first"),
         F.lead(F.lit(1)).over(w).isNull().alias("__last"),
     )
-    # The bucket's last row comes from the same windowed rows: both branches
-    # start from one exchange, which AQE reuses (no second scan, and no
-    # sort-based max_by over a struct holding strings).
-    tails = local.filter(F.col("__last")).select(*keys, *bc, F.struct(*cols).alias("__tail"))
-    wb = Window.partitionBy(*keys).orderBy(*bc)
-    carry = tails.select(*keys, *bc, F.lag("__tail").over(wb).alias("__carry"))
-
-    joined = _join_back(local, carry, keys, bc, null_safe=not plain)
-    return joined.select(
-        *_restored(out_cols, restore),
-        *[F.when(F.col("__first"), F.col(f"__carry.{c}")).otherwise(F.col(f"__l_{c}"))
-          .alias(f"{prefix}{c}") for c in cols],
-    )
+    inside = local.filter(~F.col("__first"))
+    across = Window.partitionBy(*names).orderBy(*bc, *order)
+    edges = local.filter(F.col("__first") | F.col("__last"))
+    firsts = edges.withColumns({f"__l_{c}": F.lag(c).over(across) for c in cols}).filter("__first")
+    return inside.unionByName(firsts).select(*out_cols, *[F.col(f"__l_{c}").alias(f"{prefix}{c}") for c in cols])

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from trailmix.functions.time import (duration_micros, duration_string, epoch_micros,
                                      flatten_window, micros_to_time)
-from trailmix.operators.sequence import (DEFAULT_BUCKET, DEFAULT_MAX_ROWS, _join_back, _names, bucketed,
+from trailmix.operators.sequence import (DEFAULT_BUCKET, DEFAULT_MAX_ROWS, _names, bucketed,
                                         order_key)
 
 
@@ -81,70 +81,58 @@ def window_summary(df: DataFrame, time_col: str, size: str, *, slide: str | None
 
 
 def session_summary(df: DataFrame, keys: str | Sequence[str], time_col: str, gap: str, *,
-                    bucket: str | int = DEFAULT_BUCKET,
-                    max_rows_per_bucket: int | None = DEFAULT_MAX_ROWS) -> DataFrame:
+                    values: Sequence[str] = (), bucket: str | int = DEFAULT_BUCKET,
+                    max_rows_per_bucket: int | None = DEFAULT_MAX_ROWS,
+                    hot: DataFrame | None = None) -> DataFrame:
     """Per-key sessions: a new session starts when the time since the key's
     previous record exceeds ``gap`` (a gap exactly equal to ``gap`` merges).
 
-    Output: ``*keys, session_start, session_end, n``, where
-    ``session_start`` is the first record's time and ``session_end`` the
-    last record's time plus ``gap`` (Spark's session-window convention).
+    Output: ``*keys, session_start, session_end, n`` and ``min_<v>, max_<v>``
+    of each further column ``v`` in ``values``; ``session_start`` is the first
+    record's time and ``session_end`` the last record's time plus ``gap``
+    (Spark's session-window convention).
 
     Batch only.  Runs in two phases so one hot key is spread over its time
-    buckets: sessions are cut inside each ``(key, bucket)``, reduced to
-    partial sessions, and only the first partial session of a bucket can be
-    glued to the previous bucket's last one — decided on a one-row-per-bucket
-    table.  Streams use ``session_summary_stream``.
+    buckets: sessions are cut inside each ``(key, bucket)`` and reduced there.
+    A session that is neither its bucket's first nor its last is final.  Only
+    the first and last one of each bucket go on to be glued across buckets.
+    Streams use ``session_summary_stream``.
     """
     keys = _names(keys)
     gap_us = duration_micros(gap)
-    # Only (keys, bucket, micros) cross the exchange, and both uses of the
-    # partial sessions below need exactly those columns, so the exchange is
-    # computed once and reused; output times are rebuilt from micros.
-    base, bc = bucketed(df.filter(F.col(time_col).isNotNull()), keys, time_col, bucket,
-                        max_rows_per_bucket)
-    base = base.select(*keys, *bc, epoch_micros(df, time_col).alias("__t"))
+    timed = df.filter(F.col(time_col).isNotNull())
+    base, bc = bucketed(timed, keys, time_col, bucket, max_rows_per_bucket, hot)
+    base = base.select(*keys, *bc, epoch_micros(df, time_col).alias("__t"), *[F.col(v).alias(f"__v_{v}") for v in values])
     w = Window.partitionBy(*keys, *bc).orderBy("__t")
     prev = F.lag("__t").over(w)
     is_new = F.when(prev.isNull() | (F.col("__t") - prev > gap_us), 1).otherwise(0)
     local = base.withColumn("__new", is_new).withColumn(
         "__lsid", F.sum("__new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    partial = local.groupBy(*keys, *bc, "__lsid").agg(
-        F.count(F.lit(1)).alias("__n"),
-        F.min("__t").alias("__tmin"),
-        F.max("__t").alias("__tmax"),
-    )
-    per_bucket = partial.groupBy(*keys, *bc).agg(
-        F.min("__tmin").alias("__bmin"),
-        F.max("__tmax").alias("__bmax"),
-        F.max("__lsid").alias("__nloc"),
-    )
-    wb = Window.partitionBy(*keys).orderBy(*bc)
-    prev_max = F.lag("__bmax").over(wb)
-    glue = per_bucket.select(
-        *keys, *bc, "__nloc",
-        F.when(prev_max.isNotNull() & (F.col("__bmin") - prev_max <= gap_us), 1)
-         .otherwise(0).alias("__glue"),
-    )
-    starts = F.col("__nloc") - F.col("__glue")
-    glue = glue.select(
-        *keys, *bc, "__glue",
-        F.coalesce(F.sum(starts).over(wb.rowsBetween(Window.unboundedPreceding, -1)),
-                   F.lit(0)).alias("__off"),
-    )
-    sid = F.col("__off") + F.col("__lsid") - F.col("__glue")
-    tagged = _join_back(partial, glue, keys, bc).withColumn("__sid", sid)
-    sessions = tagged.groupBy(*keys, "__sid").agg(
-        F.min("__tmin").alias("__first"),
-        F.max("__tmax").alias("__last"),
-        F.sum("__n").alias("n"),
-    )
+
+    def merged(rows, n, lo, hi):
+        return [n, F.min(lo).alias("__first"), F.max(hi).alias("__end"),
+                *[f(c(v)).alias(f"{how}_{v}") for v in values
+                  for how, f, c in (("min", F.min, rows[0]), ("max", F.max, rows[1]))]]
+
+    raw = (lambda v: f"__v_{v}",) * 2
+    partial = local.groupBy(*keys, *bc, "__lsid").agg(*merged(raw, F.count(F.lit(1)).alias("n"), "__t", "__t"))
+    partial = partial.withColumn("__nloc", F.max("__lsid").over(Window.partitionBy(*keys, *bc)))
+    edge = (F.col("__lsid") == 1) | (F.col("__lsid") == F.col("__nloc"))
+    across = Window.partitionBy(*keys).orderBy(*bc, "__lsid")
+    before = F.lag("__end").over(across)
+    starts = F.when(before.isNull() | (F.col("__first") - before > gap_us), 1).otherwise(0)
+    edges = partial.filter(edge).withColumn("__start", starts).withColumn(
+        "__sid", F.sum("__start").over(across.rowsBetween(Window.unboundedPreceding, 0)))
+    again = (lambda v: f"min_{v}", lambda v: f"max_{v}")
+    glued = edges.groupBy(*keys, "__sid").agg(*merged(again, F.sum("n").alias("n"), "__first", "__end"))
+    out = [*keys, "__first", "__end", "n", *[f"{how}_{v}" for v in values for how in ("min", "max")]]
+    sessions = partial.filter(~edge).select(*out).unionByName(glued.select(*out))
+    kind = df.schema[time_col].dataType
     return sessions.select(
         *keys,
-        micros_to_time(F.col("__first"), df.schema[time_col].dataType).alias("session_start"),
-        micros_to_time(F.col("__last") + F.lit(gap_us),
-                       df.schema[time_col].dataType).alias("session_end"),
-        "n",
+        micros_to_time(F.col("__first"), kind).alias("session_start"),
+        micros_to_time(F.col("__end") + F.lit(gap_us), kind).alias("session_end"),
+        *out[len(keys) + 2:],
     )
 
 

@@ -5,8 +5,9 @@ or ``sources.kafka.stream_topic``: a ``value`` text column and an
 ``arrival_time``), builds its outputs with the same operator functions the
 batch queries use, and starts one query per output.  Outputs go to Parquet
 (or text) folders under ``out_dir`` by default; pass ``sink`` to send a
-result elsewhere (console, memory, Kafka via ``streaming.sinks``).
-Rejected lines always go to ``<out_dir>/rejects``.
+result elsewhere (console, memory, Kafka via ``streaming.sinks``).  Each
+source is read, parsed and stamped once, into ``<out_dir>/landed``; all outputs
+stream from there.  Rejected lines go to ``<out_dir>/rejects``.
 
 Durations default to the reference's values.  Checkpoints go under
 ``checkpoint_root`` (default: ``<spark.checkpoint.dir>/streams``), one
@@ -24,14 +25,17 @@ from pyspark.sql.streaming import StreamingQuery
 
 from trailmix.functions import text as TX
 from trailmix.operators import joins, late, routing, windows
-from trailmix.schemas import STREAM_TAGS
-from trailmix.sources.lines import parse_audit, parse_browser
+from trailmix.functions.time import duration_micros, epoch_micros
+from trailmix.schemas import AUDIT_FIELDS, BROWSER_FIELDS, STREAM_TAGS
 from trailmix.streaming import processors as P
 from trailmix.streaming import sinks
+from trailmix.streaming.landing import land
 from trailmix.session import checkpoint_location
 from trailmix.streaming.stream import watermark
 
 Sink = Callable[[DataFrame, str], StreamingQuery]
+# How far event times may trail arrival before a record is late.
+DELAY = "1 minute"
 
 
 def _ck(df: DataFrame, root: str | None, query: str) -> str:
@@ -48,33 +52,55 @@ def parquet_sink(out_dir: str, prefix: str, trigger: dict | None = None,
 
 
 def _rejects(rejects: DataFrame, out_dir: str, prefix: str, trigger: dict | None,
-             root: str | None) -> StreamingQuery:
-    q = f"{prefix}_rejects"
-    return sinks.write_parquet(rejects, os.path.join(out_dir, "rejects"), q, trigger=trigger,
+             root: str | None, part: str = "") -> StreamingQuery:
+    q = f"{prefix}_rejects{part}"
+    return sinks.write_parquet(rejects, os.path.join(out_dir, f"rejects{part}"), q, trigger=trigger,
                                checkpoint=_ck(rejects, root, q))
 
 
-def _parse_audit(lines: DataFrame, out_dir: str, prefix: str, trigger: dict | None,
-                 root: str | None):
-    parsed, rejects = parse_audit(lines, keep=["arrival_time"])
-    return parsed, _rejects(rejects, out_dir, prefix, trigger, root)
+def _landed(lines: DataFrame, fields, out_dir: str, prefix: str, trigger: dict | None, root: str | None,
+            part: str = ""):
+    """The source, read and parsed once, and the queries that land it and its
+    bad lines."""
+    q = f"{prefix}_landed{part}"
+    parsed, rejects, query = land(lines, fields, os.path.join(out_dir, f"landed{part}"), q, trigger=trigger,
+                                  checkpoint=_ck(lines, root, q))
+    return parsed, {f"landed{part}": query, f"rejects{part}": _rejects(rejects, out_dir, prefix, trigger, root, part)}
+
+
+def _on_time(df: DataFrame, time_col: str, delay: str) -> tuple[DataFrame, DataFrame | None]:
+    """(rows with a watermark that drops none of them, late rows or None).
+
+    Arrival times of landed rows ascend, so they need no delay.  An event time
+    further than ``delay`` behind its arrival goes to the late rows; what is
+    left is never behind a watermark of that delay while event times do not run
+    ahead of arrival.
+    """
+    if time_col == "arrival_time":
+        return watermark(df, time_col, "0 seconds"), None
+    behind = F.coalesce(epoch_micros(df, time_col) < epoch_micros(df, "arrival_time") - F.lit(duration_micros(delay)), F.lit(False))
+    return watermark(df.filter(~behind), time_col, delay), df.filter(behind)
+
+
+def _late(rows: DataFrame | None, sink: Sink, name: str = "late") -> dict[str, StreamingQuery]:
+    return {} if rows is None else {name: sink(rows, name)}
 
 
 def audit_counts_job(lines: DataFrame, out_dir: str, *, window: str = "5 seconds",
-                     label: str = "Audit Trail : Last 5 seconds", trigger: dict | None = None,
+                     label: str = "records in window", trigger: dict | None = None,
                      sink: Sink | None = None, checkpoint_root: str | None = None) -> dict[str, StreamingQuery]:
     """Labelled count per processing-time window, and the count keyed by the
     window's first arrival (ms) written as ``(first_ms,n)`` text lines."""
     prefix = "audit_counts"
     sink = sink or parquet_sink(out_dir, prefix, trigger, checkpoint_root)
-    parsed, rq = _parse_audit(lines, out_dir, prefix, trigger, checkpoint_root)
-    timed = watermark(parsed, "arrival_time", "0 seconds")
+    parsed, qs = _landed(lines, AUDIT_FIELDS, out_dir, prefix, trigger, checkpoint_root)
+    timed, _ = _on_time(parsed, "arrival_time", "0 seconds")
     counts = windows.window_count(timed, "arrival_time", window, label=label)
     first = windows.window_count_first(timed, "arrival_time", window, "arrival_time",
                                        ["arrival_time"], carry_out="first_arrival")
     line = TX.tuple_text(F.unix_millis("first_arrival"), F.col("n"))
     return {
-        "rejects": rq,
+        **qs,
         "counts": sink(counts, "counts"),
         "summary": sinks.write_text(first, line, os.path.join(out_dir, "five_sec_summary"),
                                     f"{prefix}_summary", trigger=trigger,
@@ -87,9 +113,9 @@ def running_duration_job(lines: DataFrame, out_dir: str, *, trigger: dict | None
     """Running total of ``duration`` per user, one output per record."""
     prefix = "running_duration"
     sink = sink or parquet_sink(out_dir, prefix, trigger, checkpoint_root)
-    parsed, rq = _parse_audit(lines, out_dir, prefix, trigger, checkpoint_root)
+    parsed, qs = _landed(lines, AUDIT_FIELDS, out_dir, prefix, trigger, checkpoint_root)
     keyed = P.keyed_input(parsed, ["user"], "event_time", "id", {"value": F.col("duration")})
-    return {"rejects": rq, "running": sink(P.running_sum_stream(keyed, ["user"]), "running")}
+    return {**qs, "running": sink(P.running_sum_stream(keyed, ["user"]), "running")}
 
 
 def split_combine_job(lines: DataFrame, out_dir: str, *, window: str = "5 seconds",
@@ -98,11 +124,11 @@ def split_combine_job(lines: DataFrame, out_dir: str, *, window: str = "5 second
     and the recombined tagged stream."""
     prefix = "split_combine"
     sink = sink or parquet_sink(out_dir, prefix, trigger, checkpoint_root)
-    parsed, rq = _parse_audit(lines, out_dir, prefix, trigger, checkpoint_root)
+    parsed, qs = _landed(lines, AUDIT_FIELDS, out_dir, prefix, trigger, checkpoint_root)
     is_customer = F.col("entity") == "Customer"
-    timed = watermark(parsed, "arrival_time", "0 seconds")
+    timed, _ = _on_time(parsed, "arrival_time", "0 seconds")
     return {
-        "rejects": rq,
+        **qs,
         "branches": sinks.write_branches(parsed, is_customer, os.path.join(out_dir, "customer"),
                                          os.path.join(out_dir, "sales_rep"), f"{prefix}_branches",
                                          side_cols=("user",), trigger=trigger,
@@ -114,35 +140,37 @@ def split_combine_job(lines: DataFrame, out_dir: str, *, window: str = "5 second
 
 
 def session_job(lines: DataFrame, out_dir: str, *, gap: str = "5 seconds",
-                time_col: str = "arrival_time", trigger: dict | None = None,
+                time_col: str = "arrival_time", delay: str = DELAY, trigger: dict | None = None,
                 sink: Sink | None = None, checkpoint_root: str | None = None) -> dict[str, StreamingQuery]:
-    """Per-user sessions (count, first and last event timestamp)."""
+    """Per-user sessions (count, first and last event timestamp).  On event
+    time, records more than ``delay`` behind go to ``late``."""
     prefix = "sessions"
     sink = sink or parquet_sink(out_dir, prefix, trigger, checkpoint_root)
-    parsed, rq = _parse_audit(lines, out_dir, prefix, trigger, checkpoint_root)
-    timed = watermark(parsed, time_col, "0 seconds")
+    parsed, qs = _landed(lines, AUDIT_FIELDS, out_dir, prefix, trigger, checkpoint_root)
+    timed, late_rows = _on_time(parsed, time_col, delay)
     res = timed.groupBy("user", F.session_window(time_col, gap).alias("s")).agg(
         F.count(F.lit(1)).alias("n"), F.min("timestamp").alias("min_ts"),
         F.max("timestamp").alias("max_ts"))
     res = res.select("user", "n", "min_ts", "max_ts",
                      F.col("s.start").alias("session_start"), F.col("s.end").alias("session_end"))
-    return {"rejects": rq, "sessions": sink(res, "sessions")}
+    return {**qs, "sessions": sink(res, "sessions"), **_late(late_rows, sink)}
 
 
 def window_join_job(file_lines: DataFrame, kafka_lines: DataFrame, out_dir: str, *,
-                    window: str = "5 seconds", time_col: str = "arrival_time",
+                    window: str = "5 seconds", time_col: str = "arrival_time", delay: str = DELAY,
                     trigger: dict | None = None, sink: Sink | None = None, checkpoint_root: str | None = None) -> dict[str, StreamingQuery]:
     """Pairs of same-user records from the two streams per tumbling window."""
     prefix = "window_join"
     sink = sink or parquet_sink(out_dir, prefix, trigger, checkpoint_root)
-    left, rq1 = parse_audit(file_lines, keep=["arrival_time"])
-    right, rq2 = parse_audit(kafka_lines, keep=["arrival_time"])
-    rq = _rejects(rq1.unionByName(rq2), out_dir, prefix, trigger, checkpoint_root)
-    left = watermark(left, time_col, "0 seconds")
-    right = watermark(right, time_col, "0 seconds")
+    left, qs = _landed(file_lines, AUDIT_FIELDS, out_dir, prefix, trigger, checkpoint_root, "_left")
+    right, more = _landed(kafka_lines, AUDIT_FIELDS, out_dir, prefix, trigger, checkpoint_root, "_right")
+    qs |= more
+    left, late_left = _on_time(left, time_col, delay)
+    right, late_right = _on_time(right, time_col, delay)
+    qs |= {**_late(late_left, sink, "late_left"), **_late(late_right, sink, "late_right")}
     pairs = joins.window_join_pairs(left, right, "user", "user", time_col, time_col, window,
                                     key_out="user")
-    return {"rejects": rq, "pairs": sink(pairs, "pairs")}
+    return {**qs, "pairs": sink(pairs, "pairs")}
 
 
 def event_time_job(lines: DataFrame, out_dir: str, *, window: str = "1 second",
@@ -153,7 +181,7 @@ def event_time_job(lines: DataFrame, out_dir: str, *, window: str = "1 second",
     published as ``"<ts> = <n>"``; late records go to their own output."""
     prefix = "event_time"
     sink = sink or parquet_sink(out_dir, prefix, trigger, checkpoint_root)
-    parsed, rq = _parse_audit(lines, out_dir, prefix, trigger, checkpoint_root)
+    parsed, qs = _landed(lines, AUDIT_FIELDS, out_dir, prefix, trigger, checkpoint_root)
     on_time, late_rows = late.split_late(parsed, "event_time", "arrival_time", window, refresh, buffer)
     on_time = watermark(on_time, "event_time", late.spark_watermark_delay(refresh, buffer))
     counts = windows.window_count_first(on_time, "event_time", window, "timestamp",
@@ -163,7 +191,7 @@ def event_time_job(lines: DataFrame, out_dir: str, *, window: str = "1 second",
     msink = message_sink or (lambda df, name: sinks.write_text(
         df, F.col("message"), os.path.join(out_dir, name), f"{prefix}_{name}", trigger=trigger,
         checkpoint=_ck(df, checkpoint_root, f"{prefix}_{name}")))
-    return {"rejects": rq, "counts": sink(counts, "counts"), "late": sink(late_rows, "late"),
+    return {**qs, "counts": sink(counts, "counts"), "late": sink(late_rows, "late"),
             "messages": msink(messages, "messages")}
 
 
@@ -172,26 +200,27 @@ def delete_alert_job(lines: DataFrame, out_dir: str, *, within: str = "10 second
     """Alert when a user deletes twice within ``within``."""
     prefix = "delete_alert"
     sink = sink or parquet_sink(out_dir, prefix, trigger, checkpoint_root)
-    parsed, rq = _parse_audit(lines, out_dir, prefix, trigger, checkpoint_root)
+    parsed, qs = _landed(lines, AUDIT_FIELDS, out_dir, prefix, trigger, checkpoint_root)
     keyed = P.keyed_input(parsed, ["user"], "event_time", "id", {"op": F.col("operation")})
     alerts = P.repeat_alert_stream(keyed, ["user"], "Delete", within)
     alerts = alerts.withColumn("message", F.format_string(
-        "DELETE Alert Received : User %s executed 2 deleted within %d ms",
+        "user %s deleted twice within %d ms",
         F.col("user"), (F.col("interval_us") / 1000).cast("long")))
-    return {"rejects": rq, "alerts": sink(alerts, "alerts")}
+    return {**qs, "alerts": sink(alerts, "alerts")}
 
 
 def browser_job(lines: DataFrame, out_dir: str, *, window: str = "10 seconds",
-                time_col: str = "arrival_time", trigger: dict | None = None,
+                time_col: str = "arrival_time", delay: str = DELAY, order_col: str | None = None,
+                trigger: dict | None = None,
                 sink: Sink | None = None, checkpoint_root: str | None = None) -> dict[str, StreamingQuery]:
     """Capstone: count per (user, action) per window, and how long each user
     spent on each action."""
     prefix = "browser"
     sink = sink or parquet_sink(out_dir, prefix, trigger, checkpoint_root)
-    parsed, rejects = parse_browser(lines, keep=["arrival_time"])
-    rq = _rejects(rejects, out_dir, prefix, trigger, checkpoint_root)
-    timed = watermark(parsed, time_col, "0 seconds")
+    parsed, qs = _landed(lines, BROWSER_FIELDS, out_dir, prefix, trigger, checkpoint_root)
+    timed, late_rows = _on_time(parsed, time_col, delay)
     counts = windows.window_count(timed, time_col, window, keys=["name", "action"])
-    keyed = P.keyed_input(parsed, ["name"], "event_time", None, {"action": F.col("action")})
+    keyed = P.keyed_input(parsed, ["name"], "event_time", None, {"action": F.col("action")}, order=order_col)
     durations = P.action_duration_stream(keyed, ["name"], login="Login", logout="Logout")
-    return {"rejects": rq, "counts": sink(counts, "counts"), "durations": sink(durations, "durations")}
+    return {**qs, "counts": sink(counts, "counts"), "durations": sink(durations, "durations"),
+            **_late(late_rows, sink)}

@@ -190,4 +190,43 @@ ORACLE: dict[str, str] = {
          strftime(window_start, '%H:%M:%S') AS clock,
          strftime(window_start, '%a %b %d %H:%M:%S') || ' UTC ' || strftime(window_start, '%Y') AS date_text
   FROM w""",
+
+    "combine_two_inputs": """
+  SELECT 'Stream-1' AS stream_tag, user_id AS who, event_type AS what, 1 AS n FROM events
+  UNION ALL
+  SELECT 'Stream-2', o_custkey, o_orderstatus, 1 FROM orders""",
+
+    "window_join_values": """
+  WITH e AS (SELECT user_id % 97 AS user_group, CAST(date_trunc('day', ts) AS TIMESTAMP) AS ws, ts, event_type,
+                    CAST(round(value * 100) AS BIGINT) AS cents FROM events),
+       l AS (SELECT user_group, ws, count(*) AS n, min(ts) AS left_first, CAST(sum(cents) AS BIGINT) AS left_cents
+             FROM e WHERE event_type = 'click' GROUP BY 1, 2),
+       r AS (SELECT user_group, ws, count(*) AS n, max(ts) AS right_last FROM e WHERE event_type = 'view' GROUP BY 1, 2)
+  SELECT l.ws AS window_start, l.ws + INTERVAL 1 DAY AS window_end, l.user_group, l.n AS left_n, r.n AS right_n,
+         l.n * r.n AS pairs, left_first, left_cents, right_last
+  FROM l JOIN r ON l.user_group = r.user_group AND l.ws = r.ws""",
+
+    "reduced_by_user": """
+  SELECT user_id, max(CAST(round(value * 100) AS BIGINT)) AS most_cents FROM events GROUP BY user_id""",
+
+    "mapped_records": """
+  SELECT event_id, event_type, CAST(c AS BIGINT) AS "copy"
+  FROM events JOIN (SELECT 0 AS c UNION ALL SELECT 1) k ON k.c < event_id % 3""",
+
+    "kafka_round_trip": _AUDIT,
+
+    "session_value_summary": f"""
+  WITH a AS (SELECT *, {_ARRIVAL} AS arrival FROM events),
+  g AS (
+    SELECT user_id, ts, arrival, event_id,
+           CASE WHEN lag(arrival) OVER w IS NULL
+                  OR epoch_us(arrival) - epoch_us(lag(arrival) OVER w) > {6 * HOUR} THEN 1 ELSE 0 END AS new
+    FROM a WINDOW w AS (PARTITION BY user_id ORDER BY arrival, event_id)),
+  s AS (
+    SELECT user_id, ts, arrival, sum(new) OVER (PARTITION BY user_id ORDER BY arrival, event_id
+                                                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS sid
+    FROM g)
+  SELECT user_id, min(arrival) AS session_start, max(arrival) + INTERVAL 6 HOUR AS session_end, count(*) AS n,
+         min(ts) AS min_ts, max(ts) AS max_ts
+  FROM s GROUP BY user_id, sid""",
 }

@@ -20,12 +20,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from trailmix.functions import hooks
 from trailmix.functions import text as TX
 from trailmix.operators import joins, keyed, late, routing, windows
 from trailmix.schemas import (EVENT_CUSTOMER, EVENT_DELETE, EVENT_LOGIN, EVENT_LOGOUT,
                               EVENTS_KEY, EVENTS_ORDER, audit_from_events, browser_from_events)
+from trailmix.sources import kafka
 from trailmix.sources.lines import parse_audit, parse_browser
 from trailmix.sources.tables import events as load_events
+from trailmix.sources.tables import table
 
 # Parameters of the registered queries.
 TUMBLE = "1 hour"
@@ -168,21 +171,73 @@ def ingest_browser(spark, sf):
     return parsed.drop("event_time")
 
 
-def _late_flagged(spark, sf):
+def _late_split(spark, sf):
     ev = _with_arrival(load_events(spark, sf))
-    return ev.withColumn("late", late.late_flag(ev, "ts", "arrival", LATE_WINDOW,
-                                                LATE_REFRESH, LATE_BUFFER))
+    return late.split_late(ev, "ts", "arrival", LATE_WINDOW, LATE_REFRESH, LATE_BUFFER)
 
 
 def late_split_main(spark, sf):
-    on_time = _late_flagged(spark, sf).filter(~F.col("late"))
+    on_time, _ = _late_split(spark, sf)
     return windows.window_count_first(on_time, "ts", LATE_WINDOW, "ts", ["arrival", "event_id"],
                                       carry_out="first_ts")
 
 
 def late_split_late(spark, sf):
-    return _late_flagged(spark, sf).filter(F.col("late")).select(
-        "event_id", "user_id", "ts", "arrival")
+    _, late_rows = _late_split(spark, sf)
+    return late_rows.select("event_id", "user_id", "ts", "arrival")
+
+
+def combine_two_inputs(spark, sf):
+    """Two tables of different shape on one shape, tagged by origin."""
+    ev, orders = load_events(spark, sf), table(spark, sf, "orders")
+    return routing.combine_tagged(
+        ev, orders,
+        [F.col("user_id").alias("who"), F.col("event_type").alias("what"), F.lit(1).alias("n")],
+        [F.col("o_custkey").alias("who"), F.col("o_orderstatus").alias("what"), F.lit(1).alias("n")])
+
+
+def window_join_values(spark, sf):
+    """Join on an expression key (user modulo 97), carrying values of each side."""
+    ev = load_events(spark, sf)
+    left, right = (ev.filter(F.col("event_type") == t) for t in (JOIN_LEFT_TYPE, JOIN_RIGHT_TYPE))
+    key = F.col("user_id") % 97
+    return joins.window_join_pairs(left, right, key, key, "ts", "ts", JOIN_WINDOW, key_out="user_group",
+                                   left_values={"left_first": ("ts", "min"), "left_cents": (F.round(F.col("value") * 100).cast("long"), "sum")},
+                                   right_values={"right_last": ("ts", "max")})
+
+
+def reduced_by_user(spark, sf):
+    """A user function (greatest of two, then of all) reduced for each user."""
+    ev = load_events(spark, sf).select("user_id", F.round(F.col("value") * 100).cast("long").alias("cents"))
+    return hooks.reduce_by_key(ev, ["user_id"], "cents", lambda s: int(s.max()), "long", out="most_cents")
+
+
+def mapped_records(spark, sf):
+    """A user process function: none to two records for each event."""
+    def expand(pdf):
+        out = pdf.loc[pdf.index.repeat(pdf["event_id"] % 3)].copy()
+        out["copy"] = out.groupby(level=0).cumcount()
+        return out
+
+    ev = load_events(spark, sf).select("event_id", "event_type")
+    return hooks.map_batches(ev, expand, "event_id long, event_type string, copy long")
+
+
+def kafka_round_trip(spark, sf):
+    """Audit lines as Kafka payload bytes, read back and parsed."""
+    ev = load_events(spark, sf)
+    a = audit_from_events(ev)
+    fields = [F.col(c) for c in ["id", "user", "entity", "operation", "timestamp", "duration", "count"]]
+    sent = kafka.kafka_payload(a, TX.join_fields(*fields), F.col("id"))
+    rows = sent.withColumns({"timestamp": F.lit(None).cast("timestamp"), "partition": F.lit(0), "offset": F.lit(0).cast("long")})
+    parsed, _ = parse_audit(kafka.lines_from_kafka_rows(rows))
+    return parsed.drop("event_time")
+
+
+def session_value_summary(spark, sf):
+    """Sessions cut on arrival, with the least and greatest event time."""
+    ev = _with_arrival(load_events(spark, sf))
+    return windows.session_summary(ev, EVENTS_KEY, "arrival", SESSION_GAP, values=["ts"])
 
 
 def count_messages(spark, sf):
@@ -222,4 +277,10 @@ QUERIES: dict[str, Query] = {
     "late_split_main": late_split_main,
     "late_split_late": late_split_late,
     "count_messages": count_messages,
+    "combine_two_inputs": combine_two_inputs,
+    "window_join_values": window_join_values,
+    "reduced_by_user": reduced_by_user,
+    "mapped_records": mapped_records,
+    "kafka_round_trip": kafka_round_trip,
+    "session_value_summary": session_value_summary,
 }

@@ -21,6 +21,8 @@ BASE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # A user's rows of one task merge into partial sessions before the shuffle.
+    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
     # Keyed streaming state lives in RocksDB: it spills to local disk instead
     # of holding every key on the executor heap (and transformWithState
     # requires it).
@@ -50,11 +52,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster this is set by the operator to a shared filesystem and is
-    used as is.  Only when it is unset (local tests) do we pick a fresh
-    scratch folder for this session.
+    used as is.  Only when it is unset and everything runs in this process
+    (master ``local``: tests) do we pick a fresh scratch folder for this
+    session; on a cluster a machine's own folder would lose state, so an unset
+    folder is an error there.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        master = spark.conf.get("spark.master", "")
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that all machines of {master} share")
         key = id(spark)
         if key not in _LOCAL_FALLBACK:
             _LOCAL_FALLBACK[key] = tempfile.mkdtemp(prefix="trailmix-ckpt-")

@@ -7,16 +7,9 @@ with Kafka's columns, so the parsing path is testable without a broker.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Fixed values of the reference's deployment (topics and consumer groups).
-AUDIT_TOPIC = "flink.kafka.streaming.source"
-BROWSER_TOPIC = "flink.kafka.browser.source"
-SINK_TOPIC = "flink.streaming.sink"
-AUDIT_GROUP = "flink.learn.realtime"
-BROWSER_GROUP = "flink.kafka.browser.source"
-
 
 def stream_topic(spark: SparkSession, servers: str, topic: str, *, group_id: str | None = None,
                  starting_offsets: str = "latest", max_offsets_per_trigger: int | None = None) -> DataFrame:
@@ -33,12 +26,24 @@ def stream_topic(spark: SparkSession, servers: str, topic: str, *, group_id: str
 
 
 def lines_from_kafka_rows(rows: DataFrame) -> DataFrame:
-    """Kafka rows (``key``/``value`` BINARY, ``timestamp``) → UTF-8 text lines.
+    """Kafka rows (``key``/``value`` BINARY, ``timestamp``, ``partition``,
+    ``offset``) → UTF-8 text lines.
 
-    The broker's record timestamp becomes ``arrival_time``.
+    ``arrival_time`` is the processing time (one value per micro-batch, as for
+    files); the broker's record time, which is not monotone over partitions,
+    stays as ``broker_time``, and partition and offset give the arrival order.
     """
     return rows.select(
         F.col("value").cast("string").alias("value"),
         F.col("key").cast("string").alias("kafka_key"),
-        F.col("timestamp").alias("arrival_time"),
+        F.col("timestamp").alias("broker_time"),
+        F.col("partition").alias("kafka_partition"),
+        F.col("offset").alias("kafka_offset"),
+        F.current_timestamp().alias("arrival_time"),
     )
+
+
+def kafka_payload(df: DataFrame, value: Column, key: Column) -> DataFrame:
+    """``key`` and ``value`` as a Kafka sink takes them: UTF-8 bytes."""
+    return df.select(key.cast("string").cast("binary").alias("key"),
+                     value.cast("string").cast("binary").alias("value"))

@@ -42,6 +42,20 @@ def _record(parts: Column, fields: Sequence[tuple[str, T.DataType]]) -> Column:
     return F.struct(F.coalesce(short, *errors).alias("reason"), *values)
 
 
+def staged_lines(lines: DataFrame, fields: Sequence[tuple[str, T.DataType]], *,
+                 value_col: str = "value", keep: Sequence[str] = ()) -> DataFrame:
+    """``keep`` columns, ``__line`` and the struct ``__rec`` (reason, fields)."""
+    clean = F.rtrim(F.replace(F.col(value_col), F.lit('"'), F.lit("")), F.lit(","))
+    # The split array is produced once per line by a one-element explode.
+    # A filter on columns it generates cannot be pushed below it, so the
+    # field checks read that one array instead of re-splitting the line
+    # for every check (which is what predicate pushdown would do to a plain
+    # projection).
+    split = lines.select(*keep, F.col(value_col).alias("__line"),
+                         F.explode(F.array(F.split(clean, ",", -1))).alias("__parts"))
+    return split.select(*keep, "__line", _record(F.col("__parts"), fields).alias("__rec"))
+
+
 def parse_lines(lines: DataFrame, fields: Sequence[tuple[str, T.DataType]], *,
                 value_col: str = "value", mode: str = "reject",
                 time_field: str | None = "timestamp",
@@ -53,15 +67,7 @@ def parse_lines(lines: DataFrame, fields: Sequence[tuple[str, T.DataType]], *,
     the input); ``rejects`` has ``keep``, the raw line and ``reason``.
     Works on streams.
     """
-    clean = F.rtrim(F.replace(F.col(value_col), F.lit('"'), F.lit("")), F.lit(","))
-    # The split array is produced once per line by a one-element explode.
-    # A filter on columns it generates cannot be pushed below it, so the
-    # field checks read that one array instead of re-splitting the line
-    # for every check (which is what predicate pushdown would do to a plain
-    # projection).
-    split = lines.select(*keep, F.col(value_col).alias("__line"),
-                         F.explode(F.array(F.split(clean, ",", -1))).alias("__parts"))
-    staged = split.select(*keep, "__line", _record(F.col("__parts"), fields).alias("__rec"))
+    staged = staged_lines(lines, fields, value_col=value_col, keep=keep)
     if mode == "failfast":
         staged = staged.withColumn(
             "__rec", F.when(F.col("__rec.reason").isNull(), F.col("__rec")).otherwise(
@@ -69,6 +75,12 @@ def parse_lines(lines: DataFrame, fields: Sequence[tuple[str, T.DataType]], *,
                 .cast(staged.schema["__rec"].dataType)))
     elif mode != "reject":
         raise ValueError("mode must be 'reject' or 'failfast'")
+    return split_staged(staged, fields, time_field=time_field, keep=keep)
+
+
+def split_staged(staged: DataFrame, fields: Sequence[tuple[str, T.DataType]], *,
+                 time_field: str | None = "timestamp", keep: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """(parsed, rejects) of ``staged_lines``, as they are or landed and read again."""
     names = [name for name, _ in fields]
     parsed = staged.filter(F.col("__rec.reason").isNull()).select(
         *keep, *[F.col(f"__rec.{n}").alias(n) for n in names])

@@ -14,10 +14,10 @@ the key's Arrow batches; the same folds on ``transformWithStateInPandas``
 (one state-server round trip per state call) ran at half the rate.
 
 Input frames are projected first to ``key`` columns, ``t`` (epoch
-microseconds, BIGINT) and ``seq`` (tie-break), plus the operator's value
-column; ``keyed_input`` does that.  Within one micro-batch a key's rows are
-put in ``(t, seq)`` order; across micro-batches, batch order is arrival
-order, as in the reference.  A key's rows of one micro-batch are the
+microseconds, BIGINT), ``seq`` (tie-break) and ``ord`` (arrival order, by
+default the time), plus the operator's value column; ``keyed_input`` does
+that.  Within one micro-batch a key's rows are put in ``(ord, seq)`` order;
+across micro-batches, batch order is arrival order.  A key's rows of one micro-batch are the
 memory bound — cap it with ``maxFilesPerTrigger`` / ``maxOffsetsPerTrigger``.
 State is kept until the query is reset, as in the reference (no expiry).
 """
@@ -37,22 +37,28 @@ from trailmix.schemas import NO_ACTION, NO_ALERT
 
 
 def keyed_input(df: DataFrame, keys: Sequence[str], time_col: str, seq: Column | str | None,
-                extra: dict[str, Column | str]) -> DataFrame:
-    """Project to the processors' input shape."""
-    s = F.lit(0).cast("long") if seq is None else (F.col(seq) if isinstance(seq, str) else seq)
+                extra: dict[str, Column | str], *, order: Column | str | None = None) -> DataFrame:
+    """Project to the processors' input shape.  ``order`` is the arrival order
+    (an offset, a sequence number), where it is not the time order."""
+    def col(c):
+        return F.col(c) if isinstance(c, str) else c
+
+    t = epoch_micros(df, time_col)
+    s = F.lit(0) if seq is None else col(seq)
     cols = [F.col(k) for k in keys]
-    cols += [epoch_micros(df, time_col).alias("t"), s.cast("long").alias("seq")]
-    cols += [(F.col(v) if isinstance(v, str) else v).alias(k) for k, v in extra.items()]
+    cols += [t.alias("t"), s.cast("long").alias("seq"), (t if order is None else col(order).cast("long")).alias("ord")]
+    cols += [col(v).alias(k) for k, v in extra.items()]
     return df.select(*cols)
 
 
 def _ordered(pdfs: Iterator[pd.DataFrame], col: str):
-    """The key's rows of this micro-batch as arrays in (t, seq) order."""
+    """The key's rows of this micro-batch as arrays in arrival order (ord, seq):
+    the result does not depend on where a micro-batch ends."""
     chunks = list(pdfs)
     pdf = chunks[0] if len(chunks) == 1 else pd.concat(chunks, ignore_index=True)
     t = pdf["t"].to_numpy(dtype="int64")
     seq = pdf["seq"].to_numpy(dtype="int64")
-    idx = np.lexsort((seq, t))
+    idx = np.lexsort((seq, pdf["ord"].to_numpy(dtype="int64") if "ord" in pdf else t))
     return t[idx], seq[idx], pdf[col].to_numpy()[idx]
 
 
@@ -109,7 +115,7 @@ def repeat_alert_fold(key_names: Sequence[str], trigger: str, threshold: str | i
         if hit.any():
             state.update((int(t[hit][-1]),))
         res = _out(key_names, key, n, t=t, seq=seq,
-                   alert_user=np.where(fires, ",".join(str(k) for k in key), NO_ALERT),
+                   alert_user=np.where(fires, ",".join(str(k) for k in key if k is not None), NO_ALERT),
                    interval_us=np.where(fires, gap, 0).astype("int64"), is_alert=fires)
         yield res[res["is_alert"]] if alerts_only else res
     return fold
@@ -119,10 +125,14 @@ def running_sum_fold(key_names: Sequence[str]) -> Callable:
     """One output per record: the key's running total of ``value``."""
     def fold(key, pdfs, state):
         t, seq, value = _ordered(pdfs, "value")
-        value = value.astype("int64")
-        run = np.cumsum(value) + (int(state.get[0]) if state.exists else 0)
-        state.update((int(run[-1]),))
-        yield _out(key_names, key, len(t), t=t, seq=seq, value=value, running_total=run)
+        # A null adds nothing, and the total is null until a first value came.
+        given = ~pd.isna(value)
+        run = np.cumsum(np.where(given, value, 0).astype("int64")) + (int(state.get[0]) if state.exists else 0)
+        known = np.logical_or.accumulate(given) | state.exists
+        if known[-1]:
+            state.update((int(run[-1]),))
+        yield _out(key_names, key, len(t), t=t, seq=seq, value=pd.array(np.where(given, value, None), "Int64"),
+                   running_total=pd.array(np.where(known, run, None), "Int64"))
     return fold
 
 
@@ -145,7 +155,11 @@ def action_duration_stream(df: DataFrame, keys: Sequence[str], *, login: str, lo
 
 def repeat_alert_stream(df: DataFrame, keys: Sequence[str], trigger: str, threshold: str | int,
                         *, alerts_only: bool = True) -> DataFrame:
-    """``df`` from ``keyed_input(..., extra={"op": ...})``."""
+    """``df`` from ``keyed_input(..., extra={"op": ...})``.  With
+    ``alerts_only`` just the trigger records, the only ones that read or
+    change the state, are shuffled."""
+    if alerts_only:
+        df = df.filter(F.col("op") == F.lit(trigger))
     schema = T.StructType(_common(df, keys) + [
         T.StructField("alert_user", T.StringType()), T.StructField("interval_us", T.LongType()),
         T.StructField("is_alert", T.BooleanType())])
@@ -155,7 +169,11 @@ def repeat_alert_stream(df: DataFrame, keys: Sequence[str], trigger: str, thresh
 
 
 def running_sum_stream(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """``df`` from ``keyed_input(..., extra={"value": <integer column>})``."""
+    """``df`` from ``keyed_input(..., extra={"value": <integer column>})``;
+    other types are refused (a sum of doubles depends on their order)."""
+    if not isinstance(df.schema["value"].dataType, T.IntegralType):
+        raise TypeError(f"running_sum_stream sums integers, not {df.schema['value'].dataType.simpleString()}")
+    df = df.withColumn("value", F.col("value").cast("long"))
     schema = T.StructType(_common(df, keys) + [
         T.StructField("value", T.LongType()), T.StructField("running_total", T.LongType())])
     return df.groupBy(*keys).applyInPandasWithState(

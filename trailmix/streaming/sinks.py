@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from trailmix.session import checkpoint_location
+from trailmix.sources.kafka import kafka_payload
 
 
 def _writer(df: DataFrame, name: str, mode: str, trigger: dict | None, checkpoint: str | None):
@@ -44,9 +45,7 @@ def write_kafka(df: DataFrame, value: Column, key: Column, servers: str, topic:
                 mode: str = "append", trigger: dict | None = None,
                 checkpoint: str | None = None) -> StreamingQuery:
     """Send ``value`` text to ``topic`` (needs the Kafka connector package)."""
-    out = df.select(key.cast("string").cast("binary").alias("key"),
-                    value.cast("string").cast("binary").alias("value"))
-    return (_writer(out, name, mode, trigger, checkpoint).format("kafka")
+    return (_writer(kafka_payload(df, value, key), name, mode, trigger, checkpoint).format("kafka")
             .option("kafka.bootstrap.servers", servers).option("topic", topic).start())
 
 
