@@ -10,7 +10,7 @@ those stay inside whole-stage code generation.  For the rest:
     aggregate usable in ``window_agg`` / ``groupBy().agg``;
   * ``reduce_by_key`` — the same reduction in two levels (per key and input
     partition, then per key), so a hot key is never one task's whole input;
-  * ``now_millis``, ``to_bytes`` — wall clock in ms, text to bytes.
+  * ``to_bytes`` — text to bytes.
 """
 
 from __future__ import annotations
@@ -63,11 +63,6 @@ def reduce_by_key(df: DataFrame, keys: Sequence[str], value: str,
     return partial.groupBy(*keys).agg(agg(F.col("__partial")).alias(out))
 
 
-def now_millis() -> Column:
-    """Current time in epoch milliseconds (one value per query / micro-batch)."""
-    return F.unix_millis(F.current_timestamp())
-
-
 def to_bytes(text: Column) -> Column:
     """UTF-8 bytes of a text column (e.g. a Kafka record value)."""
     return text.cast("string").cast("binary")

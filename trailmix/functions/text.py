@@ -38,16 +38,3 @@ def join_fields(*cols: Column, sep: str = ",") -> Column:
 def quote_fields(*cols: Column, sep: str = ",") -> Column:
     """Record → line with every field in double quotes (CSV writer style)."""
     return F.concat_ws(sep, *[F.concat(F.lit('"'), c.cast("string"), F.lit('"')) for c in cols])
-
-
-def labelled(label: str, *parts: tuple[str, Column]) -> Column:
-    """``"<label> : k1 : v1 k2 : v2"`` style summary message."""
-    pieces: list[Column] = [F.lit(label)]
-    for name, value in parts:
-        pieces += [F.lit(f" {name} : "), value.cast("string")]
-    return F.concat(*pieces)
-
-
-def record_json(*cols: str) -> Column:
-    """Record → debug string (JSON of the named columns)."""
-    return F.to_json(F.struct(*cols))

@@ -70,19 +70,6 @@ def micros_to_time(us: Column, dtype: T.DataType) -> Column:
     return F.floor(us / F.lit(1000)).cast("long")
 
 
-def as_timestamp(df: DataFrame, col: str) -> Column:
-    """Timestamp view of a time column (epoch ms becomes TIMESTAMP)."""
-    dtype = df.schema[col].dataType
-    if isinstance(dtype, (T.LongType, T.IntegerType)):
-        return F.timestamp_millis(F.col(col))
-    return F.col(col)
-
-
-def micros_between(start: Column, end: Column) -> Column:
-    """``end - start`` in microseconds for two timestamps of the same kind."""
-    return F.timestamp_diff("MICROSECOND", start, end)
-
-
 def flatten_window(df: DataFrame, col: str = "window",
                    prefix: str = "window") -> DataFrame:
     """Replace the ``window`` struct with ``window_start`` / ``window_end``."""

@@ -29,9 +29,6 @@ BROWSER_FIELDS: list[tuple[str, T.DataType]] = [
     ("action", T.StringType()),
 ]
 
-ENTITIES = ["Customer", "SalesRep"]
-OPERATIONS = ["Create", "Read", "Update", "Delete"]
-ACTIONS = ["Login", "Logout", "View Video", "View Link", "View Review"]
 STREAM_TAGS = ("Stream-1", "Stream-2")
 NO_ALERT = "No Alerts"
 NO_ACTION = "None"
@@ -44,17 +41,6 @@ def struct_of(fields: list[tuple[str, T.DataType]]) -> T.StructType:
 AUDIT_SCHEMA = struct_of(AUDIT_FIELDS)
 BROWSER_SCHEMA = struct_of(BROWSER_FIELDS)
 
-# Kafka source rows as Spark's connector delivers them.
-KAFKA_SCHEMA = T.StructType([
-    T.StructField("key", T.BinaryType(), True),
-    T.StructField("value", T.BinaryType(), True),
-    T.StructField("topic", T.StringType(), True),
-    T.StructField("partition", T.IntegerType(), True),
-    T.StructField("offset", T.LongType(), True),
-    T.StructField("timestamp", T.TimestampType(), True),
-    T.StructField("timestampType", T.IntegerType(), True),
-])
-
 # The driver's ``events`` table stands in for both record kinds:
 #   user / name          <- user_id
 #   operation / action   <- event_type

@@ -27,8 +27,3 @@ def stream_lines(spark: SparkSession, path: str, *, max_files_per_trigger: int |
     if arrival:
         df = df.withColumn("arrival_time", F.current_timestamp())
     return df
-
-
-def write_lines(df: DataFrame, path: str, *, mode: str = "overwrite") -> None:
-    """Write a single string column as text files (one record per line)."""
-    df.write.mode(mode).text(path)

@@ -20,10 +20,3 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events")
-
-
-def register_views(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
-    for n in names:
-        path = os.path.join(sf_dir, f"{n}.parquet")
-        if os.path.exists(path):
-            table(spark, sf_dir, n).createOrReplaceTempView(n)

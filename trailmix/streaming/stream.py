@@ -3,25 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from trailmix.functions.time import duration_string
 
 
-def event_time(df: DataFrame, col: str, out: str = "event_time") -> DataFrame:
-    """Add a TIMESTAMP column for ``col`` (epoch-ms BIGINT or TIMESTAMP_NTZ).
-
-    ``withWatermark`` accepts only TIMESTAMP; NTZ values are read in the
-    session zone (UTC in this package's sessions).
-    """
-    dtype = df.schema[col].dataType
-    if isinstance(dtype, (T.LongType, T.IntegerType)):
-        return df.withColumn(out, F.timestamp_millis(F.col(col)))
-    return df.withColumn(out, F.col(col).cast("timestamp"))
-
-
 def watermark(df: DataFrame, col: str, delay: str) -> DataFrame:
     return df.withWatermark(col, duration_string(delay))
 
