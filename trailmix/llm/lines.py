@@ -1,88 +1,125 @@
-"""Substring de-duplication by line hashing.
+"""Substring de-duplication by hashing lines and the clauses in them.
 
-Units are the lines of a text that have at least ``min_words`` words,
-normalised to lower case (A-Z) and single spaces.  Digests are grouped over
-all documents; the earliest occurrence (least id, then offset) stays and every
-later one is removed, with its offsets in the original text kept.  A digest is
-only ever aggregated (least occurrence, count), so a line that a third of all
-documents share is one row for each task that saw it.
+Units are the lines of a text, cut further after ``. , ; : ! ?``, because a
+repeated passage may stand inside a line.  A unit of at least ``UNIT_WORDS``
+words is normalised to its words in lower case (A-Z) without the marks at its
+end, and hashed.  Digests are grouped over all documents; the earliest
+occurrence of each (least id, then offset) stays.  Of the others, a run of
+neighbouring units with at least ``min_words`` words in all is removed, with
+its offsets in the original text kept; shorter runs are left alone, so a common
+phrase, licence line or heading in an otherwise new text stays.  Shorter units
+between two units of a run go with it.
+
+A digest is only ever aggregated (least occurrence, count), so a line that a
+third of all documents share is one row for each task that saw it.
 
 Defined results.  Null text: as it is, nothing removed.  Null ids rank after
 all ids.  Repeated rows (same id and text) rank alike: each is treated as the
-same document, so a line they share is kept in all of them unless an earlier
-document or line has it.  Empty table: no rows.  Extra columns are not read.
+same document, so a passage they share is kept in all of them unless an earlier
+document has it.  Empty table: no rows.  Extra columns are not read.
 """
 
 from __future__ import annotations
 
-import hashlib
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trailmix.llm.common import pick, ship, written
 
-MIN_WORDS = 20
+MIN_WORDS = 25
+UNIT_WORDS = 3
+_UNIT = re.compile(r"[^\n.,;:!?]*[\n.,;:!?]+|[^\n.,;:!?]+")
+_MARKS = b".,;:!? \t\n\r\x0b\x0c"
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
-def units(text: str, min_words: int) -> Iterator[tuple[int, int, bytes]]:
-    """(start, stop, digest) of the long lines of a text; offsets are in
-    characters, stop is after the line break."""
-    at = 0
-    for line in text.split("\n"):
-        stop = at + len(line) + 1
-        if len(line) >= 2 * min_words - 1:
-            words = line.encode().translate(_LOWER).split()
-            if len(words) >= min_words:
-                yield at, min(stop, len(text)), hashlib.md5(b" ".join(words)).digest()
-        at = stop
+def units(text: str) -> list[tuple[int, int, int, int]]:
+    """(start, stop, words, digest) of the units of a text; offsets in characters."""
+    out = []
+    for m in _UNIT.finditer(text):
+        words = m.group().encode().translate(_LOWER).rstrip(_MARKS).split()
+        if len(words) >= UNIT_WORDS:
+            out.append((m.start(), m.end(), len(words), xxhash.xxh3_64_intdigest(b" ".join(words)) - (1 << 63)))
+    return out
+
+
+def runs(found: list[tuple[int, int, int, int]], min_words: int) -> list[tuple[int, int]]:
+    """Spans of runs of neighbouring units (number, start, stop, words) with
+    enough words in all."""
+    out, at = [], 0
+    while at < len(found):
+        end, words = at, found[at][3]
+        while end + 1 < len(found) and found[end + 1][0] == found[end][0] + 1:
+            end += 1
+            words += found[end][3]
+        if words >= min_words:
+            out.append((found[at][1], found[end][2]))
+        at = end + 1
+    return out
+
 
+def text_units(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, text_key, unit, start, stop, words, digest) of every unit."""
+    names = ["id", "text_key", "unit", "start", "stop", "words", "digest"]
 
-def line_units(docs: DataFrame, min_words: int, id_col: str, text_col: str) -> DataFrame:
-    """(id, text_key, start, stop, digest) of every unit."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for lo in range(0, b.num_rows, 1024):
-                part = b.slice(lo, 1024)
-                found = [list(units(t or "", min_words)) for t in part.column("text").to_pylist()]
-                row = np.repeat(np.arange(len(found)), [len(f) for f in found])
-                flat = [u for f in found for u in f]
+            for lo in range(0, b.num_rows, 512):
+                part = b.slice(lo, 512)
+                found = [units(t or "") for t in part.column("text").to_pylist()]
+                size = [len(f) for f in found]
+                row = pa.array(np.repeat(np.arange(len(found)), size))
+                flat = np.array([u for f in found for u in f], np.int64).reshape(-1, 4)
+                number = np.arange(len(flat)) - np.repeat(np.cumsum([0, *size[:-1]]), size)
                 yield pa.RecordBatch.from_arrays([
-                    part.column("id").take(pa.array(row)), part.column("text_key").take(pa.array(row)),
-                    pa.array([u[0] for u in flat], pa.int32()), pa.array([u[1] for u in flat], pa.int32()),
-                    pa.array([u[2] for u in flat], pa.binary())], ["id", "text_key", "start", "stop", "digest"])
+                    part.column("id").take(row), part.column("text_key").take(row), pa.array(number.astype(np.int32)),
+                    *(pa.array(flat[:, i].astype(np.int32)) for i in range(3)), pa.array(flat[:, 3])], names)
 
     rows = pick(docs, id=id_col, text=text_col).withColumn("text_key", F.xxhash64("text"))
-    return rows.mapInArrow(run, "id long, text_key long, start int, stop int, digest binary")
+    return rows.mapInArrow(run, "id long, text_key long, unit int, start int, stop int, words int, digest long")
 
 
 def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, text_key, start, stop, first_id, occurrences) of every unit that is not the earliest."""
+    """(none, id, text_key, removed): for each text (id 0 and ``none`` where it
+    is null) the spans of the runs that occur earlier, in order."""
     ship(docs.sparkSession)
-    found = written(line_units(docs, min_words, id_col, text_col), "units")
-    rank = F.struct(F.col("id").isNull().alias("none"), "id", "text_key", "start")
-    groups = (found.groupBy("digest").agg(F.min(rank).alias("first"), F.count(F.lit(1)).alias("occurrences"))
-              .filter("occurrences > 1"))
-    same = F.col("id").eqNullSafe(F.col("first.id")) & (F.col("text_key") == F.col("first.text_key")) & (F.col("start") == F.col("first.start"))
-    return (found.join(groups, "digest").filter(~same)
-            .select("id", "text_key", "start", "stop", F.col("first.id").alias("first_id"), "occurrences").distinct())
+    found = written(text_units(docs, id_col, text_col), "units")
+    found = found.withColumns({"none": F.col("id").isNull(), "id": F.coalesce("id", F.lit(0))})
+    rank = F.struct("none", "id", "text_key", "unit")
+    groups = (found.groupBy("digest").agg(F.min(rank).alias("first"), F.count(F.lit(1)).alias("n"))
+              .filter("n > 1").select("digest", "first"))
+    later = (found.join(groups, "digest").filter(rank != F.col("first"))
+             .groupBy("none", "id", "text_key")
+             .agg(F.array_sort(F.collect_set(F.struct("unit", "start", "stop", "words"))).alias("units")))  # one text's units
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            spans = [[{"start": s, "stop": e} for s, e in runs([tuple(u.values()) for u in us], min_words)]
+                     for us in b.column("units").to_pylist()]
+            keep = pa.array([bool(s) for s in spans], pa.bool_())
+            out = pa.RecordBatch.from_arrays([*(b.column(c) for c in ("none", "id", "text_key")), pa.array(spans, _SPANS)],
+                                             ["none", "id", "text_key", "removed"])
+            yield out.filter(keep)
+
+    return later.mapInArrow(run, "none boolean, id long, text_key long, removed array<struct<start:int,stop:int>>")
+
+
+_SPANS = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))
 
 
 def drop_repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: id, text without the spans, n_removed, removed
     (spans of the original text, in order)."""
-    spans = repeated_spans(docs, min_words, id_col, text_col)
-    lists = (spans.withColumn("none", F.col("id").isNull()).withColumn("id", F.coalesce("id", F.lit(0)))
-             .groupBy("none", "id", "text_key").agg(F.array_sort(F.collect_list(F.struct("start", "stop"))).alias("removed")))  # one text's lines
+    spans = written(repeated_spans(docs, min_words, id_col, text_col), "repeated-spans")
     rows = pick(docs, id=id_col, text=text_col).withColumn("text_key", F.xxhash64("text"))
     keyed = rows.withColumns({"none": F.col("id").isNull(), "id": F.coalesce("id", F.lit(0))})
-    found = keyed.join(lists, ["none", "id", "text_key"], "left")
-
-    kind = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))
+    found = keyed.join(spans, ["none", "id", "text_key"], "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -99,7 +136,7 @@ def drop_repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str
                         texts[i] = "".join(kept) + texts[i][at:]
                 yield pa.RecordBatch.from_arrays([
                     part.column("id"), pa.array(texts, pa.string()), pa.array([len(c) for c in removed], pa.int32()),
-                    pa.array(removed, kind)], ["id", "text", "n_removed", "removed"])
+                    pa.array(removed, _SPANS)], ["id", "text", "n_removed", "removed"])
 
     ident = F.when(~F.col("none"), F.col("id")).alias("id")
     return (found.select(ident, "text", "removed")
