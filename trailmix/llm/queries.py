@@ -70,6 +70,23 @@ QUERIES = {f.__name__: f for f in (op1_sharding, op2_near_dedup, op3_exact_dedup
                                     op7_token_file, op8_quality, op9_bpe, op10_lines)}
 
 ORACLE = {
+    "op2_near_dedup": r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+e AS (SELECT doc_id, w, len(w) AS k, unnest(range(1, greatest(len(w) - 2, 2))) AS i FROM d WHERE len(w) > 0),
+g AS (SELECT DISTINCT doc_id, CASE WHEN k < 4 THEN array_to_string(w, ' ')
+                                   ELSE w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] || ' ' || w[i + 3] END AS x FROM e),
+s AS (SELECT d.doc_id, coalesce(max(z.n), 0) AS n FROM d LEFT JOIN (SELECT doc_id, count(*) AS n FROM g GROUP BY 1) z ON d.doc_id = z.doc_id GROUP BY 1),
+p AS (SELECT g.doc_id, s.n, g.x FROM g JOIN s ON g.doc_id = s.doc_id),
+c AS (SELECT a.doc_id AS a, b.doc_id AS b, a.n AS na, b.n AS nb, count(*) AS i
+      FROM p a JOIN p b ON a.x = b.x AND a.doc_id <> b.doc_id GROUP BY 1, 2, 3, 4),
+l AS (SELECT a, b FROM c WHERE 100 * i >= 80 * (na + nb - i)),
+r(id, reach) AS (SELECT doc_id, doc_id FROM s UNION SELECT r.id, l.b FROM r JOIN l ON r.reach = l.a),
+m AS (SELECT id, min(reach) AS component_id FROM r GROUP BY id)
+SELECT s.doc_id, s.n AS n_shingles, m.component_id, s.doc_id = m.component_id AS kept
+FROM s JOIN m ON s.doc_id = m.id
+""",
     "op3_exact_dedup": """
 WITH d AS (
   SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
