@@ -217,6 +217,22 @@ def test_checkpoint_folder_must_be_shared_on_a_cluster(monkeypatch):
         ensure_checkpoint_dir(fake)
 
 
+def test_branches_do_not_overwrite_another_checkpoint(spark, audit_dir, scratch):
+    parsed, _ = parse_audit(_stream(spark, audit_dir))
+    main, side = os.path.join(scratch, "main"), os.path.join(scratch, "side")
+
+    def start(ck):
+        return sinks.write_branches(parsed, F.col("entity") == "Customer", main, side, f"branches_{ck}", trigger=ONCE,
+                                    checkpoint=os.path.join(scratch, ck))
+
+    run_to_end(start("one"), timeout_s=300)
+    n = spark.read.parquet(main).count() + spark.read.parquet(side).count()
+    with pytest.raises(ValueError, match="another checkpoint"):
+        start("two")
+    run_to_end(start("one"), timeout_s=300)
+    assert spark.read.parquet(main).count() + spark.read.parquet(side).count() == n == 1000
+
+
 def test_jobs_run(spark, audit_dir, browser_dir, scratch):
     out = os.path.join(scratch, "jobs")
     ck = {"trigger": ONCE, "checkpoint_root": os.path.join(scratch, "ckpt")}

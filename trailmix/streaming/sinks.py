@@ -72,6 +72,21 @@ def write_batches(df: DataFrame, name: str, fn: Callable[[DataFrame, int], None]
     return _writer(df, name, mode, trigger, checkpoint).foreachBatch(fn).start()
 
 
+def _refuse_foreign(spark, checkpoint: str, *paths: str) -> None:
+    """Batch numbers restart with a new checkpoint, so writing by batch number
+    into an older query's folder would overwrite its data."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+
+    def filled(path: str) -> bool:
+        p = hadoop.Path(path)
+        fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+        return fs.exists(p) and len(fs.listStatus(p)) > 0
+
+    for path in paths:
+        if filled(path) and not filled(f"{checkpoint}/offsets"):
+            raise ValueError(f"{path} holds data of another checkpoint than {checkpoint}")
+
+
 def write_branches(df: DataFrame, predicate: Column, main_path: str, side_path: str,
                    name: str, *, side_cols: tuple[str, ...] | None = None,
                    trigger: dict | None = None, checkpoint: str | None = None) -> StreamingQuery:
@@ -79,9 +94,12 @@ def write_branches(df: DataFrame, predicate: Column, main_path: str, side_path:
     persisted once and filtered twice, so the source is read once.
 
     Files are written under ``<path>/batch=<id>`` and a replayed batch
-    overwrites its own folder, so retries do not duplicate rows.
+    overwrites its own folder, so retries do not duplicate rows.  A folder that
+    holds another checkpoint's data is refused.
     """
     hit = F.coalesce(predicate, F.lit(False))
+    checkpoint = checkpoint or checkpoint_location(df.sparkSession, name)
+    _refuse_foreign(df.sparkSession, checkpoint, main_path, side_path)
 
     def both(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
