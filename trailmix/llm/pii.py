@@ -16,8 +16,8 @@ corpus: a surrogate that another entity has, or that is itself an entity of
 the corpus, is given up and the entity's next attempt is drawn, until all are
 distinct.
 
-Texts without any digit, @, title or known name are passed on by a scan
-filter; they never reach Python or a shuffle.
+Texts without any digit, @, title or known name are told apart by a quick test
+over Arrow batches and passed on; only the others reach a shuffle.
 
 Defined results.  Null text: as it is.  Empty text, null ids, repeated rows:
 by their text, equal texts get equal results.  Empty table: no rows.  Extra
@@ -32,6 +32,7 @@ import re
 import string
 from collections.abc import Iterator
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -80,9 +81,15 @@ PATTERNS = [
 ]
 _NAMES = re.compile(rf"\b(?:(?:{_TITLE})\.? {_NAME}(?: {_NAME})?|(?:{_FIRST})(?: {_NAME})+)")
 _PATTERNS = [(k, re.compile(p)) for k, p in PATTERNS]
-_TRIGGER = re.compile(rf"[0-9@]|\b(?:{_TITLE}|{_FIRST})\b")
-# What every entity has; Java and Python read it alike.
-PREFILTER = rf"[0-9@]|({_TITLE}|{_FIRST})"
+# What every entity has: a digit or @, or a title or known name.
+_SIGN = re.compile("[0-9@]")
+_CAPITALISED = re.compile(rf"[{_UP}][{_LOW}]+")
+_KNOWN = {*_TITLE.split("|"), *_FIRST.split("|")}
+
+
+def may_hold(text: str | None) -> bool:
+    """Whether a text can have an entity: a quick test that misses none."""
+    return bool(text) and (_SIGN.search(text) is not None or not _KNOWN.isdisjoint(_CAPITALISED.findall(text)))
 
 
 def luhn(digits: str) -> bool:
@@ -115,7 +122,7 @@ def canonical(kind: str, found: str) -> str | None:
 
 def detect(text: str) -> list[tuple[int, int, str, str]]:
     """(start, stop, kind, canonical form), in order, without overlaps."""
-    if not _TRIGGER.search(text):
+    if not may_hold(text):
         return []
     found: list[tuple[int, int, str, str]] = []
     taken: list[tuple[int, int]] = []
@@ -298,7 +305,11 @@ def replace_in_rows(docs: DataFrame, key: bytes, text_col: str = "text", chars_c
 def _replaced(rows: DataFrame, text: Column, key: bytes) -> DataFrame:
     """The rows with new_text and kinds."""
     ship(rows.sparkSession)
-    may = F.coalesce(text.rlike(PREFILTER), F.lit(False))
+    @F.pandas_udf("boolean")
+    def held(texts: pd.Series) -> pd.Series:
+        return texts.map(may_hold)
+
+    may = held(text)
     flagged = rows.filter(may).withColumn("old_text", text)
     found = _surrogates(flagged.select(F.col("old_text").alias("text")), key)
     joined = flagged.withColumn("text_key", _text_key(F.col("old_text"))).join(found, "text_key", "left").drop("text_key")
