@@ -33,7 +33,8 @@ from trailmix.llm.common import pick, ship
 
 CHUNK_CHARS = 32_768
 OVERLAP = 1_024
-CACHE_PIECES = 300_000
+# Pieces remembered by one Python worker (about 130 MB).
+CACHE_PIECES = 600_000
 _KEEP_CHARS = 40
 _CODECS: dict = {}
 
@@ -44,14 +45,17 @@ def merge_pairs(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
         return [ranks[piece]]
     if len(piece) > 64:
         return _merge_long(piece, ranks)
+    none = 1 << 40
     parts = [piece[i:i + 1] for i in range(len(piece))]
-    while len(parts) > 1:
-        found = [ranks.get(a + b, 1 << 40) for a, b in zip(parts, parts[1:], strict=False)]
-        least = min(found)
-        if least == 1 << 40:
-            break
+    found = [ranks.get(piece[i:i + 2], none) for i in range(len(piece) - 1)]   # of each neighbouring pair
+    while found and (least := min(found)) < none:
         at = found.index(least)
         parts[at:at + 2] = [parts[at] + parts[at + 1]]
+        del found[at]
+        if at < len(found):
+            found[at] = ranks.get(parts[at] + parts[at + 1], none)
+        if at:
+            found[at - 1] = ranks.get(parts[at - 1] + parts[at], none)
     return [ranks[p] for p in parts]
 
 
