@@ -1,0 +1,82 @@
+import random
+from collections import Counter
+
+from tests.llm.cases import awkward, awkward_rows, empty, plain, words
+from tests.llm.test_lines import got
+from trailmix.llm.lines import drop_repeated_passages
+
+CUT = " \t\n\r\x0b\x0c.,;:!?"
+
+
+def split(text):
+    """(word, start, stop) with the marks after a word and the space before it."""
+    out, at = [], 0
+    while at < len(text):
+        if text[at] in CUT:
+            at += 1
+            continue
+        end = at
+        while end < len(text) and text[end] not in CUT:
+            end += 1
+        stop = end
+        while stop < len(text) and text[stop] in "\n.,;:!?":
+            stop += 1
+        out.append(("".join(c.lower() if "A" <= c <= "Z" else c for c in text[at:end]), out[-1][2] if out else 0, stop))
+        at = end
+    return out
+
+
+def brute(rows, least):
+    """Texts in rank order; every stretch of ``least`` words with its first place."""
+    first, spans = {}, {}
+    for key in sorted({(r[0] is None, r[0] or 0, r[1] or "") for r in rows}):
+        w = split(key[2])
+        gone = set()
+        for i in range(len(w) - least + 1):
+            doc, at = first.setdefault(tuple(x[0] for x in w[i:i + least]), (key, i))
+            if doc != key or at + least <= i:
+                gone.update(range(i, i + least))
+        spans[key] = [(w[i][1], next(w[j][2] for j in range(i, len(w)) if j + 1 not in gone))
+                      for i in sorted(gone) if i - 1 not in gone]
+    def left(text, cuts):
+        for a, b in reversed(cuts):
+            text = text[:a] + text[b:]
+        return text
+    return Counter((r[0], None if r[1] is None else left(r[1], spans[r[0] is None, r[0] or 0, r[1]]),
+                    tuple(spans[r[0] is None, r[0] or 0, r[1] or ""])) for r in rows)
+
+
+def texts(spark, rows, least=25):
+    return {r["doc_id"]: r["text"] for r in drop_repeated_passages(plain(spark, [(i, t, None, None, 0) for i, t in rows]), least).collect()}
+
+
+def test_equals_brute_force(spark):
+    rng = random.Random(1)
+    pool = [words(rng, n) for n in (2, 3, 5, 9, 30, 60)]
+    rows = []
+    for i in range(80):
+        parts = [rng.choice(pool) if rng.random() < 0.6 else words(rng, rng.randrange(0, 8)) for _ in range(rng.randrange(0, 9))]
+        parts = [x.upper() if rng.random() < 0.3 else "  ".join(x.split(" ")) if rng.random() < 0.3 else x for x in parts]
+        rows.append((i, "".join(x + rng.choice([". ", ", ", "\n", "\n\n", "!? ", " é ", " "]) for x in parts), "en", "a", 0))
+    for least in (1, 3, 25):
+        assert got(drop_repeated_passages(plain(spark, rows), least)) == brute(rows, least)
+
+
+def test_awkward(spark):
+    rows = [r for r in awkward_rows() if r[0] is not None]
+    assert got(drop_repeated_passages(awkward(spark).filter("doc_id is not null"), 5)) == brute(rows, 5)
+    assert drop_repeated_passages(awkward(spark), 5).count() == len(awkward_rows())
+    assert drop_repeated_passages(empty(spark)).count() == 0
+
+
+def form(name, amount, date):
+    return (f"The name of the applicant on this form is: {name}. The total amount that is due for this month is: {amount}. "
+            f"Please pay the whole sum to our office before: {date}. Thank you very much for your early and full payment.")
+
+
+def test_unique_words_of_a_form_stay(spark):
+    out = texts(spark, [(1, form("Tom Lee", "97 EUR", "9 June")), (2, form("Ann Ray", "12 USD", "3 May"))])
+    assert out[1] == form("Tom Lee", "97 EUR", "9 June") and out[2] == form("Ann Ray", "12 USD", "3 May")
+    long = " ".join(f"t{i}" for i in range(40))
+    out = texts(spark, [(1, f"{long}. A b: {long}"), (2, f"{long}. Zoe Q: {long}")])
+    assert out[2] == " Zoe Q:"

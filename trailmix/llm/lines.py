@@ -17,6 +17,16 @@ Defined results.  Null text: as it is, nothing removed.  Null ids rank after
 all ids.  Repeated rows (same id and text) rank alike: each is treated as the
 same document, so a passage they share is kept in all of them unless an earlier
 document has it.  Empty table: no rows.  Extra columns are not read.
+
+``drop_repeated_passages`` (the registered query) needs no lines or marks.  A
+stretch of ``min_words`` words that stands earlier (least id, then offset,
+without overlap) goes, and nothing else: its words are all in the earlier
+place, so unique words between repeated ones stay, and every repeated passage
+of that length goes to its last word wherever it starts.  Words are lower case
+(A-Z) and cut at white space and ``. , ; : ! ?``.  To find the stretches, half
+as long runs of words are hashed and of each stretch's runs the one of least
+hash is compared over the corpus (equal stretches pick equal runs); only
+stretches whose run occurs twice are hashed themselves.
 """
 
 from __future__ import annotations
@@ -142,3 +152,174 @@ def drop_repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str
     return (found.select(ident, "text", "removed")
             .mapInArrow(run, "id long, text string, n_removed int, removed array<struct<start:int,stop:int>>")
             .withColumnsRenamed({"id": id_col, "text": text_col}))
+
+
+_SPACES, _POINTS = " \t\n\r\x0b\x0c", "\n.,;:!?"
+_GROUP_CHARS = 1 << 20
+_BASE = np.uint64(0x9E3779B97F4A7C15)
+
+
+def _flags(chars: str) -> np.ndarray:
+    out = np.zeros(0x110000, bool)
+    out[[ord(c) for c in chars]] = True
+    return out
+
+
+_CUT, _POINT = _flags(_SPACES + _POINTS), _flags(_POINTS)
+
+
+def _mix(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def _runs_hash(values: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    """Hash of values[start:stop] for each pair: sums of powers, moved to one
+    origin by the inverse power."""
+    powers = np.full(len(values) + 1, _BASE)
+    powers[0] = 1
+    powers = np.multiply.accumulate(powers)
+    back = np.full(len(values) + 1, np.uint64(pow(int(_BASE), -1, 1 << 64)))
+    back[0] = 1
+    back = np.multiply.accumulate(back)
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values * powers[:-1], dtype=np.uint64)])
+    return _mix((sums[stop] - sums[start]) * back[start] + (stop - start).astype(np.uint64))
+
+
+class _Words:
+    """The words of some texts: ``text`` (its number), ``at`` (the word's
+    number in it), ``start`` and ``stop`` (characters of it)."""
+
+    def __init__(self, texts: list[str]):
+        joined = "".join(t + "\n" for t in texts)
+        chars = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
+        cut = _CUT[chars]
+        inside = np.concatenate([[True], cut, [True]])
+        begin, end = np.flatnonzero(inside[:-1] & ~inside[1:]), np.flatnonzero(~inside[:-1] & inside[1:])
+        lower = chars + np.where((chars >= 65) & (chars <= 90), 32, 0).astype(np.uint32)
+        self.hashes = _runs_hash(_mix(lower.astype(np.uint64) + _BASE), begin, end)
+        origin = np.concatenate([[0], np.cumsum([len(t) + 1 for t in texts])])
+        self.text = np.searchsorted(origin, begin, side="right") - 1
+        self.at = np.arange(len(begin)) - np.searchsorted(self.text, self.text)
+        # A word's marks go with it, the space before it too.
+        points = np.flatnonzero(~np.concatenate([_POINT[chars], [False]]))
+        past = points[np.searchsorted(points, end)] if len(end) else end
+        past = np.minimum(past, origin[self.text + 1] - 1)
+        self.stop = past - origin[self.text]
+        self.start = np.where(self.at == 0, 0, np.concatenate([[0], self.stop[:-1]]))
+
+    def grams(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """(hash of the n words from each word on, whether one text has them all)."""
+        first = np.arange(max(0, len(self.hashes) - n + 1))
+        return _runs_hash(self.hashes, first, first + n), self.text[first] == self.text[first + n - 1]
+
+    def stretches(self, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """First words of all stretches of n words, and word and hash of the
+        run that stands for each."""
+        k = max(1, n // 2)
+        runs, _ = self.grams(k)
+        first = np.arange(max(0, len(self.hashes) - n + 1))
+        first = first[self.text[first] == self.text[first + n - 1]]
+        if not len(first):
+            return first, first, runs[:0].astype(np.int64)
+        least = np.lib.stride_tricks.sliding_window_view(runs, n - k + 1).argmin(1)
+        chosen = first + least[first]
+        return first, chosen, runs[chosen].astype(np.int64)
+
+
+def _slices(b: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+    """Parts of a batch of about ``_GROUP_CHARS`` characters."""
+    texts = [t or "" for t in b.column("text").to_pylist()]
+    lo = n = 0
+    for hi, t in enumerate(texts, 1):
+        n += len(t)
+        if n >= _GROUP_CHARS or hi == len(texts):
+            yield b.slice(lo, hi - lo), texts[lo:hi]
+            lo, n = hi, 0
+
+
+_KEYS = ["none", "id", "text_key"]
+
+
+def _found(part: pa.RecordBatch, w: _Words, words: np.ndarray, digests: np.ndarray) -> pa.RecordBatch:
+    row = pa.array(w.text[words])
+    return pa.RecordBatch.from_arrays([*(part.column(c).take(row) for c in _KEYS), pa.array(w.at[words].astype(np.int32)),
+                                       pa.array(digests)], [*_KEYS, "unit", "digest"])
+
+
+_FOUND = "none boolean, id long, text_key long, unit int, digest long"
+
+
+def repeated_stretches(rows: DataFrame, min_words: int) -> DataFrame:
+    """(none, id, text_key, units): for each text the first words of the
+    stretches that stand earlier.  ``rows`` has none, id, text_key and text."""
+
+    def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for part, texts in _slices(b):
+                w = _Words(texts)
+                _, chosen, digests = w.stretches(min_words)
+                chosen, one = np.unique(chosen, return_index=True)
+                yield _found(part, w, chosen, digests[one])
+
+    def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for part, texts in _slices(b):
+                w = _Words(texts)
+                first, chosen, _ = w.stretches(min_words)
+                again = np.zeros(len(w.at), bool)
+                origin = np.searchsorted(w.text, np.arange(len(texts)))
+                for i, units in enumerate(part.column("units").to_pylist()):
+                    again[origin[i] + np.array(units, np.int64)] = True
+                first = first[again[chosen]]
+                yield _found(part, w, first, w.grams(min_words)[0][first].astype(np.int64))
+
+    runs = written(rows.mapInArrow(sample, _FOUND), "runs")
+    twice = runs.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("digest")
+    marked = runs.join(twice, "digest").groupBy(*_KEYS).agg(F.collect_set("unit").alias("units"))  # one text's runs
+    found = written(rows.join(marked, _KEYS).mapInArrow(exact, _FOUND), "stretches")
+    rank = F.struct(*_KEYS, "unit")
+    groups = (found.groupBy("digest").agg(F.min(rank).alias("first"), F.count(F.lit(1)).alias("n"))
+              .filter("n > 1").select("digest", "first"))
+    own = F.struct(*_KEYS) == F.struct(*[F.col(f"first.{c}") for c in _KEYS])
+    later = ~own | (F.col("unit") >= F.col("first.unit") + min_words)
+    return (found.join(groups, "digest").filter(later)
+            .groupBy(*_KEYS).agg(F.collect_set("unit").alias("units")))  # one text's stretches
+
+
+def drop_repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per document: id, text without the passages that stand earlier,
+    n_removed, removed (spans of the original text, in order)."""
+    ship(docs.sparkSession)
+    rows = pick(docs, id=id_col, text=text_col).withColumn("text_key", F.xxhash64("text"))
+    rows = rows.withColumns({"none": F.col("id").isNull(), "id": F.coalesce("id", F.lit(0))})
+    found = rows.join(written(repeated_stretches(rows, min_words), "repeated-stretches"), _KEYS, "left")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            texts, removed = b.column("text").to_pylist(), []
+            for i, units in enumerate(b.column("units").to_pylist()):
+                spans = []
+                if units:
+                    w = _Words([texts[i]])
+                    covered = np.zeros(len(w.at) + 2, np.int8)
+                    for u in units:
+                        covered[u + 1:u + 1 + min_words] = 1
+                    edge = np.diff(covered)
+                    for a, z in zip(np.flatnonzero(edge == 1), np.flatnonzero(edge == -1), strict=True):
+                        spans.append({"start": int(w.start[a]), "stop": int(w.stop[z - 1])})
+                    kept, at = [], 0
+                    for c in spans:
+                        kept.append(texts[i][at:c["start"]])
+                        at = c["stop"]
+                    texts[i] = "".join(kept) + texts[i][at:]
+                removed.append(spans)
+            yield pa.RecordBatch.from_arrays([
+                b.column("id"), pa.array(texts, pa.string()), pa.array([len(c) for c in removed], pa.int32()),
+                pa.array(removed, _SPANS)], ["id", "text", "n_removed", "removed"])
+
+    ident = F.when(~F.col("none"), F.col("id")).alias("id")
+    return (found.select(ident, "text", "units")
+            .mapInArrow(run, "id long, text string, n_removed int, removed array<struct<start:int,stop:int>>")
+            .withColumnsRenamed({"id": id_col, "text": text_col}))

@@ -50,7 +50,7 @@ def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lines.drop_repeated_lines(documents(spark, sf_dir))
+    return lines.drop_repeated_passages(documents(spark, sf_dir))
 
 
 def op5_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
