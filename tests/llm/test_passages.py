@@ -80,3 +80,24 @@ def test_unique_words_of_a_form_stay(spark):
     long = " ".join(f"t{i}" for i in range(40))
     out = texts(spark, [(1, f"{long}. A b: {long}"), (2, f"{long}. Zoe Q: {long}")])
     assert out[2] == " Zoe Q:"
+
+
+def test_every_repeated_passage_goes(spark):
+    rng = random.Random(3)
+    fresh = lambda n: words(rng, n, 10**9)
+    marked = ". ".join(fresh(9) for _ in range(6))
+    kinds = {
+        "inside a sentence": (fresh(7) + " {} " + fresh(8) + ".", marked),
+        "without marks": (fresh(5) + " {} " + fresh(30), fresh(58)),
+        "clauses of one word": (fresh(12) + ": {}. " + fresh(12), "! ".join(fresh(60).split())),
+        "no spaces": ("前{}後", "".join(chr(0x4E00 + rng.randrange(20_000)) for _ in range(80))),
+    }
+    rows, want = [], {}
+    for i, (frame, passage) in enumerate(kinds.values()):
+        rows += [(i, fresh(20) + "\n" + passage + "\n" + fresh(20)), (100 + i, frame.format(passage))]
+        want[i], want[100 + i] = rows[-2][1], frame.split("{}")
+    for i, t in texts(spark, rows).items():
+        if i < 100:
+            assert t == want[i]
+        else:
+            assert t.replace(" ", "").replace(".", "") == "".join(want[i]).replace(" ", "").replace(".", ""), i

@@ -23,7 +23,8 @@ stretch of ``min_words`` words that stands earlier (least id, then offset,
 without overlap) goes, and nothing else: its words are all in the earlier
 place, so unique words between repeated ones stay, and every repeated passage
 of that length goes to its last word wherever it starts.  Words are lower case
-(A-Z) and cut at white space and ``. , ; : ! ?``.  To find the stretches, half
+(A-Z) and cut at white space and ``. , ; : ! ?``; in scripts without spaces
+(Chinese, Japanese, Thai, Lao, Burmese, Khmer) each character is a word.  To find the stretches, half
 as long runs of words are hashed and of each stretch's runs the one of least
 hash is compared over the corpus (equal stretches pick equal runs); only
 stretches whose run occurs twice are hashed themselves.
@@ -166,6 +167,10 @@ def _flags(chars: str) -> np.ndarray:
 
 
 _CUT, _POINT = _flags(_SPACES + _POINTS), _flags(_POINTS)
+_LONE = np.zeros(0x110000, bool)
+for _a, _z in ((0xE00, 0xEFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3000, 0x30FF), (0x31F0, 0x31FF), (0x3400, 0x4DBF),
+               (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0x20000, 0x3FFFF)):
+    _LONE[_a:_z + 1] = True
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -194,9 +199,10 @@ class _Words:
     def __init__(self, texts: list[str]):
         joined = "".join(t + "\n" for t in texts)
         chars = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
-        cut = _CUT[chars]
-        inside = np.concatenate([[True], cut, [True]])
-        begin, end = np.flatnonzero(inside[:-1] & ~inside[1:]), np.flatnonzero(~inside[:-1] & inside[1:])
+        cut = np.concatenate([[True], _CUT[chars], [True]])
+        lone = np.concatenate([[False], _LONE[chars], [False]])
+        edge = cut[:-1] | cut[1:] | lone[:-1] | lone[1:]  # before each character
+        begin, end = np.flatnonzero(edge & ~cut[1:]), np.flatnonzero(edge & ~cut[:-1])
         lower = chars + np.where((chars >= 65) & (chars <= 90), 32, 0).astype(np.uint32)
         self.hashes = _runs_hash(_mix(lower.astype(np.uint64) + _BASE), begin, end)
         origin = np.concatenate([[0], np.cumsum([len(t) + 1 for t in texts])])
