@@ -1,9 +1,11 @@
 """Personal data: detected entities are replaced by surrogates.
 
-Detection finds e-mail addresses, phone numbers, IPv4 addresses, card numbers
-(Luhn), IBANs (mod 97), social security numbers, access keys, assigned
-passwords and tokens, and person names (a known given name or a title before a
-capitalised name, in Latin, Cyrillic or Greek script).  Every occurrence has a
+Detection finds e-mail addresses, phone numbers (international, US and with a
+leading 0), IPv4 and IPv6 addresses, card numbers (Luhn) and IBANs (mod 97)
+also with other numbers or words beside them, social security numbers, access
+keys, assigned passwords and tokens, and person names (a known given name, a
+title or words such as "my name is" before a capitalised name, in Latin,
+Cyrillic or Greek script; other names are not found).  Every occurrence has a
 kind and a canonical form, so two spellings of one entity are one entity.
 
 A surrogate is drawn from HMAC-SHA-256(key, kind, canonical form, attempt): the
@@ -28,6 +30,7 @@ from __future__ import annotations
 
 import hashlib
 import hmac
+import ipaddress
 import re
 import string
 from collections.abc import Iterator
@@ -54,8 +57,41 @@ GIVEN = {
     ("greek", "m"): "Γιώργος Δημήτρης Κώστας Γιάννης Νίκος Παναγιώτης Βασίλης Χρήστος".split(),
     ("greek", "f"): "Μαρία Ελένη Κατερίνα Βασιλική Σοφία Αγγελική Γεωργία Δήμητρα".split(),
 }
-TITLES = {"m": ["Mr", "Mister", "Herr", "Monsieur", "Señor"], "f": ["Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Señora"]}
-_GENDER = {name: (script, g) for (script, g), names in GIVEN.items() for name in names}
+TITLES = {"m": ["Mr", "Mister", "Herr", "Monsieur", "Señor"], "f": ["Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Señora"],
+          "": ["Dr", "Prof", "Doctor", "Professor", "Sir", "Dra"]}
+# Given names that are only found; surrogates are drawn from GIVEN.
+MORE_GIVEN = {
+    ("latin", "m"): "Christopher Joseph Anthony Donald Steven Paul Kenneth Ronald Timothy Jason Jeffrey Ryan Jacob Gary Nicholas Eric "
+                    "Jonathan Stephen Larry Justin Scott Brandon Benjamin Samuel Gregory Alexander Patrick Jack Dennis Jerry Tyler "
+                    "Aaron Jose Adam Nathan Henry Douglas Zachary Kyle Noah Ethan Jeremy Walter Christian Keith Roger Terry Harry "
+                    "Gerald Carl Dylan Arthur Lawrence Jordan Jesse Bryan Billy Bruce Gabriel Logan Albert Willie Alan Juan Wayne "
+                    "Randy Roy Vincent Ralph Eugene Russell Bobby Mason Philip Louis Tom Tim Jim Joe Ben Sam Mike Dave Bob Nick "
+                    "Andreas Michael Thomas Jan Matthias Martin Markus Sebastian Tobias Florian Felix Lukas Maximilian Leon Jonas "
+                    "Uwe Jens Ralf Dieter Günter Günther Helmut Heinz Horst Manfred Werner Karl Friedrich Otto Johannes Christoph "
+                    "Jean Claude Alain Bernard Gérard Patrice Laurent Nicolas Julien Guillaume Antoine Mathieu Olivier Thierry "
+                    "Christophe Sébastien Frédéric Stéphane Éric Luc Marc Hugo José Antonio Manuel Luis Jesús Pedro Pablo Sergio "
+                    "Diego Rafael Ángel Álvaro Adrián Raúl Enrique Ramón Vicente Andrés Joaquín Marco Luca Giuseppe Giovanni "
+                    "Andrea Paolo Matteo Lorenzo João Mohammed Muhammad Ahmed Ali Omar Hassan Ibrahim Yusuf Mustafa Wei Ming "
+                    "Hiroshi Takashi Kenji Raj Rahul Amit Sanjay Vijay Arjun Lars Erik Anders Sven Piotr Krzysztof".split(),
+    ("latin", "f"): "Lisa Betty Sandra Ashley Kimberly Donna Carol Amanda Dorothy Melissa Deborah Stephanie Sharon Cynthia Kathleen "
+                    "Amy Angela Shirley Anna Brenda Pamela Emma Nicole Helen Samantha Katherine Christine Debra Rachel Carolyn "
+                    "Janet Catherine Maria Heather Diane Ruth Julie Olivia Joyce Virginia Victoria Kelly Lauren Christina Joan "
+                    "Evelyn Judith Megan Andrea Cheryl Hannah Jacqueline Martha Gloria Teresa Ann Anne Sara Madison Frances "
+                    "Kathryn Janice Jean Abigail Alice Julia Judy Sophia Denise Amber Doris Marilyn Danielle Beverly Theresa Diana "
+                    "Brittany Natalie Charlotte Marie Kayla Alexis Lori Jane Kate Lucy Claudia Petra Birgit Andrea Stefanie "
+                    "Nicole Katharina Susanne Martina Gabriele Angelika Karin Ingrid Helga Gisela Christa Erika Hannelore Elke "
+                    "Anja Silke Kerstin Tanja Lena Lea Johanna Sophie Céline Camille Chloé Manon Léa Julie Aurélie Émilie Sandrine "
+                    "Valérie Véronique Catherine Martine Monique Jacqueline Hélène Élise Claire Ana María Josefa Pilar Teresa "
+                    "Cristina Marta Elena Raquel Paula Rosa Silvia Rocío Inés Sofía Giulia Francesca Chiara Fatima Aisha Leila "
+                    "Yuki Priya Anjali Ingrid Astrid Agnieszka Katarzyna Małgorzata".split(),
+    ("cyrillic", "m"): "Евгений Виктор Олег Павел Роман Артём Игорь Юрий Борис Константин Денис Антон Виталий Василий Пётр Григорий "
+                       "Никита Илья Кирилл Леонид Анатолий Валерий Вячеслав Даниил".split(),
+    ("cyrillic", "f"): "Людмила Галина Валентина Надежда Виктория Дарья Анастасия Полина Ксения Алёна Вера Любовь Нина Тамара Лариса "
+                       "Марина Оксана Евгения Вероника Александра Софья".split(),
+    ("greek", "m"): "Αλέξανδρος Αντώνης Ανδρέας Μιχάλης Θανάσης Σπύρος Στέλιος Θοδωρής Πέτρος Μανώλης Ιωάννης Γεώργιος".split(),
+    ("greek", "f"): "Άννα Αναστασία Ιωάννα Χριστίνα Δέσποινα Ευαγγελία Παναγιώτα Κωνσταντίνα Αικατερίνη Ειρήνη Ζωή".split(),
+}
+_GENDER = {name: (script, g) for lexicon in (MORE_GIVEN, GIVEN) for (script, g), names in lexicon.items() for name in names}
 _SYLLABLES = {
     "latin": ("b d f g k l m n p r s t v br tr st".split(), "a e i o u".split(), ["n", "r", "l", "s", ""]),
     "cyrillic": ("б в г д к л м н п р с т".split(), "а е и о у".split(), ["в", "н", "р", "к", ""]),
@@ -63,9 +99,9 @@ _SYLLABLES = {
 }
 _UP = "A-ZÀ-ÖØ-ÞŁŚŽŠΑ-ΩΆΈΉΊΌΎΏА-ЯЁ"
 _LOW = "a-zß-öø-ÿłśžšα-ωάέήίόύώА-Яа-яё"
-_NAME = rf"[{_UP}][{_LOW}]+(?:-[{_UP}][{_LOW}]+)?"
+_NAME = rf"[{_UP}][{_LOW}]+(?:-[{_UP}][{_LOW}]+)*"
 _TITLE = "|".join(t for ts in TITLES.values() for t in ts)
-_FIRST = "|".join(n for ns in GIVEN.values() for n in ns)
+_FIRST = "|".join(sorted(_GENDER, key=len, reverse=True))
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 
 # Kinds in order of precedence where two overlap.
@@ -73,13 +109,44 @@ PATTERNS = [
     ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"),
     ("access_key", r"\b(?:AKIA|ASIA)[0-9A-Z]{16}\b"),
     ("secret", r"(?i:\b(?:password|passwd|pwd|secret|token|api[_-]?key)\b\s*[=:]\s*[\"']?)([A-Za-z0-9_/+.~-]*[0-9][A-Za-z0-9_/+~-]{6,}|[A-Za-z0-9_/+~-]{7,}[0-9])"),
-    ("iban", r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b"),
+    ("iban", r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]){11,30}"),
     ("ip", rf"(?<![\d.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\.?\d)"),
-    ("card", r"(?<![\d+.-])(?:\d[ -]?){12,18}\d(?![\d-])"),
+    ("ipv6", r"(?<![\w:.])(?=[0-9A-Fa-f:]*\d)(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}|(?=[0-9A-Fa-f:]*::)[0-9A-Fa-f:]{3,39})(?<!(?<!:):)(?![\w:]|\.\d)"),
+    ("card", r"(?<![\d+.-])\d+(?:[ -]\d+)*"),
     ("ssn", r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"),
-    ("phone", r"(?<![\w+])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){2,4}|\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}[.-]\d{3}[.-]\d{4})(?!\w)"),
+    ("phone", r"(?<![\w+])(?=[+(0-9])(?:(?:\+\d{1,3}[ .-]?|00[1-9]\d{0,2}[ .-])(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){2,4}|\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}[.-]\d{3}[.-]\d{4}"
+              r"|(?<!\d )[2-9]\d{2} \d{3} \d{4}(?! \d)|0[1-9]\d{0,3}(?P<s>[ .-])\d{2,4}(?:(?P=s)\d{2,4}){1,4}|0[1-9]\d{1,3}[ /-]\d{5,8}"
+              r"|\(0[1-9]\d{0,3}\) ?\d{3,8}(?:[ -]\d{2,5}){0,2})(?!\w)"),
 ]
-_NAMES = re.compile(rf"\b(?:(?:{_TITLE})\.? {_NAME}(?: {_NAME})?|(?:{_FIRST})(?: {_NAME})+)")
+_NAMES = re.compile(rf"\b(?=[{_UP}][{_LOW}])(?:(?:(?:{_TITLE})\.? )+{_NAME}(?: {_NAME})?|(?:{_FIRST})(?:-[{_UP}][{_LOW}]+)*(?: {_NAME})+)")
+# Words after which a name stands: alone, or two names and more.
+_LEAD = "[Mm]y name is|[Mm]ein Name ist|[Ii]ch heiße|[Jj]e m[’']appelle|[Mm]e llamo|[Mm]i nombre es|[Мм]еня зовут|[Μμ]ε λένε"
+_LEAD_FULL = ("(?:[Ff]ull |[Ff]irst |[Ll]ast )?[Nn]ame ?:|[Aa]pplicant ?:|[Pp]atient ?:|[Cc]ustomer ?:|[Aa]uthor ?:|[Cc]ontact ?:|[Ss]igned(?: by|:|,)|"
+              "[Ww]ritten by|[Rr]egards,|[Ss]incerely,|Grüßen,?|[Cc]ordialement,?|[Ss]aludos,?")
+_CONTEXT = re.compile(rf"(?<!\w)(?:(?:{_LEAD})\s+(?P<a>{_NAME}(?: {_NAME}){{0,2}})|(?:{_LEAD_FULL})\s+(?P<b>{_NAME}(?: {_NAME}){{1,2}}))")
+# A part of each of these words: a quick test that misses none.
+_HINTS = ("name is", "Name ist", "heiße", "appelle", "llamo", "nombre es", "зовут", "λένε", "ame:", "ame :", "pplicant", "atient", "ustomer",
+          "uthor", "ontact", "igned", "ritten by", "egards,", "incerely,", "Grüßen", "ordialement", "aludos")
+# Characters of the IBANs of each country.
+_IBAN_SIZES = {15: "NO",
+               16: "BE",
+               18: "DK FI FO GL NL",
+               19: "MK SI",
+               20: "AT BA EE KZ LT LU XK",
+               21: "HR LV LI CH",
+               22: "BH BG CR DE GB GE IE ME RS VA",
+               23: "AE GI IL IQ TL",
+               24: "AD CZ ES MD PK RO SA SE SK TN VG",
+               25: "PT",
+               26: "IS TR",
+               27: "FR GR IT MC MR SM",
+               28: "AL AZ BY CY DO GT HU LB PL",
+               29: "BR PS QA UA",
+               30: "JO KW MU",
+               31: "MT SC",
+               32: "LC"}
+IBAN = {c: n for n, cs in _IBAN_SIZES.items() for c in cs.split()}
+_CARD_SHAPES = {(4, 4, 4, 4), (4, 6, 5), (4, 6, 4), (4, 4, 4, 4, 3), (4, 4, 4, 1)}
 _PATTERNS = [(k, re.compile(p)) for k, p in PATTERNS]
 # What every entity has: a digit or @, or a title or known name.
 _SIGN = re.compile("[0-9@]")
@@ -89,7 +156,8 @@ _KNOWN = {*_TITLE.split("|"), *_FIRST.split("|")}
 
 def may_hold(text: str | None) -> bool:
     """Whether a text can have an entity: a quick test that misses none."""
-    return bool(text) and (_SIGN.search(text) is not None or not _KNOWN.isdisjoint(_CAPITALISED.findall(text)))
+    return bool(text) and (_SIGN.search(text) is not None or not _KNOWN.isdisjoint(_CAPITALISED.findall(text))
+                           or any(h in text for h in _HINTS))
 
 
 def luhn(digits: str) -> bool:
@@ -112,14 +180,65 @@ def canonical(kind: str, found: str) -> str | None:
         if kind == "phone":
             if len(digits) < 9:
                 return None
+            if digits.startswith("00"):
+                return digits[2:]
             return digits[1:] if len(digits) == 11 and digits[0] == "1" else digits
         return digits
     if kind == "iban":
         plain = found.replace(" ", "")
         return plain if 15 <= len(plain) <= 34 and _iban_rest(plain) == 1 else None
+    if kind == "ipv6":
+        try:
+            return ipaddress.IPv6Address(found).exploded
+        except ValueError:
+            return None
     return found
 
 
+def _ibans(text: str, pattern: re.Pattern) -> Iterator[tuple[int, int]]:
+    """Spans of valid IBANs: as long as their country's, else any length."""
+    m = pattern.search(text)
+    while m:
+        at, places = m.start(), [i + 1 for i in range(*m.span()) if text[i] != " "]
+        sizes = [IBAN[m[0][:2]]] if m[0][:2] in IBAN else range(len(places), 14, -1)
+        ends = [places[n - 1] for n in sizes if n <= len(places)]
+        stop = next((e for e in ends if not text[e:e + 1].isalnum() and canonical("iban", text[at:e])), None)
+        if stop:
+            yield at, stop
+        m = pattern.search(text, stop or at + 1)
+
+
+def _cards(text: str, pattern: re.Pattern) -> Iterator[tuple[int, int]]:
+    """Spans of valid cards: all of a row of digit groups, or groups of it in
+    the way cards are written."""
+    for m in pattern.finditer(text):
+        groups = [(m.start() + g.start(), m.start() + g.end()) for g in re.finditer(r"\d+", m[0])]
+        if 13 <= sum(z - a for a, z in groups) <= 19 and text[m.end():m.end() + 1] != "-" and canonical("card", m[0]):
+            yield m.span()
+            continue
+        i = 0
+        while i < len(groups):
+            for n in (5, 4, 3, 1):
+                shape = tuple(z - a for a, z in groups[i:i + n])
+                if len(shape) == n and (shape in _CARD_SHAPES or n == 1 and 13 <= shape[0] <= 19) and text[groups[i][0]] in "23456":
+                    at, stop = groups[i][0], groups[i + n - 1][1]
+                    if canonical("card", text[at:stop]):
+                        yield at, stop
+                        i += n - 1
+                        break
+            i += 1
+
+
+def _spans(kind: str, pattern: re.Pattern, text: str) -> Iterator[tuple[int, int]]:
+    if kind == "iban":
+        return _ibans(text, pattern)
+    if kind == "card":
+        return _cards(text, pattern)
+    if kind == "ipv6" and text.count(":") < 2:
+        return iter(())
+    return (m.span(1 if kind == "secret" else 0) for m in pattern.finditer(text))
+
+
 def detect(text: str) -> list[tuple[int, int, str, str]]:
     """(start, stop, kind, canonical form), in order, without overlaps."""
     if not may_hold(text):
@@ -127,22 +246,25 @@ def detect(text: str) -> list[tuple[int, int, str, str]]:
     found: list[tuple[int, int, str, str]] = []
     taken: list[tuple[int, int]] = []
     for kind, pattern in _PATTERNS:
-        for m in pattern.finditer(text):
-            at, stop = m.span(1 if kind == "secret" else 0)
+        for at, stop in _spans(kind, pattern, text):
             entity = canonical(kind, text[at:stop])
             if entity is not None and not any(a < stop and at < b for a, b in taken):
                 found.append((at, stop, kind, entity))
                 taken.append((at, stop))
-    for m in _NAMES.finditer(text):
-        if any(a < m.end() and m.start() < b for a, b in taken):
+    named = [m.span() for m in _NAMES.finditer(text)]
+    if any(h in text for h in _HINTS):
+        named += [m.span("a" if m["a"] else "b") for m in _CONTEXT.finditer(text)]
+    for at, end in named:
+        if any(a < end and at < b for a, b in taken):
             continue
-        at = m.start()
-        for word in m.group().split(" "):
+        taken.append((at, end))
+        for word in text[at:end].split(" "):
             stop = at + len(word)
             if word.rstrip(".") not in _TITLE.split("|"):
                 script = "greek" if word[0] >= "\u0370" and word[0] < "\u0400" else "cyrillic" if "\u0400" <= word[0] < "\u0530" else "latin"
-                if word in _GENDER:
-                    found.append((at, stop, f"given_{_GENDER[word][1]}_{script}", word))
+                first = word if word in _GENDER else word.split("-")[0]
+                if first in _GENDER:
+                    found.append((at, stop, f"given_{_GENDER[first][1]}_{script}", word))
                 else:
                     found.append((at, stop, f"surname_{script}", word))
             at = stop + 1
@@ -186,12 +308,16 @@ def surrogate(key: bytes, kind: str, entity: str, attempt: int) -> str:
         return draw.like(local + "x" * more) + "@" + ".".join([*hosts, "example", draw.of(["org", "net", "com"])])
     if kind == "ip":
         return f"{240 + draw.below(15)}." + ".".join(str(draw.below(256)) for _ in range(3))
+    if kind == "ipv6":
+        return "2001:0db8:" + ":".join(f"{draw.below(65_536):04x}" for _ in range(6))
     if kind == "card":
         body = entity[0] + "".join(draw.of(string.digits) for _ in entity[2:])
         return next(body + c for c in string.digits if luhn(body + c))
     if kind == "ssn":
         return "9" + "".join(draw.of(string.digits) for _ in entity[1:])
     if kind == "phone":
+        if entity[0] == "0":
+            return "0" + draw.of("123456789") + "".join(draw.of(string.digits) for _ in entity[2:])
         return draw.of("23456789") + "".join(draw.of(string.digits) for _ in entity[1:])
     if kind == "iban":
         body = draw.like(entity[4:])
