@@ -1,0 +1,54 @@
+import random
+
+import pytest
+
+from tests.conftest import SF_SMALL
+from tests.llm.cases import plain
+from trailmix.llm.language import LEAST_SEEN, familiar, keep_identified, seen_features, training_sample
+
+SF = SF_SMALL.replace("0.001", "0.01")
+FOREIGN = {
+    "pl": "wszystkie dzieci rodzą się wolne i równe pod względem swej godności i swych praw są one obdarzone rozumem",
+    "tr": "bütün insanlar hür haysiyet ve haklar bakımından eşit doğarlar akıl ve vicdana sahiptirler",
+    "zh": "人人生而自由 在尊严和权利上一律平等 他们赋有理性和良心", "ar": "يولد جميع الناس أحرارا متساوين في الكرامة والحقوق",
+    "hi": "सभी मनुष्यों को गौरव और अधिकारों के मामले में जन्मजात स्वतन्त्रता",
+}
+
+
+@pytest.fixture(scope="module")
+def learned(spark):
+    return spark.read.parquet(f"{SF}/documents.parquet")
+
+
+def mixed(learned, kinds=(1, 2, 3, 4), sizes=(1, 3, 10, 30), n=15):
+    """Texts of equal stretches of 1 to 4 languages."""
+    rng, by = random.Random(3), {}
+    for r in learned.collect():
+        if "!!" not in r["text"]:
+            by.setdefault(r["lang"], []).append([w for w in r["text"].split() if w.strip(".,").isalpha()])
+    out = []
+    for k in kinds:
+        for size in sizes:
+            for _ in range(n):
+                text = []
+                for lang in rng.sample(sorted(by), k):
+                    w = rng.choice([x for x in by[lang] if len(x) > size])
+                    at = rng.randrange(len(w) - size)
+                    text += w[at:at + size]
+                out.append(" ".join(text))
+    return out
+
+
+def test_texts_of_several_learned_languages_stay(spark, learned):
+    texts = mixed(learned)
+    rows = [(10**9 + i, t, None, "mixed", len(t)) for i, t in enumerate(texts)]
+    out = keep_identified(learned.select("doc_id", "text", "lang", "source", "n_chars").unionByName(plain(spark, rows)))
+    assert {r["doc_id"] for r in out.filter("source = 'mixed'").collect()} == {r[0] for r in rows}
+
+
+def test_unlearned_languages_are_told_apart(learned):
+    seen = seen_features(training_sample(learned))
+    shares = dict(zip(FOREIGN, familiar(list(FOREIGN.values()), seen, {}), strict=True))
+    assert all(x < LEAST_SEEN for x in shares.values()), shares
+    assert min(familiar(mixed(learned), seen, {})) > LEAST_SEEN + 0.1
+    assert familiar(["12 !!", "", None], seen, {}) == [None] * 3

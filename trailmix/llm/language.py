@@ -10,6 +10,11 @@ code-switched text does.  The forward-backward pass gives each word's
 posterior over languages; a document's language is the one with the greatest
 mean posterior, which is its score.  ``tag_words`` gives the word labels.
 
+``keep_identified`` does not judge by the score, which is a share: in a text of
+several learned languages no language has a large one, and a text of none may
+have a label with a large one.  It judges by how much of a text's word features
+the training words have.
+
 Bounds: training takes about ``TRAIN_DOCS`` documents for each language (least
 hash of the id) and ``TRAIN_CHARS`` characters from a hashed place in each,
 the only rows that reach the driver.  Prediction reads every whole text.
@@ -37,6 +42,8 @@ from pyspark.sql import functions as F
 from trailmix.llm.common import Rows, hash63, pick, ship
 
 FEATURES = 1 << 16
+SEEN_FEATURES = 1 << 23
+LEAST_SEEN = 0.6
 TRAIN_DOCS = 400
 TRAIN_CHARS = 800
 STRETCH = 40
@@ -49,8 +56,8 @@ _GROUP_WORDS = 400_000
 _SEEN: dict = {}
 
 
-def word_features(word: str, lexicon: dict[str, int]) -> list[int]:
-    """Feature slots of a word; empty if it has no letter."""
+def _features(word: str, lexicon: dict[str, int]) -> list[int]:
+    """Hashed features of a word; empty if it has no letter."""
     if not (word.isalpha() or any(map(str.isalpha, word))):
         return []
     w = word.lower()
@@ -59,7 +66,12 @@ def word_features(word: str, lexicon: dict[str, int]) -> list[int]:
     names += [marked[i:i + k] for k in (2, 3, 4) for i in range(len(marked) - k + 1)]
     if w in lexicon:
         names.append(f"l{lexicon[w]}")
-    return [zlib.crc32(n.encode()) % FEATURES for n in names]
+    return [zlib.crc32(n.encode()) for n in names]
+
+
+def word_features(word: str, lexicon: dict[str, int]) -> list[int]:
+    """Feature slots of a word; empty if it has no letter."""
+    return [x % FEATURES for x in _features(word, lexicon)]
 
 
 @dataclass
@@ -312,17 +324,52 @@ def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_c
     return _predicted(rows, "text", model).select(F.col("id").alias(id_col), "lang_pred", "score")
 
 
-def keep_identified(docs: DataFrame, least: float = 0.5, id_col: str = "doc_id", text_col: str = "text",
+def seen_features(samples: list[tuple[str, str]]) -> np.ndarray:
+    """Slots of the features that the words of (text, language) samples have."""
+    seen = np.zeros(SEEN_FEATURES, bool)
+    for w in {w for t, _ in samples for w in _WORD.findall(t)}:
+        seen[[x % SEEN_FEATURES for x in _features(w, {})]] = True
+    return seen
+
+
+def familiar(texts: list[str | None], seen: np.ndarray, known: dict[str, float]) -> list[float | None]:
+    """Mean over a text's words of the share of their features that are seen;
+    None for a text without letters.  ``known`` remembers words."""
+    out: list[float | None] = []
+    for t in texts:
+        shares = []
+        for w in _WORD.findall(t or ""):
+            if w not in known:
+                f = [x % SEEN_FEATURES for x in _features(w, {})]
+                known[w] = float(seen[f].mean()) if f else -1.0
+            if known[w] >= 0:
+                shares.append(known[w])
+        out.append(sum(shares) / len(shares) if shares else None)
+        if len(known) > CACHE_WORDS:
+            known.clear()
+    return out
+
+
+def keep_identified(docs: DataFrame, least_seen: float = LEAST_SEEN, id_col: str = "doc_id", text_col: str = "text",
                     lang_col: str = "lang") -> DataFrame:
-    """The rows, with all their columns, whose text is in a learned language
-    with at least that score."""
-    model = train(training_sample(docs, id_col, text_col, lang_col))
+    """The rows, with all their columns, whose text is in learned languages,
+    one or several: training words have at least that share of its features."""
+    seen = seen_features(training_sample(docs, id_col, text_col, lang_col))
     rows = Rows(docs)
-    if model is None:
+    if not seen.any():
         return docs.limit(0)
+    spark = docs.sparkSession
+    ship(spark)
+    shared = spark.sparkContext.broadcast(np.packbits(seen))  # SEEN_FEATURES bits
     own = rows.own[rows.names.index(text_col)]
-    done = _predicted(rows.df, own, model)
-    return rows.restore(done.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits, known = np.unpackbits(shared.value).astype(bool), {}
+        for b in batches:
+            shares = familiar(b.column(own).to_pylist(), bits, known)
+            yield b.filter(pa.array([x is not None and x >= least_seen for x in shares], pa.bool_()))
+
+    return rows.restore(rows.df.mapInArrow(run, rows.df.schema))
 
 
 def tag_words(texts: list[str], model: Model) -> list[list[tuple[str, str]]]:
