@@ -1,0 +1,109 @@
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+
+from tests.llm.cases import awkward, awkward_rows, empty, plain
+from trailmix.llm import divergence
+from trailmix.llm.divergence import source_divergence
+
+TERM = re.compile("[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
+
+
+def low(t):
+    return "".join(c.lower() if "A" <= c <= "Z" else c for c in t)
+
+
+def brute(rows, min_docs=3, top=200):
+    """The audit straight from its definition, over every kept term."""
+    counts, docs, groups = defaultdict(Counter), defaultdict(Counter), defaultdict(set)
+    for _, text, lang, source, *_ in rows:
+        lang, source = lang or "", source or ""
+        found = [low(t) for t in TERM.findall(text or "")]
+        counts[lang, source].update(found)
+        docs[lang].update(set(found))
+        groups[lang].add(source)
+    out = Counter()
+
+    def f(p, q):
+        return (p - q) * (p - q) // q
+
+    for lang, sources in groups.items():
+        kept = sorted(t for t, n in docs[lang].items() if n >= min_docs)
+        every = Counter()
+        for s in sources:
+            every.update({t: counts[lang, s][t] for t in kept})
+
+        def shares(c):
+            total = sum(c[t] for t in kept) + len(kept)
+            return {t: 1 + 10**9 * (c[t] + 1) // total for t in kept}
+
+        q, p = shares(every), {s: shares(counts[lang, s]) for s in sources}
+        for s in sources:
+            pairs = [(sum(f(p[s][t], p[o][t]) for t in kept), o) for o in sources if o != s]
+            terms = [(f(p[s][t], q[t]), t) for t in kept if counts[lang, s][t] and p[s][t] > q[t]]
+            for part, found, most in (("pair", pairs, None), ("term", terms, top)):
+                found.sort(key=lambda x: (-x[0], x[1].encode()))
+                for rank, (value, item) in enumerate(found[:most], 1):
+                    out[lang, s, part, item, value, rank] += 1
+    return out
+
+
+def result(df):
+    return Counter(tuple(r) for r in df.select("lang", "source", "part", "item", "value", "rank").collect())
+
+
+def test_awkward_equals_brute_force(spark):
+    got = source_divergence(awkward(spark))
+    assert got.columns == ["lang", "source", "part", "item", "value", "rank"]
+    assert dict(got.dtypes)["value"] == "bigint" and dict(got.dtypes)["rank"] == "int"
+    assert result(got) == brute(awkward_rows())
+    assert source_divergence(empty(spark)).count() == 0
+
+
+def some_rows(seed=3):
+    rng = np.random.default_rng(seed)
+    words = [f"{a}{b}" for a in "abcdefgh" for b in ("lo", "MI", "é", "ção", "x")]
+    return [(i, " ".join(rng.choice(words, rng.integers(0, 40)) if i % 9 else ["rare%d" % i]), "de" if i % 5 else None,
+             f"s{rng.integers(0, 6)}" if i % 3 else "hot", 0) for i in range(300)]
+
+
+def test_blocks_salts_and_flushes_change_nothing(spark, monkeypatch):
+    rows = some_rows()
+    want = brute(rows, top=7)
+    df = plain(spark, rows).repartition(3)
+    assert result(source_divergence(df, top=7)) == want
+    for name, value in (("HELD_TERMS", 5), ("BLOCK_ROWS", 3), ("MAX_BROADCAST_GROUPS", 0), ("_PEERS", 2), ("_SCATTER", 4), ("_SLICE_BYTES", 9)):
+        monkeypatch.setattr(divergence, name, value)
+    assert result(source_divergence(df, top=7)) == want
+
+
+def test_language_without_kept_terms(spark):
+    rows = [(1, "one", "en", "b", 0), (2, "two", "en", "a", 0), (3, None, "en", "c", 0), (4, "one", "fr", "only", 0)]
+    got = sorted(tuple(r) for r in source_divergence(plain(spark, rows)).collect())
+    assert got == [("en", s, "pair", o, 0, k) for s in "abc" for k, o in enumerate(sorted(set("abc") - {s}), 1)]
+
+
+def test_large_counts_stay_exact(spark):
+    from pyspark.sql import functions as F
+    n, total = 9 * 10**17, 10**18 + 7
+    got = spark.createDataFrame([(n, total)], "n long, total long").select(divergence.share("n", "total")).first()[0]
+    assert got == 1 + 10**9 * (n + 1) // total and F is not None
+
+
+def test_accumulator_equals_all_posting_pairs():
+    rng = np.random.default_rng(1)
+    rows = sorted({(int(rng.integers(0, 30)), int(rng.integers(0, 5))) for _ in range(90)})
+    term, gid = np.array(rows).T
+    base = np.array([11, 13, 17, 19, 23])[gid]
+    p = base + rng.integers(1, 10**6, len(gid))
+    want = np.zeros((5, 5), np.int64)
+    f = divergence.f
+    for i in range(len(gid)):
+        for j in range(len(gid)):
+            if term[i] == term[j]:
+                want[gid[i], gid[j]] += f(p[i], p[j]) - f(p[i], base[j]) - f(base[i], p[j]) + f(base[i], base[j])
+    got = np.zeros((5, 5), np.int64)
+    for g, acc in divergence.accumulate(np.append(True, np.diff(term) > 0), gid, p, base, 5):
+        got[g] = acc
+    assert (got == want).all()

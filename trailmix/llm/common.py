@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import weakref
 import zipfile
 from collections.abc import Iterator
 
@@ -17,6 +18,8 @@ from trailmix.session import ensure_checkpoint_dir
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _SHIPPED: set[str] = set()
+# Tables of ``written`` that this process still holds, and their folders.
+_WRITTEN: dict[int, tuple[weakref.ref, str]] = {}
 
 
 def pick(df: DataFrame, **names: str) -> DataFrame:
@@ -66,7 +69,23 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm/{uuid.uuid4().hex}-{name}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    _WRITTEN[id(out)] = (weakref.ref(out, lambda _, key=id(out): _WRITTEN.pop(key, None)), path)
+    return out
+
+
+def release(*tables: DataFrame) -> None:
+    """Remove tables of ``written`` that nothing will read again: what was made
+    from them has itself been written."""
+    for table in tables:
+        found = _WRITTEN.pop(id(table), None)
+        if found and found[0]() is table:
+            remove(table.sparkSession, found[1])
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def ship(spark: SparkSession) -> None:

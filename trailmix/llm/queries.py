@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trailmix.llm import bpe, exact_dedup, language, lines, near_dedup, packing, pii, quality, sharding, token_file
+from trailmix.llm import (bpe, divergence, exact_dedup, language, lines, near_dedup, packing, pii, quality, sharding, token_file)
 from trailmix.llm.common import documents
 from trailmix.session import ensure_checkpoint_dir
 
@@ -66,8 +66,12 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(documents(spark, sf_dir), labels)
 
 
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.source_divergence(documents(spark, sf_dir))
+
+
 QUERIES = {f.__name__: f for f in (op1_sharding, op2_near_dedup, op3_exact_dedup, op4_packing, op5_surrogates, op6_language,
-                                    op7_token_file, op8_quality, op9_bpe, op10_lines)}
+                                    op7_token_file, op8_quality, op9_bpe, op10_lines, op11_divergence)}
 
 ORACLE = {
     "op2_near_dedup": r"""
@@ -94,5 +98,32 @@ WITH d AS (
 g AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY t)
 SELECT d.doc_id, g.keep_id, g.group_size, d.doc_id = g.keep_id AS kept, sha256(d.t) AS text_sha256
 FROM d JOIN g ON d.t = g.t
+""",
+    "op11_divergence": r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+e AS (SELECT r, lang, source, unnest(w) AS term FROM d),
+c AS (SELECT lang, source, term, count(*) AS n, count(DISTINCT r) AS docs FROM e GROUP BY ALL),
+k AS (SELECT lang, term, sum(n) AS n FROM c GROUP BY ALL HAVING sum(docs) >= 3),
+g AS (SELECT DISTINCT lang, source FROM d),
+t AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, k.n AS all_n
+      FROM g JOIN k ON g.lang = k.lang LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+s AS (SELECT lang, source, term, n,
+             1 + (CAST(1000000000 AS HUGEINT) * (n + 1)) // (sum(n) OVER w + count(*) OVER w) AS p,
+             1 + (CAST(1000000000 AS HUGEINT) * (all_n + 1)) // (sum(all_n) OVER w + count(*) OVER w) AS q
+      FROM t WINDOW w AS (PARTITION BY lang, source)),
+f AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+      FROM s a JOIN s b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+v AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(f.value, 0) AS value
+      FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+      LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+      UNION ALL
+      SELECT lang, source, 'term', term, (p - q) * (p - q) // q FROM s WHERE n > 0 AND p > q),
+o AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM v)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+FROM o WHERE part = 'pair' OR rank <= 200
 """,
 }
