@@ -10,7 +10,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trailmix.llm import (bpe, divergence, exact_dedup, language, lines, near_dedup, packing, pii, quality, sharding, token_file)
+from trailmix.llm import (bpe, divergence, exact_dedup, language, lines, near_dedup, packing, pii, quality, sharding, token_file,
+                          warc)
 from trailmix.llm.common import documents
 from trailmix.session import ensure_checkpoint_dir
 
@@ -70,8 +71,15 @@ def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.source_divergence(documents(spark, sf_dir))
 
 
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = warc.warc_folder(spark)
+    warc.archive_pages(spark.read.parquet(os.path.join(sf_dir, "pages.parquet")), path)
+    return warc.read_pages(spark, path)
+
+
 QUERIES = {f.__name__: f for f in (op1_sharding, op2_near_dedup, op3_exact_dedup, op4_packing, op5_surrogates, op6_language,
-                                    op7_token_file, op8_quality, op9_bpe, op10_lines, op11_divergence)}
+                                    op7_token_file, op8_quality, op9_bpe, op10_lines, op11_divergence,
+                                    op12_warc)}
 
 ORACLE = {
     "op2_near_dedup": r"""
@@ -125,5 +133,13 @@ v AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(f.valu
 o AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM v)
 SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
 FROM o WHERE part = 'pair' OR rank <= 200
+""",
+    "op12_warc": """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+s AS (SELECT page_id, strlen(html) AS n, sha1(html) AS digest, max(page_id) OVER (PARTITION BY html) AS best FROM p)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, digest AS payload_digest,
+       CASE WHEN n >= 1000 AND page_id <> best THEN 'revisit' ELSE 'response' END AS record_type,
+       CAST(CASE WHEN n >= 1000 AND page_id <> best THEN best END AS BIGINT) AS refers_to
+FROM s
 """,
 }
