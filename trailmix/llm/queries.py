@@ -10,8 +10,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trailmix.llm import (bpe, divergence, exact_dedup, language, lines, near_dedup, packing, pii, quality, sharding, token_file,
-                          warc)
+from trailmix.llm import (bpe, divergence, exact_dedup, language, lines, near_dedup, packing, pii, quality, sharding, spelling,
+                          token_file, warc)
 from trailmix.llm.common import documents
 from trailmix.session import ensure_checkpoint_dir
 
@@ -77,9 +77,13 @@ def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_pages(spark, path)
 
 
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(documents(spark, sf_dir), damage=spelling.damaged)
+
+
 QUERIES = {f.__name__: f for f in (op1_sharding, op2_near_dedup, op3_exact_dedup, op4_packing, op5_surrogates, op6_language,
                                     op7_token_file, op8_quality, op9_bpe, op10_lines, op11_divergence,
-                                    op12_warc)}
+                                    op12_warc, op13_spelling)}
 
 ORACLE = {
     "op2_near_dedup": r"""
