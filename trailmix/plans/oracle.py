@@ -180,6 +180,20 @@ ORACLE: dict[str, str] = {
   WITH f AS ({_LATE})
   SELECT event_id, user_id, ts, arrival FROM f WHERE late""",
 
+    "exact_watermark": f"""
+  WITH RECURSIVE a AS (SELECT event_id, epoch_us(ts) AS t, {_ARRIVAL} AS arrival FROM events),
+  b AS (SELECT *, epoch_us(arrival) AS arr FROM a),
+  d AS (SELECT DISTINCT arr FROM b),
+  c(base) AS (SELECT min(arr) FROM d
+              UNION ALL
+              SELECT * FROM (SELECT min(d.arr) AS base FROM c JOIN d ON d.arr > c.base + {2 * HOUR}) WHERE base IS NOT NULL),
+  o AS (SELECT *, row_number() OVER (ORDER BY arr, event_id) AS i FROM b),
+  j AS (SELECT o.*, (SELECT max(base) FROM c WHERE base <= o.arr) AS after_us FROM o),
+  m AS (SELECT *, lag(after_us) OVER (ORDER BY i) - {HOUR // 2} AS mark FROM j)
+  SELECT event_id, arrival, make_timestamp(mark) AS watermark,
+         coalesce(t - t % {HOUR} + {HOUR} - 1000 <= mark, false) AS is_late
+  FROM m""",
+
     "count_messages": """
   WITH w AS (
     SELECT date_trunc('hour', ts) AS window_start, count(*) AS n,

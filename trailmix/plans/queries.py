@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from trailmix.functions import hooks
 from trailmix.functions import text as TX
-from trailmix.operators import joins, keyed, late, routing, windows
+from trailmix.operators import joins, keyed, late, routing, watermark, windows
 from trailmix.schemas import (EVENT_CUSTOMER, EVENT_DELETE, EVENT_LOGIN, EVENT_LOGOUT,
                               EVENTS_KEY, EVENTS_ORDER, audit_from_events, browser_from_events)
 from trailmix.sources import kafka
@@ -187,6 +187,15 @@ def late_split_late(spark, sf):
     return late_rows.select("event_id", "user_id", "ts", "arrival")
 
 
+def exact_watermark(spark, sf):
+    """The record-driven watermark that each record meets, and whether it makes it late."""
+    ev = _with_arrival(load_events(spark, sf))
+    marked = watermark.exact_watermark(ev, "arrival", "event_id", LATE_REFRESH, LATE_BUFFER)
+    _, late_rows = watermark.split_late_exact(ev, "ts", "arrival", "event_id", LATE_WINDOW, LATE_REFRESH, LATE_BUFFER)
+    return marked.join(late_rows.select("event_id", F.lit(True).alias("is_late")), "event_id", "left").select(
+        "event_id", "arrival", "watermark", F.coalesce("is_late", F.lit(False)).alias("is_late"))
+
+
 def combine_two_inputs(spark, sf):
     """Two tables of different shape on one shape, tagged by origin."""
     ev, orders = load_events(spark, sf), table(spark, sf, "orders")
@@ -276,6 +285,7 @@ QUERIES: dict[str, Query] = {
     "ingest_browser": ingest_browser,
     "late_split_main": late_split_main,
     "late_split_late": late_split_late,
+    "exact_watermark": exact_watermark,
     "count_messages": count_messages,
     "combine_two_inputs": combine_two_inputs,
     "window_join_values": window_join_values,
