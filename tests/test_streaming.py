@@ -237,16 +237,16 @@ def test_jobs_run(spark, audit_dir, browser_dir, scratch):
     out = os.path.join(scratch, "jobs")
     ck = {"trigger": ONCE, "checkpoint_root": os.path.join(scratch, "ckpt")}
     qs = {}
-    qs.update(jobs.audit_counts_job(_stream(spark, audit_dir), os.path.join(out, "a"), **ck))
-    qs.update({f"r_{k}": v for k, v in jobs.running_duration_job(
-        _stream(spark, audit_dir), os.path.join(out, "r"), **ck).items()})
-    qs.update({f"s_{k}": v for k, v in jobs.split_combine_job(
-        _stream(spark, audit_dir), os.path.join(out, "s"), **ck).items()})
     # On event time, records arrive when they happen.
     def on_the_spot():
         ms = F.split(F.replace("value", F.lit('"'), F.lit("")), ",")[4].cast("long")
         return _stream(spark, audit_dir).withColumn("arrival_time", F.timestamp_millis(ms))
 
+    qs.update(jobs.audit_counts_job(on_the_spot(), os.path.join(out, "a"), **ck))
+    qs.update({f"r_{k}": v for k, v in jobs.running_duration_job(
+        _stream(spark, audit_dir), os.path.join(out, "r"), **ck).items()})
+    qs.update({f"s_{k}": v for k, v in jobs.split_combine_job(
+        _stream(spark, audit_dir), os.path.join(out, "s"), **ck).items()})
     qs.update({f"w_{k}": v for k, v in jobs.session_job(
         on_the_spot(), os.path.join(out, "w"), time_col="event_time",
         **ck).items()})
@@ -295,6 +295,27 @@ def test_jobs_run(spark, audit_dir, browser_dir, scratch):
     assert glob.glob(os.path.join(out, "d", "alerts", "*.parquet"))
 
 
+def test_a_running_job_publishes_windows_in_silence(spark, audit_dir, scratch):
+    """All rows land at once and none comes after them."""
+    out = os.path.join(scratch, "clocked")
+    qs = jobs.audit_counts_job(_stream(spark, audit_dir), out, window="2 seconds", trigger={"processingTime": "500 milliseconds"},
+                               checkpoint_root=os.path.join(scratch, "ckpt"))
+    try:
+        end = time.time() + 90
+        counts = lines = ()
+        while time.time() < end and not (sum(r.n for r in counts) == 1000 and lines):
+            time.sleep(0.5)
+            assert all(q.exception() is None for q in qs.values())
+            if glob.glob(os.path.join(out, "counts", "*.parquet")) and glob.glob(os.path.join(out, "five_sec_summary", "*.txt")):
+                counts = spark.read.schema("n long, label string").parquet(os.path.join(out, "counts")).collect()
+                lines = [r.value for r in spark.read.text(os.path.join(out, "five_sec_summary")).collect()]
+        assert sum(r.n for r in counts) == 1000 and {r.label for r in counts} == {"records in window"}
+        assert lines and all(v.startswith("(") and v.endswith(")") for v in lines)
+    finally:
+        for q in qs.values():
+            q.stop()
+
+
 def _still_open(spark, landed, emitted):
     """Counts of the on-time windows that were not emitted yet."""
     from trailmix.operators import late

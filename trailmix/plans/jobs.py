@@ -29,6 +29,7 @@ from trailmix.functions.time import duration_micros, epoch_micros
 from trailmix.schemas import AUDIT_FIELDS, BROWSER_FIELDS, STREAM_TAGS
 from trailmix.streaming import processors as P
 from trailmix.streaming import sinks
+from trailmix.streaming.clock import clock_window_agg
 from trailmix.streaming.landing import land
 from trailmix.session import checkpoint_location
 from trailmix.streaming.stream import watermark
@@ -82,23 +83,39 @@ def _on_time(df: DataFrame, time_col: str, delay: str) -> tuple[DataFrame, DataF
     return watermark(df.filter(~behind), time_col, delay), df.filter(behind)
 
 
+def _by_clock(clock: bool | None, time_col: str, trigger: dict | None) -> bool:
+    """Whether processing-time windows close by the clock (timers) or by later
+    rows: a query that ends by itself has no clock to wait for."""
+    ends = bool(trigger) and any(trigger.get(k) for k in ("availableNow", "once"))
+    return time_col == "arrival_time" and (not ends if clock is None else clock)
+
+
 def _late(rows: DataFrame | None, sink: Sink, name: str = "late") -> dict[str, StreamingQuery]:
     return {} if rows is None else {name: sink(rows, name)}
 
 
 def audit_counts_job(lines: DataFrame, out_dir: str, *, window: str = "5 seconds",
-                     label: str = "records in window", trigger: dict | None = None,
+                     label: str = "records in window", clock: bool | None = None, trigger: dict | None = None,
                      sink: Sink | None = None, checkpoint_root: str | None = None) -> dict[str, StreamingQuery]:
     """Labelled count per processing-time window, and the count keyed by the
-    window's first arrival (ms) written as ``(first_ms,n)`` text lines."""
+    window's first arrival (ms) written as ``(first_ms,n)`` text lines.
+
+    ``clock``: windows close when their time is over, also in silence
+    (``streaming.clock``); the default wherever the query runs on."""
     prefix = "audit_counts"
     sink = sink or parquet_sink(out_dir, prefix, trigger, checkpoint_root)
     parsed, qs = _landed(lines, AUDIT_FIELDS, out_dir, prefix, trigger, checkpoint_root)
-    timed, _ = _on_time(parsed, "arrival_time", "0 seconds")
-    counts = windows.window_count(timed, "arrival_time", window, label=label)
-    first = windows.window_count_first(timed, "arrival_time", window, "arrival_time",
-                                       ["arrival_time"], carry_out="first_arrival")
-    line = TX.tuple_text(F.unix_millis("first_arrival"), F.col("n"))
+    if _by_clock(clock, "arrival_time", trigger):
+        stamped = parsed.withColumn("arrival_ms", F.unix_millis("arrival_time"))
+        counts = clock_window_agg(stamped, window, {"n": ("*", "count")}).withColumn("label", F.lit(label))
+        first = clock_window_agg(stamped, window, {"n": ("*", "count"), "first_ms": ("arrival_ms", "min")})
+        line = TX.tuple_text(F.col("first_ms"), F.col("n"))
+    else:
+        timed, _ = _on_time(parsed, "arrival_time", "0 seconds")
+        counts = windows.window_count(timed, "arrival_time", window, label=label)
+        first = windows.window_count_first(timed, "arrival_time", window, "arrival_time",
+                                           ["arrival_time"], carry_out="first_arrival")
+        line = TX.tuple_text(F.unix_millis("first_arrival"), F.col("n"))
     return {
         **qs,
         "counts": sink(counts, "counts"),
@@ -211,15 +228,16 @@ def delete_alert_job(lines: DataFrame, out_dir: str, *, within: str = "10 second
 
 def browser_job(lines: DataFrame, out_dir: str, *, window: str = "10 seconds",
                 time_col: str = "arrival_time", delay: str = DELAY, order_col: str | None = None,
-                trigger: dict | None = None,
+                clock: bool | None = None, trigger: dict | None = None,
                 sink: Sink | None = None, checkpoint_root: str | None = None) -> dict[str, StreamingQuery]:
     """Capstone: count per (user, action) per window, and how long each user
-    spent on each action."""
+    spent on each action.  ``clock`` as in ``audit_counts_job``."""
     prefix = "browser"
     sink = sink or parquet_sink(out_dir, prefix, trigger, checkpoint_root)
     parsed, qs = _landed(lines, BROWSER_FIELDS, out_dir, prefix, trigger, checkpoint_root)
     timed, late_rows = _on_time(parsed, time_col, delay)
-    counts = windows.window_count(timed, time_col, window, keys=["name", "action"])
+    counts = (clock_window_agg(parsed, window, {"n": ("*", "count")}, keys=["name", "action"])
+              if _by_clock(clock, time_col, trigger) else windows.window_count(timed, time_col, window, keys=["name", "action"]))
     keyed = P.keyed_input(parsed, ["name"], "event_time", None, {"action": F.col("action")}, order=order_col)
     durations = P.action_duration_stream(keyed, ["name"], login="Login", logout="Logout")
     return {**qs, "counts": sink(counts, "counts"), "durations": sink(durations, "durations"),
