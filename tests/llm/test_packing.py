@@ -18,7 +18,6 @@ WORDS = P.path("word_bpe_49k.json")
 
 def encode(texts):
     tok = Tokenizer.from_file(WORDS)
-    tok.encode_special_tokens = True
     return [[*tok.encode(t or "", add_special_tokens=False).ids, 2] for t in texts]
 
 

@@ -16,7 +16,6 @@ BPE = "byte_bpe_50k.json"
 @pytest.fixture(scope="module")
 def tok():
     t = Tokenizer.from_file(P.path(BPE))
-    t.encode_special_tokens = True
     return t
 
 

@@ -20,10 +20,38 @@ ODD = ["a  b", " x", "x ", "\n\n  word\n \n x", "don't  <|endoftext|> <|endoftex
 @pytest.mark.parametrize("limit", [500_000, 50, 1])
 def test_equals_whole_text(name, spaced, limit):
     tok = Tokenizer.from_file(P.path(name))
-    tok.encode_special_tokens = True
     texts = ODD + [r[1] or "" for r in awkward_rows()] + pq.read_table(f"{SF_SMALL}/documents.parquet")["text"].to_pylist()
     enc = TextEncoder(P.path(name), spaced, limit)
     for some in (texts[:7], texts, texts[::-1]):
         got = enc.encode(some)
         assert got == [array("I", tok.encode(t, add_special_tokens=False).ids).tobytes() for t in some]
     assert enc.encode([None]) == [b""]
+
+
+@pytest.mark.parametrize("name,spaced,want", [("byte_bpe_50k.json", True, [437, 286, 340, 220, 50256, 1306]), ("word_bpe_49k.json", False, None)])
+def test_special_token_strings(name, spaced, want):
+    text = "end of it <|endoftext|> next"
+    tok = Tokenizer.from_file(P.path(name))
+    got = list(array("I", TextEncoder(P.path(name), spaced).encode([text])[0]))
+    assert got == tok.encode(text, add_special_tokens=False).ids and (want is None or got == want)
+    assert (50256 if spaced else 49407) in got
+    tok.encode_special_tokens = True
+    plain = list(array("I", TextEncoder(P.path(name), spaced, special=False).encode([text])[0]))
+    assert plain == tok.encode(text, add_special_tokens=False).ids != got
+
+
+def test_memory_is_bounded():
+    enc = TextEncoder(P.path("byte_bpe_50k.json"), True, 200)
+    for k in range(60):
+        enc.encode([" ".join(f"w{k}x{i} common" for i in range(60))])
+        assert len(enc.known) + len(enc.old) < 2 * (100 + 130)
+    assert "common" in enc.known or "common" in enc.old
+    assert len(enc.seen) < 10_000_000
+
+
+def test_one_operator_is_kept_at_a_time():
+    from trailmix.llm.common import _KEPT, kept_in_worker
+    kept_in_worker("a", 1, list).append(5)
+    assert kept_in_worker("a", 1, list) == [5]
+    kept_in_worker("b", 1, list)
+    assert set(_KEPT) == {"b"} and kept_in_worker("a", 1, list) == []

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import tempfile
 import uuid
@@ -18,6 +20,7 @@ from trailmix.session import ensure_checkpoint_dir
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _SHIPPED: set[str] = set()
+_KEPT: dict[str, dict] = {}
 # Tables of ``written`` that this process still holds, and their folders.
 _WRITTEN: dict[int, tuple[weakref.ref, str]] = {}
 
@@ -109,6 +112,32 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def give_back() -> None:
+    """Return freed memory of Arrow and of the C library to the machine, where
+    they can: workers live on between tasks and stages."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass
+
+
+def kept_in_worker(owner: str, key, make):
+    """What an operator keeps in a Python worker between tasks (an encoder, a
+    model).  One operator's things are kept at a time: those of others go when
+    it asks for its own, so stages that share workers don't add up."""
+    others = [o for o in _KEPT if o != owner]
+    for other in others:
+        del _KEPT[other]
+    if others:
+        gc.collect()
+        give_back()
+    own = _KEPT.setdefault(owner, {})
+    if key not in own:
+        own[key] = make()
+    return own[key]
+
+
 def rank_bits(spark: SparkSession, rows: int, rows_per_task: int = 1_000_000) -> int:
     """Bits of a uniform order key that cut it into ranges of about
     ``rows_per_task`` rows, at least one for each shuffle partition."""

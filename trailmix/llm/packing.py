@@ -44,9 +44,9 @@ def document_pieces(docs: DataFrame, window: int, tokenizer: str, end_id: int, i
         enc, end = encoder(tokenizer, False), np.array([end_id], "<u4").tobytes()
         for batch in batches:
             keys = batch.column("id").to_pylist()
-            for lo in range(0, len(keys), 512):
+            for lo in range(0, len(keys), 2048):
                 rows = []
-                for key, body in zip(keys[lo:lo + 512], enc.encode(batch.column("text").slice(lo, 512).to_pylist()), strict=True):
+                for key, body in zip(keys[lo:lo + 2048], enc.encode(batch.column("text").slice(lo, 2048).to_pylist()), strict=True):
                     body += end
                     for at in range(0, len(body), 4 * window):
                         part = body[at:at + 4 * window]

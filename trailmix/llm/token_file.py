@@ -91,9 +91,9 @@ def _block_writer(tokenizer: str, end_id: int, width: int, block_ids: int):
 
         for batch in batches:
             keys = batch.column("id").to_pylist()
-            for lo in range(0, len(keys), 512):
-                texts = batch.column("text").slice(lo, 512).to_pylist()
-                for key, body in zip(keys[lo:lo + 512], enc.encode(texts), strict=True):
+            for lo in range(0, len(keys), 2048):
+                texts = batch.column("text").slice(lo, 2048).to_pylist()
+                for key, body in zip(keys[lo:lo + 2048], enc.encode(texts), strict=True):
                     ids.append(body + end)
                     docs.append(key)
                     held += len(ids[-1]) // 4

@@ -8,7 +8,14 @@ the tokenizers library once, and a text's ids are the pieces' ids joined.
 Repeated words cost a dictionary lookup; results equal those of encoding the
 whole text (``tests/llm/test_tokens.py``).
 
-Special-token strings inside a text are ordinary text.
+New pieces go to the library joined, a thousand at a time, and their ids are
+told apart by the tokens that begin (byte-level) or end (word ends) a piece.
+Pieces that were missed twice are remembered, in two generations: what is met
+again moves to the new one, and when that is full the old one goes, so rare
+words pass through and memory has a bound.
+
+Special-token strings inside a text become special tokens, as the library does
+by itself; ``special=False`` makes them ordinary text.
 """
 
 from __future__ import annotations
@@ -17,24 +24,26 @@ import os
 import re
 from array import array
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
+from trailmix.llm.common import kept_in_worker
+
 _CUT = re.compile(r" (?=\S)")
 _ODD = re.compile(r" (?:\s|$)")
 # Marks that form a token run of their own after a letter.
 _MARKS = ".,;:!?%$#&*|"
-# Letters up to here have one code point in every form, and lower case by letter.
-_PLAIN = "\u017f"
-# The byte-level alphabet, in which a byte that prints stands for
-# itself and the others, in order, for the code points from 256 on.
-_PRINTS = [*range(33, 127), *range(161, 173), *range(174, 256)]
-_VISIBLE = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in _PRINTS)}
 # Pieces longer than this are encoded but not remembered: they rarely recur.
 _KEEP_CHARS = 40
-# Pieces remembered by one Python worker (about 100 MB).
-CACHE_PIECES = 500_000
+# Pieces remembered by one Python worker (about 200 bytes each).
+CACHE_PIECES = 300_000
+# Places of the table of pieces that were missed once.
+_SEEN = (1 << 23) - 1
+# Pieces that go to the library as one text.
+_JOINED = 1000
 # Characters of text encoded at a time.
-_SLICE_CHARS = 1_000_000
-
-_ENCODERS: dict = {}
+_SLICE_CHARS = 4_000_000
 
 
 class TextEncoder:
@@ -44,85 +53,132 @@ class TextEncoder:
     piece after the first is encoded with its space; otherwise without.
     """
 
-    def __init__(self, path: str, spaced: bool, cache_pieces: int = CACHE_PIECES):
+    def __init__(self, path: str, spaced: bool, cache_pieces: int = CACHE_PIECES, special: bool = True):
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True
+        self.tok.encode_special_tokens = not special
         self.lead = " " if spaced else ""
-        self.limit = cache_pieces
-        self.known: dict[str, bytes] = {}
-        self.missed = 0
+        self.limit = max(1, cache_pieces // 2)
+        self.known: dict[str, bytes] = {"": b""}
+        self.old: dict[str, bytes] = {}
+        self.seen, self.marks = bytearray(_SEEN + 1), 0
+        # Tokens that begin a piece (its space) or end a word.
+        edge = np.zeros(self.tok.get_vocab_size(with_added_tokens=True), bool)
+        for token, i in self.tok.get_vocab(with_added_tokens=False).items():
+            edge[i] = token.startswith("\u0120") if spaced else token.endswith("</w>")
+        self.edge = edge
 
     def _ids(self, pieces: list[str]) -> list[bytes]:
         found = self.tok.encode_batch_fast(pieces, add_special_tokens=False)
         return [array("I", e.ids).tobytes() for e in found]
 
-    def _words(self, words: list[str]) -> list[bytes]:
-        """Ids of words: letters of one plain word are one run of the pattern,
-        so they go straight to the vocabulary's merges."""
-        out: list[bytes] = [b""] * len(words)
-        rest = []
-        merge, lead, latin = self.tok.model.tokenize, self.lead, self.lead.encode()
-        for k, w in enumerate(words):
-            if not w.isalpha() or max(w) > _PLAIN:
-                rest.append(k)
+    def _joined(self, words: list[str]) -> list[bytes]:
+        """Ids of words that have one edge token each."""
+        out: list[bytes] = []
+        groups = [words[lo:lo + _JOINED] for lo in range(0, len(words), _JOINED)]
+        texts = [" " + " ".join(g) if self.lead else " ".join(g) for g in groups]
+        for group, found in zip(groups, self.tok.encode_batch_fast(texts, add_special_tokens=False), strict=True):
+            ids = np.array(found.ids, "<u4")
+            at = np.flatnonzero(self.edge[ids])
+            if len(at) != len(group):  # not expected: one by one
+                out += self._ids([self.lead + w for w in group])
                 continue
-            raw = latin + (w if lead else w.lower()).encode()
-            out[k] = array("I", [t.id for t in merge(raw.decode("latin-1").translate(_VISIBLE))]).tobytes()
-        for k, ids in zip(rest, self._ids([lead + words[k] for k in rest]), strict=True):
-            out[k] = ids
+            cuts = 4 * (np.append(at, len(ids)) if self.lead else np.append(0, at + 1))
+            raw, cuts = ids.tobytes(), cuts.tolist()
+            out += [raw[a:z] for a, z in zip(cuts[:-1], cuts[1:], strict=True)]
         return out
 
-    def _learn(self, new: set[str]) -> dict[str, bytes]:
+    def _words(self, words: list[str]) -> list[bytes]:
+        """Ids of pieces.  A piece without U+0020 has one token with a space in
+        it, its first; a word of letters has one end of a word."""
+        plain = [" " not in w for w in words] if self.lead else [w.isalpha() and w.isascii() for w in words]
+        joined = iter(self._joined([w for w, p in zip(words, plain, strict=True) if p]))
+        rest = iter(self._ids([self.lead + w for w, p in zip(words, plain, strict=True) if not p]))
+        return [next(joined) if p else next(rest) for p in plain]
+
+    def _learn(self, new: list[str]) -> dict[str, bytes]:
         """Ids of pieces not yet known.  A trailing run of plain marks is a
         token run of its own after a letter, so "word", "word," and "word."
         share one call."""
-        known, stems, plain, marks = self.known, {}, set(), set()
+        stems: dict[str, str] = {}
+        known, plain, marks = {}, set(), set()
         for p in new:
             stem = p.rstrip(_MARKS)
             if stem != p and stem and stem[-1].isalpha():
                 stems[p] = stem
                 marks.add(p[len(stem):])
-                if stem not in known:
+                if (ids := self._remembered(stem)) is None:
                     plain.add(stem)
+                else:
+                    known[stem] = ids
             else:
                 plain.add(p)
         need, runs = list(plain), list(marks)
         got = dict(zip(need, self._words(need), strict=True))
         tail = dict(zip(runs, self._ids(runs), strict=True))
         for p, stem in stems.items():
-            got[p] = (got.get(stem) or known[stem]) + tail[p[len(stem):]]
+            got[p] = (known[stem] if stem in known else got[stem]) + tail[p[len(stem):]]
         return got
 
+    def _remembered(self, piece: str) -> bytes | None:
+        ids = self.known.get(piece)
+        if ids is None and (ids := self.old.get(piece)) is not None:
+            self.known[piece] = ids
+        return ids
+
     def _few(self, texts: list[str]) -> list[bytes]:
-        cut = [_CUT.split(t) if _ODD.search(t) else t.split(" ") for t in texts]
-        firsts = self._ids([c[0] for c in cut])
-        known, new, joins = self.known, set(), []
-        known[""] = b""
-        for c in cut:
-            c[0] = ""
-            ids = list(map(known.get, c))
-            holes, at = [], -1
-            try:
-                while True:
-                    at = ids.index(None, at + 1)
-                    holes.append(at)
-                    new.add(c[at])
-            except ValueError:
-                joins.append((ids, holes))
-        fresh = self._learn(new)
-        for c, (ids, holes) in zip(cut, joins, strict=True):
-            for at in holes:
-                ids[at] = fresh[c[at]]
-        if len(known) < self.limit:
-            known.update((p, i) for p, i in fresh.items() if len(p) <= _KEEP_CHARS)
-        else:
-            self.missed += len(fresh)
-            if self.missed > 8 * self.limit:  # the words have changed: learn anew
-                known.clear()
-                self.missed = 0
-        return [f + b"".join(ids) for f, (ids, _) in zip(firsts, joins, strict=True)]
+        odd = [bool(_ODD.search(t)) for t in texts]
+        plain = iter(self._cut([t for t, o in zip(texts, odd, strict=True) if not o], False))
+        rest = iter(self._cut([t for t, o in zip(texts, odd, strict=True) if o], True))
+        return [next(rest) if o else next(plain) for o in odd]
+
+    def _cut(self, texts: list[str], odd: bool) -> list[bytes]:
+        if not texts:
+            return []
+        pieces = pa.array(map(_CUT.split, texts), pa.list_(pa.string())) if odd else pc.split_pattern(pa.array(texts, pa.string()), " ")
+        firsts = self._ids([_CUT.split(t, 1)[0] for t in texts])
+        words = pieces.flatten().dictionary_encode()
+        ids = self._distinct(words.dictionary.to_numpy(zero_copy_only=False).tolist())
+        # Each word's ids, one after the other, taken from those of the distinct words.
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        flat, start = np.frombuffer(b"".join(ids), "<u4"), np.cumsum(size) - size
+        index, at = words.indices.to_numpy(), pieces.offsets.to_numpy()
+        n = size[index]
+        n[at[:-1]] = 0  # a text's first piece has no space before it
+        end = np.cumsum(n)
+        raw = flat[np.repeat(start[index] - end + n, n) + np.arange(end[-1])].tobytes()
+        last = (4 * np.append(0, end)[at]).tolist()
+        return [f + raw[a:z] for f, a, z in zip(firsts, last[:-1], last[1:], strict=True)]
+
+    def _distinct(self, words: list[str]) -> list[bytes]:
+        """Ids of distinct pieces, from memory or anew."""
+        known, old, new = self.known, self.old, []
+        ids = list(map(known.get, words))
+        for at in [k for k, found in enumerate(ids) if found is None]:
+            if (found := old.get(words[at])) is not None:
+                ids[at] = known[words[at]] = found
+            else:
+                new.append(at)
+        fresh = self._learn([words[at] for at in new])
+        for at in new:
+            ids[at] = fresh[words[at]]
+        # A piece is remembered from its second miss on: most of the rare ones
+        # never come again.
+        seen = self.seen
+        for p, found in fresh.items():
+            h = hash(p) & _SEEN
+            if seen[h]:
+                if len(p) <= _KEEP_CHARS:
+                    known[p] = found
+            else:
+                seen[h] = 1
+                self.marks += 1
+        if self.marks > _SEEN // 4:
+            self.seen, self.marks = bytearray(_SEEN + 1), 0
+        if len(known) > self.limit:
+            self.old, self.known = known, {"": b""}
+        return ids
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text (null: none), as bytes."""
@@ -140,7 +196,5 @@ class TextEncoder:
 
 def encoder(path: str, spaced: bool) -> TextEncoder:
     """The Python worker's encoder for a vocabulary file, kept between tasks."""
-    if (path, spaced) not in _ENCODERS:
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        _ENCODERS[path, spaced] = TextEncoder(path, spaced)
-    return _ENCODERS[path, spaced]
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+    return kept_in_worker("tokens", (path, spaced), lambda: TextEncoder(path, spaced))
