@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tests.conftest import SF_SMALL
 from tests.llm.cases import awkward, awkward_rows, empty, plain, words
 from trailmix.llm import queries
-from trailmix.llm.quality import BUCKETS, THRESHOLD, _buckets, quality, trusted_ids
+from trailmix.llm.quality import MAX_BUCKETS, THRESHOLD, folded, pair_bucket, quality, word_bucket
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -31,11 +31,19 @@ def base(text):
     return (len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in t), dup, len(hit), fails)
 
 
-def brute(spark, rows, trusted, buckets=BUCKETS, threshold=THRESHOLD):
-    vocab = sorted({w for r in rows for w in WORD.findall(r[1] or "")})
-    made = spark.createDataFrame([(w,) for w in vocab], "w string").select("w", *[b.alias(f"b{i}") for i, b in enumerate(_buckets(F.col("w"), buckets))])
-    of = {r["w"]: (r["b0"], r["b1"]) for r in made.collect()}
-    grams = [[b for w in WORD.findall(r[1] or "") for b in of[w]] for r in rows]
+def brute(spark, rows, trusted, buckets=None, threshold=THRESHOLD):
+    found = [WORD.findall(r[1] or "") for r in rows]
+    # A word's bucket, and that of each pair of neighbours, in the finest table.
+    pairs = sorted({p for w in found if w for p in zip(w, [*w[1:], ""], strict=True)})
+    made = spark.createDataFrame(pairs, "a string, b string").select(
+        "a", "b", word_bucket(F.col("a"), MAX_BUCKETS).alias("one"), pair_bucket(F.col("a"), F.col("b"), MAX_BUCKETS).alias("two")).collect()
+    one, two = {r["a"]: r["one"] for r in made}, {(r["a"], r["b"]): r["two"] for r in made}
+    grams = [[one[x] for x in w] + [two[p] for p in zip(w, w[1:], strict=False)] for w in found]
+    if buckets is None:
+        occur, buckets = len({b for g in grams for b in g}), 1 << 12
+        while buckets < min(1 << 17, 2 * occur):
+            buckets *= 2
+    grams = [[b % buckets for b in g] for g in grams]
     raw, target = Counter(), Counter()
     for r, g in zip(rows, grams, strict=True):
         raw.update(g)
@@ -81,20 +89,39 @@ def test_equals_brute_force(spark):
     marks = [(i, int(i % 3 > 0), 0) for i in range(100, 160)] + [(None, 1, 0), (5, None, 0), (101, 1, 1), (99_999, 1, 0)]
     trusted = {i for i, q, _ in marks if q == 1 and i is not None}
     df = plain(spark, rows)
-    assert got(quality(df, labels(spark, marks), buckets=50)) == brute(spark, rows, trusted, 50)
+    assert got(quality(df, labels(spark, marks), buckets=64)) == brute(spark, rows, trusted, 64)
 
 
 def test_no_trusted_and_empty(spark):
     rows = odd_rows()
     assert got(quality(plain(spark, rows), labels(spark, []))) == brute(spark, rows, set())
     assert quality(empty(spark), labels(spark, [(1, 1, 0)])).count() == 0
-    assert got(quality(awkward(spark), labels(spark, [(100, 1, 0)]), buckets=7)) == brute(spark, awkward_rows(), {100}, 7)
+    assert got(quality(awkward(spark), labels(spark, [(100, 1, 0)]), buckets=8)) == brute(spark, awkward_rows(), {100}, 8)
 
 
-def test_trusted_bound(spark):
-    many = labels(spark, [(i, 1, 0) for i in range(500)] * 2)
-    some = {r["id"] for r in trusted_ids(many, 40).collect()}
-    assert len(some) == 40 and some == {r["id"] for r in trusted_ids(many.repartition(3), 40).collect()}
+def test_buckets_grow_with_the_ngrams():
+    assert folded([(b, 1, 0) for b in range(10)], None)[1] == 1 << 12
+    assert folded([(b, 1, 0) for b in range(20_000)], None)[1] == 1 << 16
+    assert folded([(b, 1, 1) for b in range(MAX_BUCKETS)], None)[1] == MAX_BUCKETS
+    assert sorted(folded([(1, 2, 1), (9, 3, 0), (2, 1, 1)], 8)[0]) == [(1, 5, 1), (2, 1, 1)]
+
+
+def test_shuffled_words_score_lower(spark):
+    rng = random.Random(2)
+    clean = [[f"s{k}w{j}" for k in (rng.randrange(30) for _ in range(20)) for j in range(5)] for _ in range(200)]
+    rows = [(i, " ".join(w), "en", "a", 0) for i, w in enumerate(clean)]
+    rows += [(500 + i, " ".join(rng.sample(w, len(w))), "en", "a", 0) for i, w in enumerate(clean)]
+    out = {r["doc_id"]: r["score"] for r in quality(plain(spark, rows), labels(spark, [(i, 1, 0) for i in range(100)])).collect()}
+    gaps = sorted(out[i] - out[500 + i] for i in range(200))
+    assert gaps[0] > 0.1, gaps[::40]
+
+
+def test_the_raw_side_is_not_joined(spark):
+    """Only the trusted side shuffles texts, by the same plan at any size."""
+    from trailmix.llm.quality import model_counts
+    df = model_counts(spark.read.parquet(f"{SF_SMALL}/documents.parquet"), spark.read.parquet(f"{SF_SMALL}/labels.parquet"), "doc_id", "text", 64)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SortMergeJoin [id") == 1 and "BroadcastHashJoin [id" not in plan
 
 
 def test_plan_has_no_python_and_one_narrow_pass(spark):

@@ -2,18 +2,20 @@
 
 Base rules are expressions over a text's words ``[^\\x20\\x09-\\x0D]+`` and
 lines.  The verdict on top of them compares two multinomials over hashed
-n-grams: the words themselves and the last three characters of each word, in
-``BUCKETS`` buckets.  One is estimated from trusted documents (``labels`` with
-quality 1), the other from every document of the raw corpus.  A document's
-score is the mean over its n-grams of
+n-grams: each word and each pair of neighbouring words.  One is estimated from
+trusted documents (``labels`` with quality 1), the other from every document of
+the raw corpus.  A document's score is the mean over its n-grams of
 
-    log((trusted[b] + 1) / (trusted + BUCKETS)) - log((raw[b] + 1) / (raw + BUCKETS))
+    log((trusted[b] + 1) / (trusted + buckets)) - log((raw[b] + 1) / (raw + buckets))
 
 and every document at or above ``THRESHOLD`` (nats per n-gram) is kept.
 
-Counts cover all documents and all trusted ones, which are joined by id
-(shuffled, or broadcast where the session finds them small).  The weights are
-one number for each bucket and become part of the scoring expression, so
+Counts cover all documents and all trusted ones.  The raw side is counted where
+it is read; only for the trusted side are ids and texts joined with the labels,
+by the same sort-merge plan at every size.  N-grams are counted in
+``MAX_BUCKETS`` buckets and folded to the power of two that has room for those
+that occur, so the model grows with the corpus up to that bound.  The weights
+are one number for each bucket and become part of the scoring expression, so
 scoring is one projection: no shuffle, no row identity.
 
 Defined results.  Null text: no words.  A text without words: score 0, base
@@ -30,10 +32,11 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trailmix.llm.common import hash63, pick
+from trailmix.llm.common import pick
 
-BUCKETS = 10_000
-THRESHOLD = -0.5
+# Buckets of a model at most (a number each in the scoring expression).
+MAX_BUCKETS, MIN_BUCKETS = 1 << 17, 1 << 12
+THRESHOLD = -0.2
 SPACE = r"[ \t-\r]"
 SYMBOLS = "[^#*$%&|<>]+"
 
@@ -82,24 +85,49 @@ def base_columns(text: Column) -> dict[str, Column]:
     }
 
 
-def _buckets(w: Column, n: int) -> list[Column]:
-    return [F.pmod(F.xxhash64(F.lit(k), part), F.lit(n)).cast("int")
-            for k, part in enumerate((w, F.substring(w, -3, 3)))]
+def word_bucket(word: Column, n: int) -> Column:
+    return F.pmod(F.xxhash64(F.lit(0), word), F.lit(n)).cast("int")
 
 
-def trusted_ids(labels: DataFrame, most: int | None = None) -> DataFrame:
-    """Ids of the documents of quality 1, or of at most ``most`` of them."""
-    rows = pick(labels, id="doc_id", quality="quality").filter("quality = 1 and id is not null").select("id").distinct()
-    return rows if most is None else rows.orderBy(hash63(3, F.col("id")), "id").limit(most)
+def pair_bucket(word: Column, after: Column, n: int) -> Column:
+    return F.pmod(F.xxhash64(F.lit(1), word, after), F.lit(n)).cast("int")
 
 
-def bucket_counts(docs: DataFrame, trusted: DataFrame, id_col: str, text_col: str, buckets: int) -> DataFrame:
+def trusted_ids(labels: DataFrame) -> DataFrame:
+    """Ids of the documents of quality 1."""
+    return pick(labels, id="doc_id", quality="quality").filter("quality = 1 and id is not null").select("id").distinct()
+
+
+def bucket_counts(rows: DataFrame, name: str, buckets: int) -> DataFrame:
+    """(bucket, <name>): n-grams of the texts in each bucket."""
+    def buckets_of(w):
+        firsts = F.slice(w, 1, F.greatest(F.size(w) - 1, F.lit(0)))
+        return F.concat(F.transform(w, lambda x: word_bucket(x, buckets)),
+                        F.transform(firsts, lambda x, i: pair_bucket(x, F.get(w, i + 1), buckets)))
+
+    return (rows.select(F.explode(let(words(F.col("text")), buckets_of)).alias("bucket"))
+            .groupBy("bucket").agg(F.count(F.lit(1)).alias(name)))
+
+
+def model_counts(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, buckets: int) -> DataFrame:
     """(bucket, raw, trusted): n-grams of all documents and of trusted ones."""
     rows = pick(docs, id=id_col, text=text_col)
-    marked = rows.join(trusted.withColumn("trusted", F.lit(1)), "id", "left")
-    each = marked.select(F.coalesce("trusted", F.lit(0)).alias("trusted"), F.explode(words(F.col("text"))).alias("word"))
-    return (each.select("trusted", F.explode(F.array(*_buckets(F.col("word"), buckets))).alias("bucket"))
-            .groupBy("bucket").agg(F.count(F.lit(1)).alias("raw"), F.sum("trusted").alias("trusted")))
+    raw = bucket_counts(rows.select("text"), "raw", buckets)
+    trusted = bucket_counts(rows.filter("id is not null").join(trusted_ids(labels).hint("merge"), "id"), "trusted", buckets)
+    return raw.join(trusted, "bucket", "left").select("bucket", "raw", F.coalesce("trusted", F.lit(0)).alias("trusted"))
+
+
+def folded(counts: list[tuple[int, int, int]], buckets: int | None) -> tuple[list[tuple[int, int, int]], int]:
+    """Counts in as many buckets as there is use for, and that number."""
+    if buckets is None:
+        buckets = MIN_BUCKETS
+        while buckets < MAX_BUCKETS and buckets < 2 * len(counts):
+            buckets *= 2
+    sums: dict[int, tuple[int, int]] = {}
+    for b, r, t in counts:
+        x, y = sums.get(b % buckets, (0, 0))
+        sums[b % buckets] = (x + r, y + t)
+    return [(b, r, t) for b, (r, t) in sums.items()], buckets
 
 
 def weights(counts: list[tuple[int, int, int]], buckets: int) -> list[float]:
@@ -118,21 +146,23 @@ def weights(counts: list[tuple[int, int, int]], buckets: int) -> list[float]:
 def score(w: Column, table: list[float]) -> Column:
     """Mean weight of the n-grams of a word list."""
     values = F.split(F.lit(",".join(map(str, table))), ",").cast("array<double>")  # folded to one constant
+    n = len(table)
 
-    def add(total, word):
-        for b in _buckets(word, len(table)):
-            total = total + F.get(values, b)
-        return total
+    def of(x, i):
+        pair = F.get(values, pair_bucket(x, F.get(w, i + 1), n))
+        return F.get(values, word_bucket(x, n)) + F.when(i + 1 < F.size(w), pair).otherwise(F.lit(0.0))
 
-    total = F.aggregate(w, F.lit(0.0), add)
-    return F.when(F.size(w) == 0, F.lit(0.0)).otherwise(total / (2 * F.size(w)))
+    total = F.aggregate(F.transform(w, of), F.lit(0.0), lambda a, x: a + x)
+    return F.when(F.size(w) == 0, F.lit(0.0)).otherwise(total / (2 * F.size(w) - 1))
 
 
 def quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-            buckets: int = BUCKETS, most: int | None = None, threshold: float = THRESHOLD) -> DataFrame:
-    """One row per document: id, the base figures, base_failed, score, kept."""
-    counts = bucket_counts(docs, trusted_ids(labels, most), id_col, text_col, buckets)
-    table = weights([tuple(r) for r in counts.collect()], buckets)  # at most `buckets` rows
+            buckets: int | None = None, threshold: float = THRESHOLD) -> DataFrame:
+    """One row per document: id, the base figures, base_failed, score, kept.
+    ``buckets``: a power of two up to MAX_BUCKETS (default: as many as the
+    n-grams need)."""
+    counts = model_counts(docs, labels, id_col, text_col, MAX_BUCKETS)
+    table = weights(*folded([tuple(r) for r in counts.collect()], buckets))  # at most MAX_BUCKETS rows
     rows = pick(docs, id=id_col, text=text_col).withColumn("words", words(F.col("text")))
     figures = rows.select("id", F.struct(*[c.alias(n) for n, c in base_columns(F.col("text")).items()],
                                          score(F.col("words"), table).alias("score")).alias("f")).select("id", "f.*")
