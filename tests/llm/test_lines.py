@@ -1,84 +1,14 @@
 import random
 from collections import Counter
 
-from tests.conftest import SF_SMALL
-from tests.llm.cases import awkward, awkward_rows, empty, plain, words
-from trailmix.llm import queries
-from trailmix.llm.lines import drop_repeated_lines
-
-
-
-def pieces(text):
-    """(start, stop, words) of the units, found mark by mark."""
-    out, at = [], 0
-    while at < len(text):
-        end = at
-        while end < len(text) and text[end] not in "\n.,;:!?":
-            end += 1
-        while end < len(text) and text[end] in "\n.,;:!?":
-            end += 1
-        raw = "".join(c.lower() if "A" <= c <= "Z" else c for c in text[at:end])
-        w = raw.encode().rstrip(b".,;:!? \t\n\r\x0b\x0c").split()
-        if len(w) >= 3:
-            out.append((at, end, tuple(w)))
-        at = end
-    return out
-
-
-def brute(rows, least):
-    """Texts in rank order; rows of equal id and text are one document."""
-    docs = {(r[0] is None, r[0] or 0, r[1] or "") for r in rows}
-    seen, out = set(), {}
-    for key in sorted(docs):
-        text = key[2]
-        spans, run = [], []
-
-        def close(run, spans):
-            if sum(len(w) for _, _, w in run) >= least:
-                spans.append((run[0][0], run[-1][1]))
-            run.clear()
-
-        for piece in pieces(text):
-            if piece[2] in seen:
-                run.append(piece)
-            else:
-                close(run, spans) if run else None
-            seen.add(piece[2])
-        close(run, spans) if run else None
-        kept, at = "", 0
-        for a, b in spans:
-            kept, at = kept + text[at:a], b
-        out[key] = (kept + text[at:], tuple(spans))
-    return Counter((r[0], None if r[1] is None else out[r[0] is None, r[0] or 0, r[1]][0],
-                    out[r[0] is None, r[0] or 0, r[1] or ""][1]) for r in rows)
+from tests.llm.cases import plain, words
+from trailmix.llm.lines import drop_repeated_passages
 
 
 def got(df):
     return Counter((r["doc_id"], r["text"], tuple((s["start"], s["stop"]) for s in r["removed"])) for r in df.collect())
 
 
-def test_equals_brute_force(spark):
-    rng = random.Random(1)
-    pool = [words(rng, n) for n in (2, 3, 5, 9, 30, 60)]
-    rows = []
-    for i in range(80):
-        parts = [rng.choice(pool) if rng.random() < 0.6 else words(rng, rng.randrange(0, 8)) for _ in range(rng.randrange(0, 9))]
-        parts = [x.upper() if rng.random() < 0.3 else "  ".join(x.split(" ")) if rng.random() < 0.3 else x for x in parts]
-        rows.append((i, "".join(x + rng.choice([". ", ", ", "\n", "\n\n", "!? ", " é"]) for x in parts), "en", "a", 0))
-    # Ids are unique here: texts of one id rank by a hash of the text.
-    for least in (3, 25):
-        assert got(drop_repeated_lines(plain(spark, rows), least)) == brute(rows, least)
-
-
-def test_awkward(spark):
-    rows = [r for r in awkward_rows() if r[0] is not None]
-    assert got(drop_repeated_lines(awkward(spark).filter("doc_id is not null"), 5)) == brute(rows, 5)
-    both = drop_repeated_lines(awkward(spark), 5)
-    assert both.columns == ["doc_id", "text", "n_removed", "removed"] and both.count() == len(awkward_rows())
-    assert all(r["n_removed"] == len(r["removed"]) for r in both.collect())
-    assert drop_repeated_lines(empty(spark)).count() == 0
-
-
 def sentence(rng, n):
     return words(rng, n, 10_000).capitalize() + "."
 
@@ -95,14 +25,9 @@ def test_passages_inside_lines_go_and_clean_texts_stay(spark):
             body[5] = " ".join([*cut[:4], passage, *cut[4:]])
         rows.append((i, common + "\n" + " ".join(body), None, None, 0))
     inner = passage.split(". ", 1)[1].rsplit(". ", 1)[0]
-    out = {r["doc_id"]: r for r in drop_repeated_lines(plain(spark, rows)).collect()}
+    out = {r["doc_id"]: r for r in drop_repeated_passages(plain(spark, rows)).collect()}
     assert [i for i in out if inner in out[i]["text"]] == [1]
     for i, r in out.items():
         assert (r["text"] == rows[i][1]) == (i % 4 != 1 or i == 1) and common in r["text"]
         for s in r["removed"]:
             assert inner in rows[i][1][s["start"]:s["stop"]]
-
-
-def test_query(spark):
-    rows = [tuple(r) for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text").collect()]
-    assert got(queries.op10_lines(spark, SF_SMALL)) == brute(rows, 25)

@@ -1,8 +1,10 @@
 import random
 from collections import Counter
 
+from tests.conftest import SF_SMALL
 from tests.llm.cases import awkward, awkward_rows, empty, plain, words
 from tests.llm.test_lines import got
+from trailmix.llm import lines, queries
 from trailmix.llm.lines import drop_repeated_passages
 
 CUT = " \t\n\r\x0b\x0c.,;:!?"
@@ -62,6 +64,34 @@ def test_equals_brute_force(spark):
         assert got(drop_repeated_passages(plain(spark, rows), least)) == brute(rows, least)
 
 
+def test_joined_runs_give_the_same(spark, monkeypatch):
+    """More repeated runs than the bitmap takes."""
+    rng = random.Random(5)
+    pool = [words(rng, n) for n in (9, 30, 60)]
+    rows = [(i, " ".join(rng.choice(pool) if rng.random() < 0.6 else words(rng, 5) for _ in range(5)), "en", "a", 0) for i in range(40)]
+    monkeypatch.setattr(lines, "BITMAP_BITS", 64)
+    assert got(drop_repeated_passages(plain(spark, rows), 7)) == brute(rows, 7)
+
+
+def test_hot_passages_are_salted_and_the_same(spark, monkeypatch):
+    """A passage of most documents, with ties, self-repeats and repeated rows."""
+    rng = random.Random(6)
+    hot = words(rng, 40)
+    rows = [(rng.randrange(60), rng.choice([hot, f"{words(rng, 4)} {hot} {words(rng, 3)} {hot}", words(rng, 30), hot + " " + hot[:90]]), "en", "a", 0)
+            for _ in range(150)]
+    # Texts of one id rank by a hash of the text, which the brute force doesn't know.
+    rows = list({r[0]: r for r in rows}.values())
+    want = brute(rows, 7)
+    for name, value in (("HOT_RUNS", 3), ("SALTS", 5)):
+        monkeypatch.setattr(lines, name, value)
+    assert got(drop_repeated_passages(plain(spark, rows).repartition(5), 7)) == want
+
+
+def test_query(spark):
+    rows = [tuple(r) for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text").collect()]
+    assert got(queries.op10_lines(spark, SF_SMALL)) == brute(rows, 25)
+
+
 def test_awkward(spark):
     rows = [r for r in awkward_rows() if r[0] is not None]
     assert got(drop_repeated_passages(awkward(spark).filter("doc_id is not null"), 5)) == brute(rows, 5)

@@ -1,160 +1,57 @@
-"""Substring de-duplication by hashing lines and the clauses in them.
-
-Units are the lines of a text, cut further after ``. , ; : ! ?``, because a
-repeated passage may stand inside a line.  A unit of at least ``UNIT_WORDS``
-words is normalised to its words in lower case (A-Z) without the marks at its
-end, and hashed.  Digests are grouped over all documents; the earliest
-occurrence of each (least id, then offset) stays.  Of the others, a run of
-neighbouring units with at least ``min_words`` words in all is removed, with
-its offsets in the original text kept; shorter runs are left alone, so a common
-phrase, licence line or heading in an otherwise new text stays.  Shorter units
-between two units of a run go with it.
-
-A digest is only ever aggregated (least occurrence, count), so a line that a
-third of all documents share is one row for each task that saw it.
+"""Substring de-duplication by hashing passages.
+
+A stretch of ``min_words`` words that stands earlier (least id, then offset,
+without overlap) goes, and nothing else: its words are all in the earlier place,
+so unique words between repeated ones stay, and every repeated passage of that
+length goes to its last word wherever it starts, inside a line, over several of
+them or without any mark.  Words are lower case (A-Z) and cut at white space and
+``. , ; : ! ?``; in scripts without spaces (Chinese, Japanese, Thai, Lao,
+Burmese, Khmer) each character is a word.  Removed spans are given with their
+offsets in the original text.
+
+Whole lines or clauses as units can't give this result: a passage spliced into a
+line shares no line with its original, and a repeated clause between unique
+ones took these along (README).
+
+1. Half as long runs of words are hashed, and of each stretch's runs the one of
+   least hash stands for it (equal stretches pick equal runs).  Digests of
+   these runs are counted over all texts, combined before they are shuffled.
+2. A second pass hashes only stretches whose run occurs twice.  Which do, tasks
+   see from a bitmap of the repeated digests, at most ``BITMAP_BITS`` bits; with
+   more than a quarter as many digests they are joined instead.
+3. Stretches are dealt by digest and sorted by place, in one shuffle; a task
+   streams them, keeps the place that a digest is met first, and hands on all
+   later ones, which are cut from their texts.  Stretches of a hot run, a
+   passage of very many documents, are dealt by salts as well: what comes
+   after the first place of its salt is settled, and the salts' first places
+   are compared in a second round.
 
 Defined results.  Null text: as it is, nothing removed.  Null ids rank after
 all ids.  Repeated rows (same id and text) rank alike: each is treated as the
 same document, so a passage they share is kept in all of them unless an earlier
 document has it.  Empty table: no rows.  Extra columns are not read.
-
-``drop_repeated_passages`` (the registered query) needs no lines or marks.  A
-stretch of ``min_words`` words that stands earlier (least id, then offset,
-without overlap) goes, and nothing else: its words are all in the earlier
-place, so unique words between repeated ones stay, and every repeated passage
-of that length goes to its last word wherever it starts.  Words are lower case
-(A-Z) and cut at white space and ``. , ; : ! ?``; in scripts without spaces
-(Chinese, Japanese, Thai, Lao, Burmese, Khmer) each character is a word.  To find the stretches, half
-as long runs of words are hashed and of each stretch's runs the one of least
-hash is compared over the corpus (equal stretches pick equal runs); only
-stretches whose run occurs twice are hashed themselves.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trailmix.llm.common import pick, ship, written
+from trailmix.llm.common import pick, release, ship, written
 
 MIN_WORDS = 25
-UNIT_WORDS = 3
-_UNIT = re.compile(r"[^\n.,;:!?]*[\n.,;:!?]+|[^\n.,;:!?]+")
-_MARKS = b".,;:!? \t\n\r\x0b\x0c"
-_LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
-
-
-def units(text: str) -> list[tuple[int, int, int, int]]:
-    """(start, stop, words, digest) of the units of a text; offsets in characters."""
-    out = []
-    for m in _UNIT.finditer(text):
-        words = m.group().encode().translate(_LOWER).rstrip(_MARKS).split()
-        if len(words) >= UNIT_WORDS:
-            out.append((m.start(), m.end(), len(words), xxhash.xxh3_64_intdigest(b" ".join(words)) - (1 << 63)))
-    return out
-
-
-def runs(found: list[tuple[int, int, int, int]], min_words: int) -> list[tuple[int, int]]:
-    """Spans of runs of neighbouring units (number, start, stop, words) with
-    enough words in all."""
-    out, at = [], 0
-    while at < len(found):
-        end, words = at, found[at][3]
-        while end + 1 < len(found) and found[end + 1][0] == found[end][0] + 1:
-            end += 1
-            words += found[end][3]
-        if words >= min_words:
-            out.append((found[at][1], found[end][2]))
-        at = end + 1
-    return out
-
-
-def text_units(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, text_key, unit, start, stop, words, digest) of every unit."""
-    names = ["id", "text_key", "unit", "start", "stop", "words", "digest"]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for lo in range(0, b.num_rows, 512):
-                part = b.slice(lo, 512)
-                found = [units(t or "") for t in part.column("text").to_pylist()]
-                size = [len(f) for f in found]
-                row = pa.array(np.repeat(np.arange(len(found)), size))
-                flat = np.array([u for f in found for u in f], np.int64).reshape(-1, 4)
-                number = np.arange(len(flat)) - np.repeat(np.cumsum([0, *size[:-1]]), size)
-                yield pa.RecordBatch.from_arrays([
-                    part.column("id").take(row), part.column("text_key").take(row), pa.array(number.astype(np.int32)),
-                    *(pa.array(flat[:, i].astype(np.int32)) for i in range(3)), pa.array(flat[:, 3])], names)
-
-    rows = pick(docs, id=id_col, text=text_col).withColumn("text_key", F.xxhash64("text"))
-    return rows.mapInArrow(run, "id long, text_key long, unit int, start int, stop int, words int, digest long")
-
-
-def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(none, id, text_key, removed): for each text (id 0 and ``none`` where it
-    is null) the spans of the runs that occur earlier, in order."""
-    ship(docs.sparkSession)
-    found = written(text_units(docs, id_col, text_col), "units")
-    found = found.withColumns({"none": F.col("id").isNull(), "id": F.coalesce("id", F.lit(0))})
-    rank = F.struct("none", "id", "text_key", "unit")
-    groups = (found.groupBy("digest").agg(F.min(rank).alias("first"), F.count(F.lit(1)).alias("n"))
-              .filter("n > 1").select("digest", "first"))
-    later = (found.join(groups, "digest").filter(rank != F.col("first"))
-             .groupBy("none", "id", "text_key")
-             .agg(F.array_sort(F.collect_set(F.struct("unit", "start", "stop", "words"))).alias("units")))  # one text's units
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            spans = [[{"start": s, "stop": e} for s, e in runs([tuple(u.values()) for u in us], min_words)]
-                     for us in b.column("units").to_pylist()]
-            keep = pa.array([bool(s) for s in spans], pa.bool_())
-            out = pa.RecordBatch.from_arrays([*(b.column(c) for c in ("none", "id", "text_key")), pa.array(spans, _SPANS)],
-                                             ["none", "id", "text_key", "removed"])
-            yield out.filter(keep)
-
-    return later.mapInArrow(run, "none boolean, id long, text_key long, removed array<struct<start:int,stop:int>>")
-
-
+# Bits of the bitmap of repeated runs at most (8 MB).
+BITMAP_BITS = 1 << 26
+# A run in more places than this, and than a thousandth of all, is hot.
+HOT_RUNS = 5_000
+SALTS = 64
 _SPANS = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))
 
 
-def drop_repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: id, text without the spans, n_removed, removed
-    (spans of the original text, in order)."""
-    spans = written(repeated_spans(docs, min_words, id_col, text_col), "repeated-spans")
-    rows = pick(docs, id=id_col, text=text_col).withColumn("text_key", F.xxhash64("text"))
-    keyed = rows.withColumns({"none": F.col("id").isNull(), "id": F.coalesce("id", F.lit(0))})
-    found = keyed.join(spans, ["none", "id", "text_key"], "left")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for lo in range(0, b.num_rows, 1024):
-                part = b.slice(lo, 1024)
-                texts = part.column("text").to_pylist()
-                removed = [c or [] for c in part.column("removed").to_pylist()]
-                for i, cuts in enumerate(removed):
-                    kept, at = [], 0
-                    for c in cuts:
-                        kept.append(texts[i][at:c["start"]])
-                        at = c["stop"]
-                    if cuts:
-                        texts[i] = "".join(kept) + texts[i][at:]
-                yield pa.RecordBatch.from_arrays([
-                    part.column("id"), pa.array(texts, pa.string()), pa.array([len(c) for c in removed], pa.int32()),
-                    pa.array(removed, _SPANS)], ["id", "text", "n_removed", "removed"])
-
-    ident = F.when(~F.col("none"), F.col("id")).alias("id")
-    return (found.select(ident, "text", "removed")
-            .mapInArrow(run, "id long, text string, n_removed int, removed array<struct<start:int,stop:int>>")
-            .withColumnsRenamed({"id": id_col, "text": text_col}))
-
-
 _SPACES, _POINTS = " \t\n\r\x0b\x0c", "\n.,;:!?"
 _GROUP_CHARS = 1 << 20
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -248,50 +145,150 @@ def _slices(b: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
 _KEYS = ["none", "id", "text_key"]
 
 
-def _found(part: pa.RecordBatch, w: _Words, words: np.ndarray, digests: np.ndarray) -> pa.RecordBatch:
+def _found(part: pa.RecordBatch, w: _Words, words: np.ndarray, digests: np.ndarray, hot: np.ndarray) -> pa.RecordBatch:
     row = pa.array(w.text[words])
     return pa.RecordBatch.from_arrays([*(part.column(c).take(row) for c in _KEYS), pa.array(w.at[words].astype(np.int32)),
-                                       pa.array(digests)], [*_KEYS, "unit", "digest"])
+                                       pa.array(digests), pa.array(hot)], [*_KEYS, "unit", "digest", "hot"])
 
 
-_FOUND = "none boolean, id long, text_key long, unit int, digest long"
+_FOUND = "none boolean, id long, text_key long, unit int, digest long, hot boolean"
 
 
-def repeated_stretches(rows: DataFrame, min_words: int) -> DataFrame:
-    """(none, id, text_key, units): for each text the first words of the
-    stretches that stand earlier.  ``rows`` has none, id, text_key and text."""
+def _bitmap(digests: DataFrame, count: int) -> np.ndarray:
+    """Bits set at the digests; a power of two of them, sixteen each if that
+    many fit."""
+    bits = 1 << 12
+    while bits < min(BITMAP_BITS, 16 * count):
+        bits *= 2
+    slot = F.col("digest").bitwiseAND(F.lit(bits - 1))
+    words = digests.groupBy(F.shiftright(slot, 6).alias("at")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(digest & 63 as int))")).alias("word")).toArrow()
+    out = np.zeros(bits >> 6, np.uint64)
+    out[words.column("at").to_numpy()] = words.column("word").to_numpy().view(np.uint64)
+    return out
+
+
+def _in_bitmap(bitmap: np.ndarray, digests: np.ndarray) -> np.ndarray:
+    slot = digests.view(np.uint64) & np.uint64(64 * len(bitmap) - 1)
+    return (bitmap[slot >> np.uint64(6)] >> (slot & np.uint64(63))) & np.uint64(1) == 1
+
+
+def _runs(min_words: int):
+    """The digests of the runs that stand for a text's stretches, once each."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for _, texts in _slices(b):
+                _, chosen, digests = _Words(texts).stretches(min_words)
+                chosen, one = np.unique(chosen, return_index=True)
+                yield pa.RecordBatch.from_arrays([pa.array(digests[one])], ["digest"])
+
+    return run
+
+
+def _stretches(min_words: int, wanted, hot) -> object:
+    """The stretches whose run is wanted, and whether it is hot; ``wanted`` gets
+    the part of the batch, its words, and the chosen runs with their digests."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for part, texts in _slices(b):
+                w = _Words(texts)
+                first, chosen, digests = w.stretches(min_words)
+                if len(first):
+                    some = wanted(part, w, chosen, digests)
+                    first, digests = first[some], digests[some]
+                yield _found(part, w, first, w.grams(min_words)[0][first].astype(np.int64), _in_bitmap(hot.value, digests))
+
+    return run
 
+
+def _joined_runs(rows: DataFrame, twice: DataFrame, min_words: int, hot) -> DataFrame:
+    """Stretches of repeated runs, found by joins: any number of digests."""
     def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for part, texts in _slices(b):
                 w = _Words(texts)
                 _, chosen, digests = w.stretches(min_words)
                 chosen, one = np.unique(chosen, return_index=True)
-                yield _found(part, w, chosen, digests[one])
+                yield _found(part, w, chosen, digests[one], np.zeros(len(one), bool))
+
+    def marked(part: pa.RecordBatch, w: _Words, chosen: np.ndarray, digests: np.ndarray) -> np.ndarray:
+        again = np.zeros(len(w.at), bool)
+        origin = np.searchsorted(w.text, np.arange(part.num_rows))
+        for i, units in enumerate(part.column("units").to_pylist()):
+            again[origin[i] + np.array(units, np.int64)] = True
+        return again[chosen]
 
-    def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    units = (rows.mapInArrow(sample, _FOUND).join(twice.select("digest"), "digest")
+             .groupBy(*_KEYS).agg(F.collect_set("unit").alias("units")))  # one text's runs
+    return rows.join(units, _KEYS).mapInArrow(_stretches(min_words, marked, hot), _FOUND)
+
+
+def _after_first(min_words: int, settled: bool):
+    """Of rows sorted by (digest, salt, place): those after the first place of
+    their digest and salt, and, where that is not the first of all (salted and
+    not ``settled``), the others as ``open``."""
+    names = [*_KEYS, "unit", "digest", "open"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None  # digest, salt and first place of the group that a batch ended in
         for b in batches:
-            for part, texts in _slices(b):
-                w = _Words(texts)
-                first, chosen, _ = w.stretches(min_words)
-                again = np.zeros(len(w.at), bool)
-                origin = np.searchsorted(w.text, np.arange(len(texts)))
-                for i, units in enumerate(part.column("units").to_pylist()):
-                    again[origin[i] + np.array(units, np.int64)] = True
-                first = first[again[chosen]]
-                yield _found(part, w, first, w.grams(min_words)[0][first].astype(np.int64))
-
-    runs = written(rows.mapInArrow(sample, _FOUND), "runs")
-    twice = runs.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("digest")
-    marked = runs.join(twice, "digest").groupBy(*_KEYS).agg(F.collect_set("unit").alias("units"))  # one text's runs
-    found = written(rows.join(marked, _KEYS).mapInArrow(exact, _FOUND), "stretches")
-    rank = F.struct(*_KEYS, "unit")
-    groups = (found.groupBy("digest").agg(F.min(rank).alias("first"), F.count(F.lit(1)).alias("n"))
-              .filter("n > 1").select("digest", "first"))
-    own = F.struct(*_KEYS) == F.struct(*[F.col(f"first.{c}") for c in _KEYS])
-    later = ~own | (F.col("unit") >= F.col("first.unit") + min_words)
-    return (found.join(groups, "digest").filter(later)
-            .groupBy(*_KEYS).agg(F.collect_set("unit").alias("units")))  # one text's stretches
+            if not b.num_rows:
+                continue
+            cols = [b.column(c).to_numpy(zero_copy_only=False) for c in ("digest", "salt", *_KEYS, "unit")]
+            digest, salt = cols[:2]
+            new = np.ones(b.num_rows, bool)
+            new[1:] = (digest[1:] != digest[:-1]) | (salt[1:] != salt[:-1])
+            if held is not None:
+                new[0] = held[0] != digest[0] or held[1] != salt[0]
+            at = np.maximum.accumulate(np.where(new, np.arange(b.num_rows), -1))
+            first = []
+            for k, c in enumerate(cols[2:], 2):
+                f = c[np.maximum(at, 0)]
+                if held is not None:
+                    f = np.where(at < 0, held[k], f)
+                first.append(f)
+            same = (cols[2] == first[0]) & (cols[3] == first[1]) & (cols[4] == first[2])
+            later = ~same | (cols[5] >= first[3] + min_words)
+            waits = np.zeros(b.num_rows, bool) if settled else ~later & (salt > 0)
+            keep = pa.array(later | waits)
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in (*_KEYS, "unit", "digest")), pa.array(waits)], names).filter(keep)
+            held = (digest[-1], salt[-1], *(f[-1] for f in first))
+
+    return run
+
+
+_AFTER = "none boolean, id long, text_key long, unit int, digest long, open boolean"
+
+
+def repeated_stretches(rows: DataFrame, min_words: int) -> DataFrame:
+    """(none, id, text_key, units): for each text the first words of the
+    stretches that stand earlier.  ``rows`` has none, id, text_key and text."""
+    spark = rows.sparkSession
+    twice = written(rows.select("text").mapInArrow(_runs(min_words), "digest long").groupBy("digest")
+                    .agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "repeated-runs")
+    count, places = twice.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
+    # Fewer than a thousand of these.
+    hot_runs = twice.filter(F.col("n") > max(HOT_RUNS, places // 1000))
+    n_hot = hot_runs.count()
+    hot = spark.sparkContext.broadcast(_bitmap(hot_runs, n_hot))
+    if 4 * count <= BITMAP_BITS:
+        shared = spark.sparkContext.broadcast(_bitmap(twice, count))
+        found = rows.mapInArrow(_stretches(min_words, lambda part, w, chosen, digests: _in_bitmap(shared.value, digests), hot), _FOUND)
+    else:
+        found = _joined_runs(rows, twice, min_words, hot)
+    place = [*_KEYS, "unit"]
+    salt = F.when(F.col("hot"), 1 + F.pmod(F.xxhash64(*_KEYS), F.lit(SALTS))).otherwise(0).cast("int")
+    dealt = found.withColumn("salt", salt).drop("hot").repartition("digest", "salt").sortWithinPartitions("digest", "salt", *place)
+    after = dealt.mapInArrow(_after_first(min_words, False), _AFTER)
+    if n_hot:
+        after = written(after, "after-first")
+        waits = after.filter("open").withColumn("salt", F.lit(0)).repartition("digest").sortWithinPartitions("digest", "salt", *place)
+        later = after.filter("not open").select(*place).union(waits.mapInArrow(_after_first(min_words, True), _AFTER).select(*place))
+    else:
+        later = after.select(*place)
+    out = written(later.groupBy(*_KEYS).agg(F.collect_set("unit").alias("units")), "repeated-stretches")  # one text's stretches
+    release(twice, after)
+    return out
 
 
 def drop_repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -300,7 +297,7 @@ def drop_repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, id_col:
     ship(docs.sparkSession)
     rows = pick(docs, id=id_col, text=text_col).withColumn("text_key", F.xxhash64("text"))
     rows = rows.withColumns({"none": F.col("id").isNull(), "id": F.coalesce("id", F.lit(0))})
-    found = rows.join(written(repeated_stretches(rows, min_words), "repeated-stretches"), _KEYS, "left")
+    found = rows.join(repeated_stretches(rows, min_words), _KEYS, "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
