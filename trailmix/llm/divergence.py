@@ -61,7 +61,7 @@ MAX_BROADCAST_GROUPS = 50_000
 # Distinct (group, term) entries that a task holds before it sends them on.
 HELD_TERMS = 400_000
 # Index entries of one block of terms, about.
-BLOCK_ROWS = 250_000
+BLOCK_ROWS = 50_000
 # Posting pairs that are added at a time.
 _SCATTER = 1 << 20
 _SLICE_BYTES = 1 << 22
