@@ -48,7 +48,7 @@ def test_texts_of_several_learned_languages_stay(spark, learned):
 
 def test_unlearned_languages_are_told_apart(learned):
     seen = seen_features(training_sample(learned))
-    shares = dict(zip(FOREIGN, familiar(list(FOREIGN.values()), seen, {}), strict=True))
+    shares = dict(zip(FOREIGN, familiar(list(FOREIGN.values()), seen), strict=True))
     assert all(x < LEAST_SEEN for x in shares.values()), shares
-    assert min(familiar(mixed(learned), seen, {})) > LEAST_SEEN + 0.1
-    assert familiar(["12 !!", "", None], seen, {}) == [None] * 3
+    assert min(familiar(mixed(learned), seen)) > LEAST_SEEN + 0.1
+    assert familiar(["12 !!", "", None], seen) == [None] * 3

@@ -29,14 +29,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from trailmix.llm.common import pick, ship
+from trailmix.llm.common import kept_in_worker, pick, ship
 
 CHUNK_CHARS = 32_768
 OVERLAP = 1_024
 # Pieces remembered by one Python worker (about 130 MB).
 CACHE_PIECES = 600_000
 _KEEP_CHARS = 40
-_CODECS: dict = {}
 
 
 def merge_pairs(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
@@ -134,9 +133,7 @@ class Codec:
 
 def codec(path: str, pattern: str) -> Codec:
     """The Python worker's codec for a vocabulary file, kept between tasks."""
-    if (path, pattern) not in _CODECS:
-        _CODECS[path, pattern] = Codec(path, pattern)
-    return _CODECS[path, pattern]
+    return kept_in_worker("bpe", (path, pattern), lambda: Codec(path, pattern))
 
 
 def _cuts(chunks: DataFrame, ranks: str, pattern: str, chunk: int, overlap: int) -> DataFrame:

@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trailmix.llm.common import Rows, hash63, pick, ship
+from trailmix.llm.common import Rows, give_back, hash63, kept_in_worker, pick, ship
 
 FEATURES = 1 << 16
 SEEN_FEATURES = 1 << 23
@@ -50,10 +50,11 @@ STRETCH = 40
 ROUNDS = 40
 LEXICON = 5_000
 CACHE_WORDS = 400_000
+# Words that a worker of the pipeline's stage remembers (about 100 bytes each).
+FAMILIAR_WORDS = 250_000
 UNKNOWN = "und"
 _WORD = re.compile(r"[^\W\d_]+")
 _GROUP_WORDS = 400_000
-_SEEN: dict = {}
 
 
 def _features(word: str, lexicon: dict[str, int]) -> list[int]:
@@ -61,6 +62,13 @@ def _features(word: str, lexicon: dict[str, int]) -> list[int]:
     if not (word.isalpha() or any(map(str.isalpha, word))):
         return []
     w = word.lower()
+    if w.isascii() and w not in lexicon:
+        raw, n = w.encode(), len(w)
+        marked, crc = b"<" + raw + b">", zlib.crc32
+        out = [crc(b"w" + raw), *(crc(b"p" + raw[:k]) for k in (1, 2, 3) if k <= n), *(crc(b"s" + raw[-k:]) for k in (1, 2, 3) if k <= n)]
+        for k in (2, 3, 4):
+            out += [crc(marked[i:i + k]) for i in range(n + 3 - k)]
+        return out
     marked = f"<{w}>"
     names = [f"w{w}", *(f"p{w[:k]}" for k in (1, 2, 3) if k <= len(w)), *(f"s{w[-k:]}" for k in (1, 2, 3) if k <= len(w))]
     names += [marked[i:i + k] for k in (2, 3, 4) for i in range(len(marked) - k + 1)]
@@ -290,9 +298,7 @@ def training_sample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def _tagger(shared) -> Tagger:
     model = shared.value
-    if _SEEN.get("name") != model.name:
-        _SEEN.update(name=model.name, tagger=Tagger(model))
-    return _SEEN["tagger"]
+    return kept_in_worker("language", model.name, lambda: Tagger(model))
 
 
 def _predicted(rows: DataFrame, text: str, model: Model) -> DataFrame:
@@ -332,22 +338,38 @@ def seen_features(samples: list[tuple[str, str]]) -> np.ndarray:
     return seen
 
 
-def familiar(texts: list[str | None], seen: np.ndarray, known: dict[str, float]) -> list[float | None]:
+class Familiar:
     """Mean over a text's words of the share of their features that are seen;
-    None for a text without letters.  ``known`` remembers words."""
-    out: list[float | None] = []
-    for t in texts:
-        shares = []
-        for w in _WORD.findall(t or ""):
-            if w not in known:
-                f = [x % SEEN_FEATURES for x in _features(w, {})]
-                known[w] = float(seen[f].mean()) if f else -1.0
-            if known[w] >= 0:
-                shares.append(known[w])
-        out.append(sum(shares) / len(shares) if shares else None)
-        if len(known) > CACHE_WORDS:
-            known.clear()
-    return out
+    None for a text without letters.  Words met again are remembered in two
+    generations."""
+
+    def __init__(self, seen: np.ndarray, words: int = FAMILIAR_WORDS):
+        self.seen, self.limit = seen.astype(np.uint8).tobytes(), words // 2
+        self.known: dict[str, float] = {}
+        self.old: dict[str, float] = {}
+
+    def share(self, word: str) -> float:
+        if word in self.old:
+            return self.old[word]
+        f, seen = _features(word, {}), self.seen
+        return sum([seen[x % SEEN_FEATURES] for x in f]) / len(f) if f else -1.0
+
+    def of(self, texts: list[str | None]) -> list[float | None]:
+        cut = [_WORD.findall(t or "") for t in texts]
+        known = self.known
+        for w in {w for c in cut for w in c}.difference(known):
+            known[w] = self.share(w)
+        out: list[float | None] = []
+        for c in cut:
+            shares = [x for x in map(known.__getitem__, c) if x >= 0]
+            out.append(sum(shares) / len(shares) if shares else None)
+        if len(known) > self.limit:
+            self.old, self.known = known, {}
+        return out
+
+
+def familiar(texts: list[str | None], seen: np.ndarray) -> list[float | None]:
+    return Familiar(seen).of(texts)
 
 
 def keep_identified(docs: DataFrame, least_seen: float = LEAST_SEEN, id_col: str = "doc_id", text_col: str = "text",
@@ -360,14 +382,17 @@ def keep_identified(docs: DataFrame, least_seen: float = LEAST_SEEN, id_col: str
         return docs.limit(0)
     spark = docs.sparkSession
     ship(spark)
-    shared = spark.sparkContext.broadcast(np.packbits(seen))  # SEEN_FEATURES bits
+    shared, name = spark.sparkContext.broadcast(np.packbits(seen)), uuid.uuid4().hex  # SEEN_FEATURES bits
     own = rows.own[rows.names.index(text_col)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits, known = np.unpackbits(shared.value).astype(bool), {}
+        words = kept_in_worker("language stage", name, lambda: Familiar(np.unpackbits(shared.value)))
         for b in batches:
-            shares = familiar(b.column(own).to_pylist(), bits, known)
-            yield b.filter(pa.array([x is not None and x >= least_seen for x in shares], pa.bool_()))
+            keep: list[bool] = []
+            for lo in range(0, b.num_rows, 512):
+                keep += [x is not None and x >= least_seen for x in words.of(b.column(own).slice(lo, 512).to_pylist())]
+            yield b.filter(pa.array(keep, pa.bool_()))
+            give_back()
 
     return rows.restore(rows.df.mapInArrow(run, rows.df.schema))
 
