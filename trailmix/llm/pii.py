@@ -35,13 +35,14 @@ import re
 import string
 from collections.abc import Iterator
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trailmix.llm.common import Rows, pick, ship, written
+from trailmix.llm.common import give_back, pick, Rows, ship, written
 
+# Texts that a task has as Python strings at a time.
+_SLICE_ROWS = 256
 MAX_ATTEMPTS = 100
 
 # Given names by script and gender, titles by gender.
@@ -395,12 +396,15 @@ def _text_key(text: Column) -> Column:
 
 def _surrogates(texts: DataFrame, key: bytes) -> DataFrame:
     """(text_key, found: the text's kinds, entities and surrogates) of texts
-    (text) that may have entities."""
+    (text) that have entities."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = [(k, *e) for k, t in zip(b.column("text_key").to_pylist(), b.column("text").to_pylist(), strict=True)
-                    for e in {x[2:] for x in detect(t)}]
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.string()) for i in range(3)], ["text_key", "kind", "entity"])
+            for lo in range(0, b.num_rows, _SLICE_ROWS):
+                part = b.slice(lo, _SLICE_ROWS)
+                rows = [(part.column("text_key")[i].as_py(), *e) for i, t in enumerate(part.column("text").to_pylist()) if may_hold(t)
+                        for e in {x[2:] for x in detect(t)}]
+                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.string()) for i in range(3)], ["text_key", "kind", "entity"])
+            give_back()
 
     found = written(texts.select(_text_key(F.col("text")).alias("text_key"), "text")
                     .mapInArrow(run, "text_key string, kind string, entity string").distinct(), "occurrences")
@@ -431,24 +435,29 @@ def replace_in_rows(docs: DataFrame, key: bytes, text_col: str = "text", chars_c
 def _replaced(rows: DataFrame, text: Column, key: bytes) -> DataFrame:
     """The rows with new_text and kinds."""
     ship(rows.sparkSession)
-    @F.pandas_udf("boolean")
-    def held(texts: pd.Series) -> pd.Series:
-        return texts.map(may_hold)
+
+    @F.arrow_udf("boolean")
+    def held(texts: pa.Array) -> pa.Array:
+        out = [may_hold(t) for lo in range(0, len(texts), _SLICE_ROWS) for t in texts.slice(lo, _SLICE_ROWS).to_pylist()]
+        give_back()
+        return pa.array(out, pa.bool_())
 
     may = held(text)
     flagged = rows.filter(may).withColumn("old_text", text)
-    found = _surrogates(flagged.select(F.col("old_text").alias("text")), key)
+    found = _surrogates(rows.select(text.alias("text")), key)
     joined = flagged.withColumn("text_key", _text_key(F.col("old_text"))).join(found, "text_key", "left").drop("text_key")
     names = rows.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            new = []
-            for text, known in zip(b.column("old_text").to_pylist(), b.column("found").to_pylist(), strict=True):
-                new.append(apply(text, {(k["kind"], k["entity"]): k["surrogate"] for k in known}) if known else (text, []))
-            yield pa.RecordBatch.from_arrays(
-                [*(b.column(c) for c in names), pa.array([n[0] for n in new], pa.string()), pa.array([n[1] for n in new], pa.list_(pa.string()))],
-                [*names, "new_text", "kinds"])
+            for lo in range(0, b.num_rows, _SLICE_ROWS):
+                part, new = b.slice(lo, _SLICE_ROWS), []
+                for text, known in zip(part.column("old_text").to_pylist(), part.column("found").to_pylist(), strict=True):
+                    new.append(apply(text, {(k["kind"], k["entity"]): k["surrogate"] for k in known}) if known else (text, []))
+                yield pa.RecordBatch.from_arrays(
+                    [*(part.column(c) for c in names), pa.array([n[0] for n in new], pa.string()), pa.array([n[1] for n in new], pa.list_(pa.string()))],
+                    [*names, "new_text", "kinds"])
+            give_back()
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
     done = joined.mapInArrow(run, f"{kinds}, new_text string, kinds array<string>")
