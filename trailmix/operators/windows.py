@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from trailmix.functions.time import (duration_micros, duration_string, epoch_micros,
                                      flatten_window, micros_to_time)
+from trailmix.operators.panes import sliding_agg
 from trailmix.operators.sequence import (DEFAULT_BUCKET, DEFAULT_MAX_ROWS, _names, bucketed,
                                         order_key)
 
@@ -71,8 +72,13 @@ def window_count_first(df: DataFrame, time_col: str, size: str, carry: str,
 
 def window_summary(df: DataFrame, time_col: str, size: str, *, slide: str | None = None,
                    keys: Sequence[str] = (), value: str | None = None) -> DataFrame:
-    """Count, least and greatest ``value`` (default: the time itself) per window."""
+    """Count, least and greatest ``value`` (default: the time itself) per window.
+
+    Sliding windows of a batch are put together from panes (``panes.sliding_agg``).
+    """
     v = value or time_col
+    if slide is not None and not df.isStreaming:
+        return sliding_agg(df, time_col, size, slide, {"n": ("*", "count"), f"min_{v}": (v, "min"), f"max_{v}": (v, "max")}, keys=keys)
     return window_agg(df, time_col, size, [
         F.count(F.lit(1)).alias("n"),
         F.min(v).alias(f"min_{v}"),
