@@ -1,9 +1,11 @@
 """Sharding by proportional stratified interleaving.
 
 The rows of each source are put in a seeded random order; a row's fractional
-rank is ``(2 * rank - 1) / (2 * rows of its source)``.  Sorting all rows by
-fractional rank interleaves the sources in proportion, so every cut of that
-order has the corpus's mixture; shard ``s`` of ``n`` takes the positions
+rank is ``(rank - u) / rows of its source``, where ``u`` is a seeded number
+between 0 and 1 for each source (``offset``): sources of few rows, of which there
+may be many, spread over the whole order instead of meeting at its middle.
+Sorting all rows by fractional rank interleaves the sources in proportion, so
+every cut of that order has the corpus's mixture; shard ``s`` of ``n`` takes the positions
 ``[ceil(s * N / n), ceil((s + 1) * N / n))``: counts differ by one at most
 (law ``rows``).
 
@@ -17,12 +19,17 @@ Empty table: no rows.  Extra columns are not read.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trailmix.llm.common import hash63, pick, rank_bits, ranked, top_bits, written
 
 
+def offset(seed: int, stratum: Column) -> Column:
+    """Where a source's first row stands between 0 and its step: 32 bits of a hash."""
+    return (top_bits(hash63(seed, stratum["none"], stratum["name"]), 32) + 0.5) / float(1 << 32)
+
+
 def stratified_shards(docs: DataFrame, n_shards: int, seed: int = 7, id_col: str = "doc_id",
                       text_col: str = "text", source_col: str = "source") -> DataFrame:
     """One row per document: id, source, size, text_crc32, position, shard, slot."""
@@ -38,7 +45,7 @@ def stratified_shards(docs: DataFrame, n_shards: int, seed: int = 7, id_col: str
     rows = ranked(rows.withColumn("order_range", top_bits(F.col("order_key"), bits)), ["stratum"], "order_range",
                   ["order_key", "id", "text_crc32", "size"], "rank", "stratum_n")
     mixed = written(rows.select("id", "source", "stratum", "size", "text_crc32", "rank",
-                                ((2 * F.col("rank") - 1) / (2 * F.col("stratum_n"))).alias("fraction")), "shard-mixed")
+                                ((F.col("rank") - offset(seed, F.col("stratum"))) / F.col("stratum_n")).alias("fraction")), "shard-mixed")
     mixed = mixed.withColumns({"one": F.lit(0), "part": F.floor(F.col("fraction") * (1 << bits))})
     placed = ranked(mixed, ["one"], "part", ["fraction", "stratum", "rank"], "position")
     at = F.col("position") - 1
