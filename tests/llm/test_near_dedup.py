@@ -1,3 +1,4 @@
+import itertools
 import random
 import re
 from collections import Counter, defaultdict
@@ -198,6 +199,47 @@ def test_recall_in_large_nodes(spark):
         assert met >= 0.9 * len(pairs), (leaf, met, len(pairs))
 
 
+def test_caps_lose_nothing(spark, monkeypatch):
+    """One tree of one root whose token all texts share: pairs of 0.8 and more
+    in it meet, though only one pivot and one representative of each cluster
+    stand for the rest."""
+    for name in ("TREES", "ROOTS", "PIVOTS", "REPRESENTATIVES"):
+        monkeypatch.setattr(near_dedup, name, 1)
+    rng = random.Random(21)
+    first, texts = 1 << 32, []
+    while first > 1 << 23:                # a token so small that most texts have it
+        core = words(rng, 60).split()
+        first = sketch(shingle_sets([" ".join(core)], 4)[0])[0]
+    for _ in range(60):
+        v = core + words(rng, 90, 10**6).split()
+        texts.append(" ".join(v))
+        for j in rng.sample(range(60, 150), 3):
+            v[j] = f"other{j}"
+        texts.append(" ".join(v))
+    texts = [t for t, s in zip(texts, shingle_sets(texts, 4), strict=True) if sketch(s)[0] == first]
+    rows = [(i, t, "en", "s", 1) for i, t in enumerate(texts)]
+    want = brute(rows, 4, 80)
+    assert sum(1 for (_, _, _, kept) in want if not kept) > 30
+    assert got(near_duplicates(plain(spark, rows), 4, 80, leaf=20, block=5)) == want
+
+
+def test_similar_sets_share_a_prefix_shingle(spark):
+    rows = near_rows(31)
+    df = plain(spark, rows)
+    sets = near_dedup.document_sets(df, 4, "doc_id", "text")
+    wanted = near_dedup.written(sets.groupBy("key").agg({"text_key": "min"}).toDF("key", "text_key"), "wanted")
+    nodes = defaultdict(set)
+    for r in near_dedup.prefix_shingles(df, wanted, 4, 80).collect():
+        nodes[bytes(r["key"])].add(r["node"])
+    of = {r["id"]: bytes(r["key"]) for r in sets.collect()}
+    assert set(nodes) == set(of.values())
+    for a, b in itertools.combinations(rows, 2):
+        x, y = shingles(a[1], 4), shingles(b[1], 4)
+        if 100 * len(x & y) >= 80 * len(x | y):
+            assert nodes[of[a[0]]] & nodes[of[b[0]]]
+    assert sum(map(len, nodes.values())) < 0.3 * sum(r["n"] for r in sets.dropDuplicates(["key"]).collect())
+
+
 def test_a_hot_group_branches_by_a_few_rows(spark):
     """Beyond the first level the largest cluster of a node is a few rows."""
     rows = [(b"n", i.to_bytes(4, "big"), bytes(256), b"hot" if i % 10 else i.to_bytes(4, "big")) for i in range(2000)]

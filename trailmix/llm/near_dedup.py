@@ -18,15 +18,22 @@ group.
    keep.  Candidate links are sketches that agree in ``ALIKE`` of 64 tokens (5
    standard deviations below 0.8); of a node's candidates only a spanning
    forest is kept.
-3. *Confirmation.*  Candidate clusters are compared on their full sets.  Up to
+3. *The rest.*  What pivots, representatives and the depth may have parted is
+   the pairs of a large first child in different clusters.  All vertices of
+   such children are compared by the prefixes of their full sets, rarest
+   shingles first: two sets of that similarity share a shingle of their
+   prefixes, in whatever order.  A shingle of more than ``LEAF`` vertices is
+   compared with pivots and then every vertex outside its largest cluster with
+   all of its vertices, in blocks.  So no cap of step 2 loses a pair.
+4. *Confirmation.*  Candidate clusters are compared on their full sets.  Up to
    ``BLOCK`` vertices are compared at once; in a larger cluster every vertex
    is compared with pivots first and then the vertices that no pivot links are
    compared with all others, in blocks.  Pairs already joined need no further
    test, so a dense cluster costs about one test a vertex.
 
 Two sets of similarity 0.8 miss each other in the ``TREES * ROOTS`` first
-children with a probability of 0.2 ** 12; in large nodes, where they must also
-stay together further down, tests measure the recall.
+children with a probability of 0.2 ** 12.  The time of the rest is quadratic
+only in vertices that share most of their sets without being linked.
 
 Defined results.  Null text or none but white space: ``n_shingles`` 0, linked
 with nothing, its own component.  Null ids: never a component's id while it
@@ -45,15 +52,19 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trailmix.llm.common import Rows, give_back, kept_in_worker, pick, release, ship, whole_groups, written
+from trailmix.llm.common import Rows, give_back, hash63, kept_in_worker, pick, release, ship, whole_groups, written
 from trailmix.llm.components import components
 
 TOKENS = 64
 # One or two branches a node: a pair of similarity 0.8 goes on along 1.2 paths
 # on average, one under 0.66 along less than one.
 TREES, ROOTS, DEPTH = 4, 3, 8
-LEAF, BLOCK, PIVOTS, PIVOT_BLOCK, REPRESENTATIVES = 256, 128, 16, 4096, 16
+LEAF, BLOCK, PIVOTS, PIVOT_BLOCK, REPRESENTATIVES, REST_BLOCK = 256, 128, 16, 4096, 16, 1024
 ALIKE = 35
+# Shingles counted to order prefixes: those of a 64th of the vertices, of
+# ORDER_SAMPLE at least; the ORDER_KEPT most frequent ones count.  Links don't
+# depend on the order, only the time does.
+ORDER_SAMPLE, ORDER_KEPT = 10_000, 500_000
 _SLICE = 1 << 20
 _SPAN = 1 << 14
 
@@ -324,36 +335,87 @@ def _branched_on(level: DataFrame) -> DataFrame:
     return rows.filter("label <> main").select("node", "key", "sketch", "label").unionByName(some)
 
 
-def candidate_clusters(vertices: DataFrame, leaf: int = LEAF, depth: int = DEPTH) -> DataFrame:
+def _mixed(nodes: DataFrame, vertices: DataFrame, name: str) -> DataFrame:
+    """(node, size, key, sketch) of the nodes that hold more than one label."""
+    sizes = (nodes.groupBy("node").agg(F.count(F.lit(1)).alias("size"), F.min("label").alias("low"), F.max("label").alias("high"))
+             .filter("size > 1 and low <> high").select("node", "size"))
+    return written(nodes.join(sizes, "node").join(vertices, "key").select("node", "size", "key", "sketch"), name)
+
+
+def _labelled(rows: DataFrame, clusters: DataFrame) -> DataFrame:
+    """The rows with their cluster, or their own key, as label."""
+    return rows.join(clusters, "key", "left").withColumn("label", F.coalesce("cluster", "key")).drop("cluster")
+
+
+def _still_apart(rows: DataFrame, clusters: DataFrame) -> DataFrame:
+    """(key, label) of the rows of nodes that hold more than one cluster."""
+    own = _labelled(rows.select("node", "key"), clusters)
+    many = own.groupBy("node").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high")
+    return own.join(many, "node", "left_semi").select("key", "label").distinct()
+
+
+def _rest(shared: DataFrame, apart: DataFrame, vertices: DataFrame, clusters: DataFrame, leaf: int) -> DataFrame:
+    """Edges between vertices of different labels (key, label) that share a
+    node of their prefixes (node, key), each pair compared."""
+    many = shared.groupBy("node").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("node")
+    rows = _mixed(shared.join(many, "node").join(apart, "key"), vertices, "rest")
+    small = rows.filter(F.col("size") <= leaf).select(F.col("node").alias("task"), F.lit(0).alias("side"), "key", "sketch")
+    found = _compare(small, _alike, "sketch")
+    large = rows.filter(F.col("size") > leaf)
+    if large.isEmpty():
+        return found
+    found = written(found.union(_compare(_pivot_tasks(large, "node", "size", "sketch"), _alike, "sketch")), "rest-links")
+    level = _labelled(large, components(clusters.toDF("a", "b").union(found)).toDF("key", "cluster"))
+    main = (level.groupBy("node", "label").agg(F.count(F.lit(1)).alias("n")).groupBy("node")
+            .agg(F.max_by("label", F.struct("n", "label")).alias("main"), F.count(F.lit(1)).alias("labels")).filter("labels > 1"))
+    level = written(level.join(main, "node").select("node", "size", "key", "sketch", (F.col("label") != F.col("main")).alias("apart")), "rest-apart")
+    return found.union(_compare(_blocks(level, "node", "size", REST_BLOCK, "sketch", "apart"), _alike, "sketch"))
+
+
+def candidate_clusters(vertices: DataFrame, leaf: int = LEAF, depth: int = DEPTH,
+                       prefixes: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """(key, cluster) of vertices (key, sketch) whose sketches agree with
     another one's, from chosen-path trees.  After each level, vertices already
-    in one cluster need no comparison with each other."""
+    in one cluster need no comparison with each other.
+
+    ``prefixes`` gives (node, key) for the shingles of the prefixes of the
+    vertices (key, label) it is given; by these all pairs are compared that
+    large nodes may have left apart.  Without it such pairs meet by chance."""
     roots = [F.lit(5 * i % TOKENS) for i in range(TREES * ROOTS)]
     nodes = _children(vertices, F.lit(0), roots, None).withColumn("label", F.col("key"))
     edges = clusters = None
     for d in range(depth + 1):
-        sizes = (nodes.groupBy("node").agg(F.count(F.lit(1)).alias("size"), F.min("label").alias("low"), F.max("label").alias("high"))
-                 .filter("size > 1 and low <> high").select("node", "size"))
-        rows = written(nodes.join(sizes, "node").join(vertices, "key").select("node", "size", "key", "sketch"), f"nodes-{d}")
+        rows = _mixed(nodes, vertices, f"nodes-{d}")
         small = rows.filter(F.col("size") <= leaf).select(F.col("node").alias("task"), F.lit(0).alias("side"), "key", "sketch")
         found = _compare(small, _alike, "sketch")
         large = rows.filter(F.col("size") > leaf)
         deeper = not large.isEmpty()
+        if d == 0:
+            first_rows, capped = rows, large if deeper else None
         if deeper:
             found = found.union(_compare(_pivot_tasks(large, "node", "size", "sketch"), _alike, "sketch"))
         edges = found if edges is None else clusters.toDF("a", "b").union(found)
         clusters = components(edges).toDF("key", "cluster")
         if not deeper or d == depth:
             break
-        level = large.join(clusters, "key", "left").withColumn("label", F.coalesce("cluster", "key")).drop("cluster")
-        level = written(_branched_on(level), f"level-{d}")
-        release(rows)
+        level = written(_branched_on(_labelled(large, clusters)), f"level-{d}")
+        if d or prefixes is None:
+            release(rows)
         if level.isEmpty():
             break
         first, step = (F.pmod(F.xxhash64("node", F.lit(j)), F.lit(n)) for j, n in ((0, TOKENS), (1, TOKENS - 1)))
         # Half of the nodes branch twice.
         second = F.when(F.pmod(F.xxhash64("node", F.lit(2)), F.lit(2)) == 0, F.pmod(first + step + 1, F.lit(TOKENS)).cast("int"))
         nodes = _children(level, F.col("node"), [first.cast("int"), second], "label")
+    if prefixes is None or capped is None:
+        return clusters
+    apart = written(_still_apart(capped, clusters), "apart")
+    release(first_rows)
+    if apart.isEmpty():
+        return clusters
+    shared = written(prefixes(apart), "prefixes")
+    clusters = components(clusters.toDF("a", "b").union(_rest(shared, apart, vertices, clusters, leaf))).toDF("key", "cluster")
+    release(shared)
     return clusters
 
 
@@ -386,7 +448,11 @@ def near_groups(docs: DataFrame, k: int, percent: int, id_col: str, text_col: st
     rows = written(document_sets(docs, k, id_col, text_col), "sets")
     classes = written(rows.filter("key is not null").groupBy("key").agg(
         F.min("text_key").alias("text_key"), F.min_by("sketch", "text_key").alias("sketch")), "classes")
-    clusters = candidate_clusters(classes.select("key", "sketch"), leaf)
+
+    def prefixes(apart: DataFrame) -> DataFrame:
+        return prefix_shingles(docs, written(apart.join(classes, "key").select("key", "text_key"), "apart-texts"), k, percent, text_col)
+
+    clusters = candidate_clusters(classes.select("key", "sketch"), leaf, prefixes=prefixes)
     sizes = clusters.groupBy("cluster").agg(F.count(F.lit(1)).alias("size"))
     wanted = clusters.join(sizes, "cluster").join(classes.select("key", "text_key"), "key")
     sets = written(_full_sets(docs, wanted, k, id_col, text_col), "full-sets")
@@ -422,11 +488,62 @@ def drop_near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col:
     return sealed.restore(sealed.df.withColumn("place", own).join(going, "place", "left_anti"))
 
 
+def _texts(docs: DataFrame, wanted: DataFrame, text_col: str) -> DataFrame:
+    """(text_key, text) of the wanted keys, once each."""
+    return (pick(docs, text=text_col).withColumn("text_key", text_key(F.col("text")))
+            .join(wanted.select("text_key"), "text_key", "left_semi")
+            .groupBy("text_key").agg(F.max("text").alias("text")))
+
+
+def _frequent(docs: DataFrame, wanted: DataFrame, k: int, text_col: str) -> tuple[np.ndarray, np.ndarray]:
+    """The shingles that many of a sample of the wanted vertices have, sorted,
+    and their counts."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for _, some in _sliced(b.column("text")):
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(shingle_sets(some, k)).view(np.int64))], ["node"])
+
+    share = max(1 / 64, ORDER_SAMPLE / max(1, wanted.count()))
+    some = wanted if share >= 1 else wanted.filter(hash63(23, F.col("key")) < share * float(2**63))
+    found = (_texts(docs, some, text_col).select("text").mapInArrow(run, "node long").groupBy("node").agg(F.count(F.lit(1)).alias("n"))
+             .filter("n > 3").orderBy(F.desc("n"), "node").limit(ORDER_KEPT).toArrow())
+    names, counts = found.column("node").to_numpy().view(np.uint64), found.column("n").to_numpy()
+    order = np.argsort(names)
+    return names[order], counts[order]
+
+
+def prefix_shingles(docs: DataFrame, wanted: DataFrame, k: int, percent: int, text_col: str = "text") -> DataFrame:
+    """(node, key): the shingles of the prefixes of the wanted vertices (key,
+    text_key).  Sets that are similar enough share at least ``percent`` of
+    either one's shingles, so the least shingle they share, in an order that
+    holds for all, has at most the others before it: it is in both prefixes."""
+    shared = docs.sparkSession.sparkContext.broadcast(_frequent(docs, wanted, k, text_col))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, counts = shared.value
+        for b in batches:
+            for at, some in _sliced(b.column("text")):
+                firsts = []
+                for grams in shingle_sets(some, k):
+                    seen = np.zeros(len(grams), np.int64)
+                    if len(names):
+                        i = np.minimum(np.searchsorted(names, grams), len(names) - 1)
+                        seen = np.where(names[i] == grams, counts[i], 0)
+                    firsts.append(grams[np.argsort(seen, kind="stable")][:prefix_length(len(grams), percent)])
+                key = b.column("key").slice(at, len(some)).take(pa.array(np.repeat(np.arange(len(some)), [len(f) for f in firsts])))
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(firsts).view(np.int64)), key], ["node", "key"])
+
+    return _texts(docs, wanted, text_col).join(wanted, "text_key").select("key", "text").mapInArrow(run, "node long, key binary")
+
+
+def prefix_length(n: int, percent: int) -> int:
+    """Shingles of a set of ``n`` of which a similar enough set shares one."""
+    return min(n, n - -(-percent * n // 100) + 1)
+
+
 def _full_sets(docs: DataFrame, wanted: DataFrame, k: int, id_col: str, text_col: str) -> DataFrame:
     """(cluster, size, key, grams) of the wanted vertices, from one text each."""
-    texts = (pick(docs, text=text_col).withColumn("text_key", text_key(F.col("text")))
-             .join(wanted.select("text_key"), "text_key", "left_semi")
-             .groupBy("text_key").agg(F.max("text").alias("text")))
+    texts = _texts(docs, wanted, text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
