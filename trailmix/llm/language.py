@@ -55,6 +55,7 @@ FAMILIAR_WORDS = 250_000
 UNKNOWN = "und"
 _WORD = re.compile(r"[^\W\d_]+")
 _GROUP_WORDS = 400_000
+_LEARNED_AT_ONCE = 8_192
 
 
 def _features(word: str, lexicon: dict[str, int]) -> list[int]:
@@ -77,6 +78,63 @@ def _features(word: str, lexicon: dict[str, int]) -> list[int]:
     return [zlib.crc32(n.encode()) for n in names]
 
 
+def _crc_table() -> np.ndarray:
+    c = np.arange(256, dtype=np.uint32)
+    for _ in range(8):
+        c = np.where(c & 1, (c >> 1) ^ np.uint32(0xEDB88320), c >> 1).astype(np.uint32)
+    return c
+
+
+_CRC, _ONES = _crc_table(), np.uint32(0xFFFFFFFF)
+
+
+def _feature_table(words: list[str], lexicon: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
+    """``_features`` of many words: all in one array, and how many each has.
+    ASCII words outside the lexicon are hashed a letter of all of them at once."""
+    low = [w.lower() if w.isascii() else w for w in words]
+    fast = np.fromiter((w.isascii() and w.isalpha() and w not in lexicon for w in low), bool, len(low))
+    raw = [w.encode() for w, f in zip(low, fast, strict=True) if f]
+    slow = [_features(w, lexicon) for w, f in zip(words, fast, strict=True) if not f]
+    n = np.fromiter(map(len, raw), np.int64, len(raw))
+    sizes = np.zeros(len(words), np.int64)
+    sizes[fast], sizes[~fast] = 1 + 2 * np.minimum(n, 3) + 3 * n, [len(f) for f in slow]
+    ends = np.cumsum(sizes)
+    flat = np.empty(int(ends[-1]) if len(ends) else 0, np.int64)
+    if slow:
+        at = ends[~fast] - sizes[~fast]
+        for a, f in zip(at.tolist(), slow, strict=True):
+            flat[a:a + len(f)] = f
+    if not raw:
+        return flat, sizes
+    buf = np.frombuffer(b"<" + b"><".join(raw) + b">   ", np.uint8)
+    first, at = np.cumsum(n + 2) - n - 1, ends[fast] - sizes[fast]     # a word's first letter, its first feature
+
+    def fed(state, byte):
+        return _CRC[(state ^ byte) & 255] ^ (state >> 8)
+
+    flat[at] = [zlib.crc32(b"w" + r) for r in raw]
+    at = at + 1
+    for mark, from_end in ((b"p", False), (b"s", True)):
+        marked = fed(_ONES, np.uint32(mark[0]))
+        for k in (1, 2, 3):
+            some = n >= k
+            state, start = marked, (first + n - k if from_end else first)[some]
+            for j in range(k):
+                state = fed(state, buf[start + j])
+            flat[at[some]] = state ^ _ONES
+            at = at + some
+    last = len(buf) - 3
+    state = fed(fed(_ONES, buf[:last]), buf[1:last + 1])
+    for k in (2, 3, 4):
+        if k > 2:
+            state = fed(state, buf[k - 1:last + k - 1])
+        count = n + 3 - k
+        step = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
+        flat[np.repeat(at, count) + step] = state[np.repeat(first - 1, count) + step] ^ _ONES
+        at = at + count
+    return flat, sizes
+
+
 def word_features(word: str, lexicon: dict[str, int]) -> list[int]:
     """Feature slots of a word; empty if it has no letter."""
     return [x % FEATURES for x in _features(word, lexicon)]
@@ -91,6 +149,12 @@ class Model:
     name: str = field(default_factory=lambda: uuid.uuid4().hex)
 
 
+def _grown(table: np.ndarray, rows: int) -> np.ndarray:
+    while rows > len(table):
+        table = np.concatenate([table, np.zeros_like(table)])
+    return table
+
+
 class Tagger:
     """A model with the words scored so far."""
 
@@ -102,22 +166,27 @@ class Tagger:
         self.step = np.exp(model.moves).astype(np.float32)
 
     def _learn(self, new: list[str]) -> None:
-        feats = [word_features(w, self.model.lexicon) for w in new]
-        some = [k for k, f in enumerate(feats) if f]
-        for w, f in zip(new, feats, strict=True):
-            if not f:
-                self.known[w] = -1
-        if not some:
+        for lo in range(0, len(new), _LEARNED_AT_ONCE):
+            self._score(new[lo:lo + _LEARNED_AT_ONCE])
+
+    def _score(self, new: list[str]) -> None:
+        flat, sizes = _feature_table(new, self.model.lexicon)
+        some = np.flatnonzero(sizes)
+        if len(some) < len(new):
+            self.known.update((new[k], -1) for k in np.flatnonzero(sizes == 0))
+        if not len(some):
             return
-        flat = np.fromiter((x for k in some for x in feats[k]), np.int64)
-        starts = np.cumsum([0, *(len(feats[k]) for k in some[:-1])])
-        made = np.add.reduceat(self.model.weights[flat], starts, axis=0)
-        at = self.used
-        while at + len(some) > len(self.scores):
-            self.scores = np.concatenate([self.scores, np.zeros_like(self.scores)])
-        self.scores[at:at + len(some)] = np.exp(made - made.max(1, keepdims=True))
-        self.known.update((new[k], at + i) for i, k in enumerate(some))
-        self.used = at + len(some)
+        starts = np.cumsum(sizes[some]) - sizes[some]
+        made = np.add.reduceat(self.model.weights[flat % FEATURES], starts, axis=0)
+        at, to = self.used, self.used + len(some)
+        self.scores = _grown(self.scores, to)
+        self.scores[at:to] = np.exp(made - made.max(1, keepdims=True))
+        self.known.update(zip((new[k] for k in some), range(at, to), strict=True))
+        self.used = to
+        self._noted(flat, starts, at, to)
+
+    def _noted(self, flat: np.ndarray, starts: np.ndarray, at: int, to: int) -> None:
+        """What else is kept for words ``at`` to ``to``, from their features."""
 
     def word_ids(self, texts: list[str | None]) -> list[np.ndarray]:
         """Score rows of each text's words with letters."""
