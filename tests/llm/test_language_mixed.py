@@ -1,10 +1,24 @@
 import random
 
+import numpy as np
 import pytest
 
 from tests.conftest import SF_SMALL
 from tests.llm.cases import plain
-from trailmix.llm.language import LEAST_SEEN, familiar, keep_identified, seen_features, training_sample
+from trailmix.llm.language import (
+    _WORD,
+    FIELD_SLOTS,
+    LEAST_SEEN,
+    Judge,
+    _feature_table,
+    _features,
+    familiar,
+    keep_identified,
+    seen_by_language,
+    seen_features,
+    train,
+    training_sample,
+)
 
 SF = SF_SMALL.replace("0.001", "0.01")
 FOREIGN = {
@@ -52,3 +66,41 @@ def test_unlearned_languages_are_told_apart(learned):
     assert all(x < LEAST_SEEN for x in shares.values()), shares
     assert min(familiar(mixed(learned), seen)) > LEAST_SEEN + 0.1
     assert familiar(["12 !!", "", None], seen) == [None] * 3
+
+
+def test_words_are_judged_by_the_language_the_field_gives_them(spark):
+    """Two languages of four letters each: texts of both stay, words that are
+    half of one and half of the other are in neither."""
+    rng = random.Random(5)
+    word = {lang: lambda letters=letters: "".join(rng.choices(letters, k=4)) for lang, letters in (("a", "abcd"), ("w", "wxyz"))}
+    rows = [(i, " ".join(word["aw"[i % 2]]() for _ in range(100)), "aw"[i % 2], "s", 1) for i in range(120)]
+    both = [(1000 + i, " ".join(word["a" if k // 10 % 2 else "w"]() for k in range(60)), None, "both", 1) for i in range(10)]
+    blend = [(2000 + i, " ".join(word["a"]() + word["w"]() for _ in range(60)), None, "blend", 1) for i in range(10)]
+    seen = seen_features([(r[1], r[2]) for r in rows])
+    assert min(familiar([r[1] for r in blend], seen)) > LEAST_SEEN
+    kept = {r["doc_id"] for r in keep_identified(plain(spark, rows + both + blend)).collect()}
+    assert kept == {r[0] for r in rows + both}
+
+
+def test_evidence_equals_posteriors_of_each_word(learned):
+    samples = training_sample(learned)
+    model = train(samples, rounds=5)
+    judge = Judge(model, seen_by_language(samples, model))
+    texts = [*mixed(learned, sizes=(1, 10), n=3), *FOREIGN.values(), "12 !!", None]
+    got = judge.evidence(texts)
+    by = [{x % FIELD_SLOTS for t, lang in samples if lang == label for w in _WORD.findall(t) for x in _features(w, model.lexicon)}
+          for label in model.labels]
+    rows = judge.word_ids(texts)
+    for text, each, one in zip(texts, judge.posteriors(rows, each=True), got, strict=True):
+        shares = [[sum(x % FIELD_SLOTS in b for x in f) / len(f) for b in by] for w in _WORD.findall(text or "") if (f := _features(w, model.lexicon))]
+        assert one is None if not shares else abs(one - float((each * np.array(shares)).sum()) / len(shares)) < 1e-4
+    assert all(x < LEAST_SEEN for x in judge.evidence(list(FOREIGN.values())))
+
+
+def test_features_of_many_words_equal_those_of_each(learned):
+    words = sorted({w for r in learned.limit(200).collect() for w in _WORD.findall(r["text"])}) + ["²", "a", "ab", "K", "É", "Kk", "z" * 300, "ß", "日本"]
+    for lexicon in ({}, {w.lower(): k % 3 for k, w in enumerate(words) if k % 5 == 0}):
+        flat, sizes = _feature_table(words, lexicon)
+        assert flat.tolist() == [x for w in words for x in _features(w, lexicon)]
+        assert sizes.tolist() == [len(_features(w, lexicon)) for w in words]
+    assert [len(x) for x in _feature_table([], {})] == [0, 0]

@@ -12,8 +12,9 @@ mean posterior, which is its score.  ``tag_words`` gives the word labels.
 
 ``keep_identified`` does not judge by the score, which is a share: in a text of
 several learned languages no language has a large one, and a text of none may
-have a label with a large one.  It judges by how much of a text's word features
-the training words have.
+have a label with a large one.  The field gives each word its languages, by the
+posteriors of the forward-backward pass, and the text is judged by how much of
+its words' features the training words of those languages have (``Judge``).
 
 Bounds: training takes about ``TRAIN_DOCS`` documents for each language (least
 hash of the id) and ``TRAIN_CHARS`` characters from a hashed place in each,
@@ -44,6 +45,7 @@ from trailmix.llm.common import Rows, give_back, hash63, kept_in_worker, pick, s
 FEATURES = 1 << 16
 SEEN_FEATURES = 1 << 23
 LEAST_SEEN = 0.6
+FIELD_SLOTS = 1 << 22
 TRAIN_DOCS = 400
 TRAIN_CHARS = 800
 STRETCH = 40
@@ -158,8 +160,8 @@ def _grown(table: np.ndarray, rows: int) -> np.ndarray:
 class Tagger:
     """A model with the words scored so far."""
 
-    def __init__(self, model: Model):
-        self.model = model
+    def __init__(self, model: Model, words: int = CACHE_WORDS):
+        self.model, self.limit = model, words
         self.known: dict[str, int] = {}
         self.used = 0
         self.scores = np.zeros((1024, len(model.labels)), np.float32)
@@ -190,7 +192,7 @@ class Tagger:
 
     def word_ids(self, texts: list[str | None]) -> list[np.ndarray]:
         """Score rows of each text's words with letters."""
-        if len(self.known) > CACHE_WORDS:
+        if len(self.known) > self.limit:
             self.known, self.used = {}, 0
         cut = [_WORD.findall(t or "") for t in texts]
         new = set()
@@ -202,8 +204,9 @@ class Tagger:
         rows = [np.fromiter(map(self.known.__getitem__, c), np.int64, len(c)) for c in cut]
         return [r[r >= 0] if len(r) and r.min() < 0 else r for r in rows]
 
-    def posteriors(self, rows: list[np.ndarray], each: bool = False) -> list[np.ndarray]:
-        """Posterior over labels, summed over each sequence (or of each word)."""
+    def posteriors(self, rows: list[np.ndarray], each: bool = False, worth: np.ndarray | None = None) -> list[np.ndarray]:
+        """Posterior over labels, summed over each sequence (or of each word);
+        ``worth`` has a weight for each word's score row and label."""
         order = sorted(range(len(rows)), key=lambda k: -len(rows[k]))
         order = [k for k in order if len(rows[k])]
         n_labels = len(self.model.labels)
@@ -235,7 +238,7 @@ class Tagger:
             if each:
                 for d in range(n):
                     out[order[d]][t] = g[d]
-            total[:n] += g
+            total[:n] += g if worth is None else g * worth[ids[now:now + n]]
             b = (emit[now:now + n] * back[:n]) @ flipped
             back[:n] = b / b.sum(1, keepdims=True)
         if not each:
@@ -243,22 +246,58 @@ class Tagger:
                 out[k] = total[d]
         return out
 
-    def languages(self, texts: list[str | None]) -> list[tuple[str, float]]:
-        rows = self.word_ids(texts)
-        out: list[tuple[str, float]] = []
+    def _summed(self, rows: list[np.ndarray], worth: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Each sequence with its sum of posteriors, some words at a time."""
         lo = 0
         while lo < len(rows):
             hi, n = lo, 0
             while hi < len(rows) and (hi == lo or n + len(rows[hi]) <= _GROUP_WORDS):
                 n += len(rows[hi])
                 hi += 1
-            for r, total in zip(rows[lo:hi], self.posteriors(rows[lo:hi]), strict=True):
-                best = int(total.argmax())
-                out.append((self.model.labels[best], min(1.0, float(total[best] / len(r)))) if len(r) else (UNKNOWN, 0.0))
+            yield from zip(rows[lo:hi], self.posteriors(rows[lo:hi], worth=worth), strict=True)
             lo = hi
+
+    def languages(self, texts: list[str | None]) -> list[tuple[str, float]]:
+        out: list[tuple[str, float]] = []
+        for r, total in self._summed(self.word_ids(texts)):
+            best = int(total.argmax())
+            out.append((self.model.labels[best], min(1.0, float(total[best] / len(r)))) if len(r) else (UNKNOWN, 0.0))
         return out
 
 
+def seen_by_language(samples: list[tuple[str, str]], model: Model) -> np.ndarray:
+    """FIELD_SLOTS x labels, packed: which languages' training words have a
+    feature of that slot."""
+    seen = np.zeros((FIELD_SLOTS, len(model.labels)), bool)
+    for k, label in enumerate(model.labels):
+        words = sorted({w for t, lang in samples if lang == label for w in _WORD.findall(t)})
+        seen[_feature_table(words, model.lexicon)[0] % FIELD_SLOTS, k] = True
+    return np.packbits(seen, axis=1)
+
+
+class Judge(Tagger):
+    """The field, with the share of each word's features that the training
+    words of each language have."""
+
+    def __init__(self, model: Model, seen: np.ndarray, words: int = FAMILIAR_WORDS):
+        super().__init__(model, words)
+        self.seen = seen
+        self.shares = np.zeros_like(self.scores)
+
+    def _noted(self, flat: np.ndarray, starts: np.ndarray, at: int, to: int) -> None:
+        has = np.unpackbits(self.seen[flat % FIELD_SLOTS], axis=1, count=len(self.model.labels))
+        self.shares = _grown(self.shares, to)
+        sizes = np.diff(np.append(starts, len(flat)))
+        self.shares[at:to] = np.add.reduceat(has, starts, axis=0, dtype=np.float32) / sizes[:, None]
+
+    def evidence(self, texts: list[str | None]) -> list[float | None]:
+        """Mean over a text's words of the share of their features known from
+        the language that the field gives them (by its posterior); None for a
+        text without letters."""
+        rows = self.word_ids(texts)
+        return [float(total.sum() / len(r)) if len(r) else None for r, total in self._summed(rows, self.shares)]
+
+
 def _sequences(samples: list[tuple[list[str], int]], rng) -> list[tuple[list[str], list[int]]]:
     """Training sequences of STRETCH words: half from one text, half that
     switch between texts every few words."""
@@ -444,22 +483,24 @@ def familiar(texts: list[str | None], seen: np.ndarray) -> list[float | None]:
 def keep_identified(docs: DataFrame, least_seen: float = LEAST_SEEN, id_col: str = "doc_id", text_col: str = "text",
                     lang_col: str = "lang") -> DataFrame:
     """The rows, with all their columns, whose text is in learned languages,
-    one or several: training words have at least that share of its features."""
-    seen = seen_features(training_sample(docs, id_col, text_col, lang_col))
+    one or several: training words of the languages that the field gives its
+    words have at least that share of their features."""
+    samples = training_sample(docs, id_col, text_col, lang_col)
+    model = train(samples)
     rows = Rows(docs)
-    if not seen.any():
+    if model is None:
         return docs.limit(0)
     spark = docs.sparkSession
     ship(spark)
-    shared, name = spark.sparkContext.broadcast(np.packbits(seen)), uuid.uuid4().hex  # SEEN_FEATURES bits
-    own = rows.own[rows.names.index(text_col)]
+    shared = spark.sparkContext.broadcast((model, seen_by_language(samples, model)))  # and FIELD_SLOTS x languages bits
+    own, model_name = rows.own[rows.names.index(text_col)], model.name
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = kept_in_worker("language stage", name, lambda: Familiar(np.unpackbits(shared.value)))
+        judge = kept_in_worker("language stage", model_name, lambda: Judge(*shared.value))
         for b in batches:
             keep: list[bool] = []
             for lo in range(0, b.num_rows, 512):
-                keep += [x is not None and x >= least_seen for x in words.of(b.column(own).slice(lo, 512).to_pylist())]
+                keep += [x is not None and x >= least_seen for x in judge.evidence(b.column(own).slice(lo, 512).to_pylist())]
             yield b.filter(pa.array(keep, pa.bool_()))
             give_back()
 
