@@ -5,6 +5,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm.cases import awkward, awkward_rows, empty, plain, words
 from trailmix.llm import near_dedup, queries
@@ -250,6 +251,43 @@ def test_a_hot_group_branches_by_a_few_rows(spark):
     assert out.count() == 200 + near_dedup.REPRESENTATIVES
 
 
+def test_only_wanted_texts_are_sent(spark):
+    """Before a text goes to the join with the wanted ones a sieve takes most
+    others out, and none that is wanted."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = [(i, f"text {i}", "en", "s", 1) for i in range(8000)]
+        keyed = plain(spark, rows).withColumn("text_key", near_dedup.text_key(F.col("text")))
+        wanted = near_dedup.written(keyed.filter("doc_id % 4 = 0").select("text_key"), "wanted")
+        df = near_dedup._texts(plain(spark, rows), wanted, "text")
+        assert sorted(r["text"] for r in df.collect()) == sorted(f"text {i}" for i in range(0, 8000, 4))
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert re.search(r"Exchange hashpartitioning\(text_key(?:(?!Exchange|Join).)*ArrowEvalPython \[holds", plan, re.S)
+        passed = keyed.filter(near_dedup._sieve(wanted, "text_key")(F.col("text_key")))
+        assert passed.filter("doc_id % 4 = 0").count() == 2000
+        assert passed.filter("doc_id % 4 > 0").count() < 6000 / 50
+        none = near_dedup._sieve(wanted.limit(0), "text_key")
+        assert keyed.filter(none(F.col("text_key"))).count() == 0
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_a_vertex_is_looked_up_once(spark):
+    """Labels of a vertex in many nodes come from one row of the left join."""
+    rows = spark.createDataFrame([(b"n%d" % n, b"k%d" % i) for n in range(12) for i in range(50)], "node binary, key binary")
+    clusters = spark.createDataFrame([(b"k%d" % i, b"k0") for i in range(20)], "key binary, cluster binary")
+    asked = []
+    real, near_dedup.written = near_dedup.written, lambda df, name: asked.append(df) or real(df, name)
+    try:
+        out = near_dedup._labelled(rows, clusters).collect()
+    finally:
+        near_dedup.written = real
+    assert len(asked) == 1
+    assert Counter((bytes(r["key"]), bytes(r["label"])) for r in out) == {(b"k%d" % i, b"k0" if i < 20 else b"k%d" % i): 12 for i in range(50)}
+    plan = asked[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert re.search(r"Join LeftOuter[^\n]*\n[ :+-]*Aggregate \[key", plan), plan
+
+
 def test_query(spark):
     from tests.conftest import SF_SMALL
     rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()]

@@ -65,6 +65,9 @@ ALIKE = 35
 # ORDER_SAMPLE at least; the ORDER_KEPT most frequent ones count.  Links don't
 # depend on the order, only the time does.
 ORDER_SAMPLE, ORDER_KEPT = 10_000, 500_000
+# Bits of a sieve for each wanted key, in all at most (64 MB), and those that a
+# key sets.  Results don't depend on them, only what is sent does.
+SIEVE_BITS, SIEVE_MOST, SIEVE_HASHES, _BUCKET = 16, 1 << 29, 4, 1 << 15
 _SLICE = 1 << 20
 _SPAN = 1 << 14
 
@@ -177,6 +180,34 @@ def document_sets(docs: DataFrame, k: int, id_col: str, text_col: str) -> DataFr
     return rows.mapInArrow(run, "id long, text_key binary, n long, key binary, sketch binary")
 
 
+def _sieve(wanted: DataFrame, key: str) -> Callable[[Column], Column]:
+    """A test that holds for every wanted key and for about one in 400 of the
+    others (a Bloom filter): rows that fail it need not be sent to a join with
+    the wanted ones."""
+    size = max(_BUCKET, min(SIEVE_MOST, SIEVE_BITS * wanted.count()))
+
+    def places(column: Column) -> list[Column]:
+        return [F.pmod(F.xxhash64(F.lit(j), column), F.lit(size)) + 1 for j in range(SIEVE_HASHES)]
+
+    place = wanted.select(F.explode(F.array(*places(F.col(key)))).alias("place"))
+    place = place.select(F.bitmap_bucket_number("place").alias("bucket"), F.bitmap_bit_position("place").alias("bit"))
+    made = place.repartition("bucket").groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("bits")).toArrow()
+    bits = np.zeros((-(-size // _BUCKET), _BUCKET // 8), np.uint8)
+    for bucket, some in zip(made.column("bucket").to_pylist(), made.column("bits").to_pylist(), strict=True):
+        bits[bucket - 1] = np.frombuffer(some, np.uint8)
+    shared = wanted.sparkSession.sparkContext.broadcast(bits.reshape(-1))
+
+    def _set(places: pa.Array) -> np.ndarray:
+        at = places.to_numpy(zero_copy_only=False) - 1
+        return (shared.value[at >> 3] >> (at & 7).astype(np.uint8)) & 1
+
+    @F.arrow_udf("boolean")
+    def holds(*places: pa.Array) -> pa.Array:
+        return pa.array(np.logical_and.reduce([_set(p) for p in places]))
+
+    return lambda column: holds(*places(column))
+
+
 class Forest:
     """Joined items of one group, and the joins made."""
 
@@ -322,17 +353,16 @@ def _children(rows: DataFrame, parent, picks: list, label: str | None) -> DataFr
 
 
 def _branched_on(level: DataFrame) -> DataFrame:
-    """Of the rows (node, key, sketch, label) of large nodes those that branch
-    again: all outside the node's main label, and REPRESENTATIVES of that one.
-    Nodes of one label are done."""
+    """Of the rows (node, key, label) of large nodes those that branch again: all
+    outside the node's main label, and REPRESENTATIVES of that one.  Nodes of one
+    label are done."""
     counts = level.groupBy("node", "label").agg(F.count(F.lit(1)).alias("n"))
     main = (counts.groupBy("node").agg(F.max_by("label", F.struct("n", "label")).alias("main"), F.count(F.lit(1)).alias("labels"))
             .filter("labels > 1").select("node", "main"))
     rows = level.join(main, "node")
     part = F.pmod(F.xxhash64("key", F.lit(3)), F.lit(REPRESENTATIVES)).alias("part")
-    some = (rows.filter("label = main").groupBy("node", "label", part).agg(F.min_by(F.struct("key", "sketch"), "key").alias("one"))
-            .select("node", "one.key", "one.sketch", "label"))
-    return rows.filter("label <> main").select("node", "key", "sketch", "label").unionByName(some)
+    some = rows.filter("label = main").groupBy("node", "label", part).agg(F.min("key").alias("key")).select("node", "key", "label")
+    return rows.filter("label <> main").select("node", "key", "label").unionByName(some)
 
 
 def _mixed(nodes: DataFrame, vertices: DataFrame, name: str) -> DataFrame:
@@ -343,8 +373,10 @@ def _mixed(nodes: DataFrame, vertices: DataFrame, name: str) -> DataFrame:
 
 
 def _labelled(rows: DataFrame, clusters: DataFrame) -> DataFrame:
-    """The rows with their cluster, or their own key, as label."""
-    return rows.join(clusters, "key", "left").withColumn("label", F.coalesce("cluster", "key")).drop("cluster")
+    """The rows (node, key, [size]) with their cluster, or their own key, as
+    label, written once: a vertex is looked up once, in however many nodes it is."""
+    own = rows.select("key").distinct().join(clusters, "key", "left").select("key", F.coalesce("cluster", "key").alias("label"))
+    return written(rows.join(own, "key"), "labels")
 
 
 def _still_apart(rows: DataFrame, clusters: DataFrame) -> DataFrame:
@@ -365,10 +397,11 @@ def _rest(shared: DataFrame, apart: DataFrame, vertices: DataFrame, clusters: Da
     if large.isEmpty():
         return found
     found = written(found.union(_compare(_pivot_tasks(large, "node", "size", "sketch"), _alike, "sketch")), "rest-links")
-    level = _labelled(large, components(clusters.toDF("a", "b").union(found)).toDF("key", "cluster"))
+    level = _labelled(large.select("node", "size", "key"), components(clusters.toDF("a", "b").union(found)).toDF("key", "cluster"))
     main = (level.groupBy("node", "label").agg(F.count(F.lit(1)).alias("n")).groupBy("node")
             .agg(F.max_by("label", F.struct("n", "label")).alias("main"), F.count(F.lit(1)).alias("labels")).filter("labels > 1"))
-    level = written(level.join(main, "node").select("node", "size", "key", "sketch", (F.col("label") != F.col("main")).alias("apart")), "rest-apart")
+    level = level.join(main, "node").select("node", "size", "key", (F.col("label") != F.col("main")).alias("apart"))
+    level = written(level.join(vertices, "key").select("node", "size", "key", "sketch", "apart"), "rest-apart")
     return found.union(_compare(_blocks(level, "node", "size", REST_BLOCK, "sketch", "apart"), _alike, "sketch"))
 
 
@@ -398,7 +431,7 @@ def candidate_clusters(vertices: DataFrame, leaf: int = LEAF, depth: int = DEPTH
         clusters = components(edges).toDF("key", "cluster")
         if not deeper or d == depth:
             break
-        level = written(_branched_on(_labelled(large, clusters)), f"level-{d}")
+        level = written(_branched_on(_labelled(large.select("node", "key"), clusters)).join(vertices, "key"), f"level-{d}")
         if d or prefixes is None:
             release(rows)
         if level.isEmpty():
@@ -454,7 +487,7 @@ def near_groups(docs: DataFrame, k: int, percent: int, id_col: str, text_col: st
 
     clusters = candidate_clusters(classes.select("key", "sketch"), leaf, prefixes=prefixes)
     sizes = clusters.groupBy("cluster").agg(F.count(F.lit(1)).alias("size"))
-    wanted = clusters.join(sizes, "cluster").join(classes.select("key", "text_key"), "key")
+    wanted = written(clusters.join(sizes, "cluster").join(classes.select("key", "text_key"), "key"), "wanted")
     sets = written(_full_sets(docs, wanted, k, id_col, text_col), "full-sets")
     roots = components(confirmed_edges(sets, percent, block)).select(F.col("node").alias("key"), "root")
     return rows.join(roots, "key", "left").select("id", "n", "text_key", F.coalesce("root", "key").alias("root"))
@@ -490,7 +523,8 @@ def drop_near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col:
 
 def _texts(docs: DataFrame, wanted: DataFrame, text_col: str) -> DataFrame:
     """(text_key, text) of the wanted keys, once each."""
-    return (pick(docs, text=text_col).withColumn("text_key", text_key(F.col("text")))
+    rows = pick(docs, text=text_col).withColumn("text_key", text_key(F.col("text")))
+    return (rows.filter(_sieve(wanted, "text_key")(F.col("text_key")))
             .join(wanted.select("text_key"), "text_key", "left_semi")
             .groupBy("text_key").agg(F.max("text").alias("text")))
 
@@ -543,13 +577,14 @@ def prefix_length(n: int, percent: int) -> int:
 
 def _full_sets(docs: DataFrame, wanted: DataFrame, k: int, id_col: str, text_col: str) -> DataFrame:
     """(cluster, size, key, grams) of the wanted vertices, from one text each."""
-    texts = _texts(docs, wanted, text_col)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for at, some in _sliced(b.column("text")):
                 sets = shingle_sets(some, k)
-                yield pa.RecordBatch.from_arrays([b.column("text_key").slice(at, len(some)), pa.array([s.tobytes() for s in sets], pa.binary())],
-                                                 ["text_key", "grams"])
+                part = b.slice(at, len(some))
+                yield pa.RecordBatch.from_arrays([*part.columns[:3], pa.array([s.tobytes() for s in sets], pa.binary())],
+                                                 ["cluster", "size", "key", "grams"])
 
-    return texts.mapInArrow(run, "text_key binary, grams binary").join(wanted, "text_key").select("cluster", "size", "key", "grams")
+    # Joined before the sets are made: texts and wanted rows lie by text_key.
+    rows = _texts(docs, wanted, text_col).join(wanted, "text_key").select("cluster", "size", "key", "text")
+    return rows.mapInArrow(run, "cluster binary, size long, key binary, grams binary")
