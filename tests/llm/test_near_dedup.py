@@ -288,6 +288,16 @@ def test_a_vertex_is_looked_up_once(spark):
     assert re.search(r"Join LeftOuter[^\n]*\n[ :+-]*Aggregate \[key", plan), plan
 
 
+def test_rows_that_stay_do_not_go_to_the_join(spark):
+    """Only rows that may go are sent; all columns of the others stay."""
+    rows = near_rows(12, copies=10)
+    df = plain(spark, rows)
+    kept = drop_near_duplicates(df)
+    keep = {i for (i, n, c, k), _ in brute(rows, 5, 80).items() if k}
+    assert sorted(tuple(r) for r in kept.collect()) == sorted(r for r in rows if r[0] in keep)
+    assert "holds" in kept._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_query(spark):
     from tests.conftest import SF_SMALL
     rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()]

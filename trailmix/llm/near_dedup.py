@@ -512,13 +512,14 @@ def drop_near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col:
     rows = written(near_groups(docs, k, percent, id_col, text_col), "groups")
     place = F.struct(F.col("id").isNull().alias("none"), F.coalesce("id", F.lit(0)).alias("id"), "text_key")
     first = rows.filter("root is not null").groupBy("root").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("members"))
-    going = (rows.join(first.filter("members > 1"), "root").filter(place != F.col("first"))
-             .select(place.alias("place")).distinct())
+    going = written(rows.join(first.filter("members > 1"), "root").filter(place != F.col("first"))
+                    .select(place.alias("place")).distinct(), "going")
     sealed = Rows(docs)
     ident, text = sealed[id_col], sealed[text_col]
     own = F.struct(ident.isNull().alias("none"), F.coalesce(ident, F.lit(0)).alias("id"),
                    text_key(text).alias("text_key"))
-    return sealed.restore(sealed.df.withColumn("place", own).join(going, "place", "left_anti"))
+    placed, may = sealed.df.withColumn("place", own), _sieve(going, "place")(F.col("place"))
+    return sealed.restore(placed.filter(~may)).union(sealed.restore(placed.filter(may).join(going, "place", "left_anti")))
 
 
 def _texts(docs: DataFrame, wanted: DataFrame, text_col: str) -> DataFrame:
