@@ -6,12 +6,13 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 from tokenizers import Tokenizer
 
 from tests.conftest import SF_SMALL
 from tests.llm.cases import awkward, awkward_rows, empty
-from trailmix.llm import queries
-from trailmix.llm.packing import fill, pack_documents, packed_sequences, plan_windows
+from trailmix.llm import packing, queries
+from trailmix.llm.packing import document_pieces, fill, pack_documents, packed_sequences, plan_windows
 
 WORDS = P.path("word_bpe_49k.json")
 
@@ -97,3 +98,27 @@ def test_query(spark):
     n = check([r.asDict() for r in queries.op4_packing(spark, SF_SMALL).collect()], docs, 4096)
     tokens = sum(len(x[0]) for x in docs.values())
     assert n == -(-tokens // 4096)
+
+
+def test_few_documents_are_encoded_at_a_time(monkeypatch):
+    class Docs:
+        sparkSession = None
+
+        def mapInArrow(self, f, schema):
+            return f
+
+    class Encoder:
+        def encode(self, texts):
+            sizes.append(len(texts))
+            return [bytes(4)] * len(texts)
+
+    sizes, given = [], []
+    monkeypatch.setattr(packing, "ship", lambda spark: None)
+    monkeypatch.setattr(packing, "pick", lambda docs, **names: docs)
+    monkeypatch.setattr(packing, "encoder", lambda path, spaced: Encoder())
+    monkeypatch.setattr(packing, "give_back", lambda: given.append(len(sizes)), raising=False)
+    batch = pa.RecordBatch.from_pydict({"id": list(range(1300)), "text": ["a"] * 1300})
+    out = list(document_pieces(Docs(), 64, WORDS, 2)(iter([batch, batch.slice(0, 0), batch])))
+    assert [i for b in out for i in b.column("id").to_pylist()] == [*range(1300)] * 2
+    assert max(sizes) <= 512 and sum(sizes) == 2600
+    assert given == [3, 3, 6]  # freed memory goes back after every batch

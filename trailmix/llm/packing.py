@@ -27,10 +27,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trailmix.llm.common import hash63, pick, rank_bits, ranked, ship, top_bits, written
+from trailmix.llm.common import give_back, hash63, pick, rank_bits, ranked, ship, top_bits, written
 from trailmix.llm.tokens import encoder
 
 PIECES = "id long, start long, length long, ids_crc32 long, doc_tokens long"
+# Documents encoded at a time.
+_SLICE_ROWS = 512
 
 
 def document_pieces(docs: DataFrame, window: int, tokenizer: str, end_id: int, id_col: str = "doc_id",
@@ -44,9 +46,9 @@ def document_pieces(docs: DataFrame, window: int, tokenizer: str, end_id: int, i
         enc, end = encoder(tokenizer, False), np.array([end_id], "<u4").tobytes()
         for batch in batches:
             keys = batch.column("id").to_pylist()
-            for lo in range(0, len(keys), 2048):
+            for lo in range(0, len(keys), _SLICE_ROWS):
                 rows = []
-                for key, body in zip(keys[lo:lo + 2048], enc.encode(batch.column("text").slice(lo, 2048).to_pylist()), strict=True):
+                for key, body in zip(keys[lo:lo + _SLICE_ROWS], enc.encode(batch.column("text").slice(lo, _SLICE_ROWS).to_pylist()), strict=True):
                     body += end
                     for at in range(0, len(body), 4 * window):
                         part = body[at:at + 4 * window]
@@ -54,6 +56,7 @@ def document_pieces(docs: DataFrame, window: int, tokenizer: str, end_id: int, i
                 cols = list(zip(*rows, strict=True))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, pa.int64()) for c in cols[:5]] + [pa.array(c, pa.binary()) for c in cols[5:]], names)
+            give_back()
 
     return pick(docs, id=id_col, text=text_col).mapInArrow(pieces, PIECES + (", ids binary" if with_ids else ""))
 

@@ -42,8 +42,9 @@ CACHE_PIECES = 300_000
 _SEEN = (1 << 23) - 1
 # Pieces that go to the library as one text.
 _JOINED = 1000
-# Characters of text encoded at a time.
-_SLICE_CHARS = 4_000_000
+# Characters of text encoded at a time (about 70 MB of pieces, ids and the
+# library's results).
+_SLICE_CHARS = 1_000_000
 
 
 class TextEncoder:
