@@ -36,8 +36,9 @@ def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of sequences of at most 4096 tokens."""
-    return packing.pack_documents(docs, WINDOW, public_tokenizers.path("word_bpe_49k.json"), 2)
+    """Pieces of sequences of at most 4096 tokens.  Fewer documents are encoded
+    at a time, as the heap has grown with the stages before."""
+    return packing.pack_documents(docs, WINDOW, public_tokenizers.path("word_bpe_49k.json"), 2, slice_rows=512)
 
 
 STAGES = [

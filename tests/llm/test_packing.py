@@ -9,6 +9,7 @@ import public_tokenizers as P
 import pyarrow as pa
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 from tests.conftest import SF_SMALL
 from tests.llm.cases import awkward, awkward_rows, empty
 from trailmix.llm import packing, queries
@@ -108,7 +109,8 @@ def test_few_documents_are_encoded_at_a_time(monkeypatch):
             return f
 
     class Encoder:
-        def encode(self, texts):
+        def encode(self, texts, slice_chars):
+            assert slice_chars == 1_000_000
             sizes.append(len(texts))
             return [bytes(4)] * len(texts)
 
@@ -118,7 +120,12 @@ def test_few_documents_are_encoded_at_a_time(monkeypatch):
     monkeypatch.setattr(packing, "encoder", lambda path, spaced: Encoder())
     monkeypatch.setattr(packing, "give_back", lambda: given.append(len(sizes)), raising=False)
     batch = pa.RecordBatch.from_pydict({"id": list(range(1300)), "text": ["a"] * 1300})
-    out = list(document_pieces(Docs(), 64, WORDS, 2)(iter([batch, batch.slice(0, 0), batch])))
+    out = list(document_pieces(Docs(), 64, WORDS, 2, slice_rows=512)(iter([batch, batch.slice(0, 0), batch])))
     assert [i for b in out for i in b.column("id").to_pylist()] == [*range(1300)] * 2
     assert max(sizes) <= 512 and sum(sizes) == 2600
     assert given == [3, 3, 6]  # freed memory goes back after every batch
+
+
+def test_the_pipeline_encodes_few_documents_at_a_time(monkeypatch):
+    monkeypatch.setattr(packing, "pack_documents", lambda *args, **more: more)
+    assert corpus_pipeline.pack(None, None, "") == {"slice_rows": 512}

@@ -57,11 +57,11 @@ def test_one_operator_is_kept_at_a_time():
     assert set(_KEPT) == {"b"} and kept_in_worker("a", 1, list) == []
 
 
-def test_texts_are_encoded_a_million_characters_at_a_time(monkeypatch):
+def test_texts_are_encoded_a_slice_at_a_time(monkeypatch):
     enc, sizes, few = TextEncoder(P.path("word_bpe_49k.json"), False), [], TextEncoder._few
     monkeypatch.setattr(TextEncoder, "_few", lambda self, texts: sizes.append(sum(map(len, texts))) or few(self, texts))
     texts = [f"word{k % 7} of the text " * 5_000 for k in range(40)]
-    got = enc.encode(texts)
+    got = enc.encode(texts, 1_000_000)
     assert sum(sizes) == sum(map(len, texts)) > 3_000_000
     assert max(sizes) < 1_000_000 + len(texts[0])
     assert got == [array("I", enc.tok.encode(t, add_special_tokens=False).ids).tobytes() for t in texts]

@@ -28,27 +28,30 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trailmix.llm.common import give_back, hash63, pick, rank_bits, ranked, ship, top_bits, written
-from trailmix.llm.tokens import encoder
+from trailmix.llm.tokens import SLICE_CHARS, encoder
 
 PIECES = "id long, start long, length long, ids_crc32 long, doc_tokens long"
 # Documents encoded at a time.
-_SLICE_ROWS = 512
+SLICE_ROWS = 2048
 
 
 def document_pieces(docs: DataFrame, window: int, tokenizer: str, end_id: int, id_col: str = "doc_id",
-                    text_col: str = "text", with_ids: bool = False) -> DataFrame:
+                    text_col: str = "text", with_ids: bool = False, slice_rows: int = SLICE_ROWS) -> DataFrame:
     """One row per piece of at most ``window`` ids, on request with its ids
-    (little-endian uint32 bytes)."""
+    (little-endian uint32 bytes).  Fewer ``slice_rows`` at a time, and with
+    them fewer characters, take less memory."""
     ship(docs.sparkSession)
+    slice_chars = SLICE_CHARS * slice_rows // SLICE_ROWS
     names = ["id", "start", "length", "ids_crc32", "doc_tokens", *(["ids"] if with_ids else [])]
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, end = encoder(tokenizer, False), np.array([end_id], "<u4").tobytes()
         for batch in batches:
             keys = batch.column("id").to_pylist()
-            for lo in range(0, len(keys), _SLICE_ROWS):
+            for lo in range(0, len(keys), slice_rows):
                 rows = []
-                for key, body in zip(keys[lo:lo + _SLICE_ROWS], enc.encode(batch.column("text").slice(lo, _SLICE_ROWS).to_pylist()), strict=True):
+                texts = batch.column("text").slice(lo, slice_rows).to_pylist()
+                for key, body in zip(keys[lo:lo + slice_rows], enc.encode(texts, slice_chars), strict=True):
                     body += end
                     for at in range(0, len(body), 4 * window):
                         part = body[at:at + 4 * window]
@@ -149,11 +152,11 @@ def pack_pieces(pieces: DataFrame, window: int, seed: int = 11) -> DataFrame:
 
 
 def pack_documents(docs: DataFrame, window: int, tokenizer: str, end_id: int, id_col: str = "doc_id",
-                   text_col: str = "text") -> DataFrame:
+                   text_col: str = "text", slice_rows: int = SLICE_ROWS) -> DataFrame:
     """One row per piece: id, start, length, ids_crc32, doc_tokens,
     sequence_id, offset."""
     ship(docs.sparkSession)
-    pieces = written(document_pieces(docs, window, tokenizer, end_id, id_col, text_col), "pieces")
+    pieces = written(document_pieces(docs, window, tokenizer, end_id, id_col, text_col, slice_rows=slice_rows), "pieces")
     return pack_pieces(pieces, window).withColumnRenamed("id", id_col)
 
 
