@@ -65,3 +65,14 @@ def test_texts_are_encoded_a_slice_at_a_time(monkeypatch):
     assert sum(sizes) == sum(map(len, texts)) > 3_000_000
     assert max(sizes) < 1_000_000 + len(texts[0])
     assert got == [array("I", enc.tok.encode(t, add_special_tokens=False).ids).tobytes() for t in texts]
+
+
+@pytest.mark.parametrize("name,spaced", [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
+def test_a_word_is_remembered_once_whatever_marks_follow(name, spaced, monkeypatch):
+    enc, sent, joined = TextEncoder(P.path(name), spaced), [], TextEncoder._joined
+    monkeypatch.setattr(TextEncoder, "_joined", lambda self, words: sent.extend(words) or joined(self, words))
+    texts = ["a word", "a word, word. word?!", "a word; 12. , ..", "a", ""]
+    for _ in range(3):
+        assert enc.encode(texts) == [array("I", enc.tok.encode(t, add_special_tokens=False).ids).tobytes() for t in texts]
+    assert "word" in enc.known and sent.count("word") == 2
+    assert not {"word,", "word.", "word?!", "word;"} & {w for w in [*sent, *(enc.known.words.to_pylist())]}

@@ -14,7 +14,8 @@ documents (about ``block_ids`` ids; a longer document has a block to itself):
 ``width`` is the least number of bits that holds the vocabulary, so id ``k``
 of a block starts at bit ``k * width``: any span is unpacked without what lies
 before it.  Eight ids fill ``width`` whole bytes, which is the lane layout that
-``pack`` and ``unpack`` process as numpy columns.  Writing through Spark's
+``pack`` and ``unpack`` process as numpy columns; widths that are number types
+(8, 16, 32) are copied whole.  Writing through Spark's
 Parquet writer gives any store Spark can reach and its task commit.
 
 Defined results.  Null text: as empty.  Null ids come first.  Equal ids are
@@ -37,6 +38,7 @@ from trailmix.llm.common import pick, ship
 from trailmix.llm.tokens import encoder
 
 BLOCK_IDS = 1 << 16
+_TYPES = {8: "<u1", 16: "<u2", 32: "<u4"}
 BLOCK_SCHEMA = ("part int, block int, part_start long, n_ids long, width int, "
                 "doc_ids array<bigint>, doc_lens array<bigint>, payload binary")
 
@@ -47,6 +49,10 @@ def id_width(vocabulary: int) -> int:
 
 def pack(ids: np.ndarray, width: int) -> bytes:
     """Ids as ``width``-bit numbers, least significant bit first."""
+    if width in _TYPES:
+        whole = np.zeros(-(-len(ids) // 8) * 8, _TYPES[width])
+        whole[:len(ids)] = ids
+        return whole.tobytes()
     lanes = np.zeros((-(-len(ids) // 8), 8), np.uint64)
     lanes.reshape(-1)[:len(ids)] = ids
     out = np.zeros((len(lanes), width), np.uint8)
@@ -62,6 +68,8 @@ def unpack(payload: bytes, width: int, start: int, count: int) -> np.ndarray:
     """Ids ``start .. start + count`` of a payload, as little-endian uint32."""
     if count <= 0:
         return np.zeros(0, "<u4")
+    if width in _TYPES:
+        return np.frombuffer(payload, _TYPES[width], count, start * width // 8).astype("<u4")
     first, last = start // 8, -(-(start + count) // 8)
     raw = np.frombuffer(payload, np.uint8, (last - first) * width, first * width).reshape(-1, width)
     lanes = np.empty((last - first, 8), "<u4")
@@ -123,8 +131,8 @@ def _part_starts(blocks: DataFrame) -> DataFrame:
     return sizes.select("part", F.coalesce(F.sum("part_ids").over(before), F.lit(0)).alias("file_start"))
 
 
-def _documents_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ["part", "doc_id", "at", "n_tokens", "ids_crc32", "ids"]
+def _documents_of(batches: Iterator[pa.RecordBatch], with_ids: bool) -> Iterator[pa.RecordBatch]:
+    names = ["part", "doc_id", "at", "n_tokens", "ids_crc32", *(["ids"] if with_ids else [])]
     for batch in batches:
         for b in batch.to_pylist():
             ids = unpack(b["payload"], b["width"], 0, b["n_ids"])
@@ -134,8 +142,8 @@ def _documents_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             yield pa.RecordBatch.from_arrays([
                 pa.array([b["part"]] * len(lens), pa.int32()), pa.array(b["doc_ids"], pa.int64()),
                 pa.array(b["part_start"] + ends - lens), pa.array(lens),
-                pa.array([zlib.crc32(s.tobytes()) for s in spans], pa.int64()),
-                pa.array([s.tobytes() for s in spans], pa.binary())], names)
+                pa.array([zlib.crc32(s) for s in spans], pa.int64()),
+                *([pa.array([s.tobytes() for s in spans], pa.binary())] if with_ids else [])], names)
 
 
 def read_token_file(spark: SparkSession, path: str, ids: bool = True) -> DataFrame:
@@ -144,12 +152,11 @@ def read_token_file(spark: SparkSession, path: str, ids: bool = True) -> DataFra
     ship(spark)
     blocks = spark.read.schema(BLOCK_SCHEMA).parquet(path)
 
-    def narrow(batches):
-        for b in _documents_of(batches):
-            yield b.select(b.schema.names[:5])
+    def rows_of(batches):
+        return _documents_of(batches, ids)
 
     kinds = "part int, doc_id long, at long, n_tokens long, ids_crc32 long"
-    rows = blocks.mapInArrow(_documents_of, kinds + ", ids binary") if ids else blocks.mapInArrow(narrow, kinds)
+    rows = blocks.mapInArrow(rows_of, kinds + (", ids binary" if ids else ""))
     return (rows.join(_part_starts(blocks), "part").withColumn("start", F.col("file_start") + F.col("at"))
             .select("doc_id", "start", "n_tokens", "ids_crc32", *(["ids"] if ids else [])))
 
